@@ -263,9 +263,8 @@ def clv(rfm: DataFrame, bg: BGParams, gg: GGParams, months: int = 12, discount:
 # --------------------------------------------------------- holdout and tables
 def holdout(tx: DataFrame, days: int = 365, date_col: str = "date") -> DataFrame:
     """Per-customer count and sum strictly inside (max - days, max)."""
-    bounds = tx.agg(F.max(date_col).alias("hold_end")).select(
-        F.date_sub("hold_end", days).alias("hold_begin"), "hold_end")
-    inside = (tx.crossJoin(F.broadcast(bounds))  # one-row side
+    end = tx.agg(F.max(date_col)).scalar()  # uncorrelated scalar subquery (J8)
+    inside = (tx.withColumn("hold_begin", F.date_sub(end, days)).withColumn("hold_end", end)
                 .where((F.col(date_col) > F.col("hold_begin")) & (F.col(date_col) < F.col("hold_end"))))
     return (inside.groupBy("customer_id", "hold_begin", "hold_end")
                   .agg(F.count("orders").alias("trxn"), F.sum("amount").alias("amount")))
@@ -367,6 +366,5 @@ def summary_by_trx(scored: DataFrame) -> DataFrame:
     kept = scored.where(F.col("wholesaler") != 1)
     g = kept.groupBy("pred_trxn").agg(F.avg("predicted_cltv").alias("predicted_cltv"),
                                       F.count("*").alias("n"))
-    total = kept.agg(F.count("*").alias("_total"))  # one row
-    return (g.crossJoin(F.broadcast(total))
-             .select("pred_trxn", "predicted_cltv", (F.col("n") / F.col("_total")).alias("percent_total")))
+    total = kept.agg(F.count("*")).scalar()
+    return g.select("pred_trxn", "predicted_cltv", (F.col("n") / total).alias("percent_total"))

@@ -11,10 +11,10 @@ from custos.plans.registry import register
 from custos.sources.fixtures import fixture, with_views
 
 # Parameters of the registered queries.  The reference filters on its own
-# calendar (2016+, cutoff 2020-12); the test tables span 1992-1998, so the
+# calendar (2016+, cutoff 2020-12); the test tables span 1995-2001, so the
 # same filters are placed inside that span to keep them selective.
-SINCE = "1993-01-01"
-PROFILE_CUTOFF = "1997-01-01"
+SINCE = "1996-01-01"
+PROFILE_CUTOFF = "2001-01-01"
 # Fixed model parameters for the SQL-checkable prediction columns.
 BG_FIXED = clv.BGParams(r=0.25, alpha=4.0, a=0.8, b=2.5)
 GG_FIXED = clv.GGParams(p=6.0, q=4.0, v=15.0)

@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Broadcast only what the optimizer can prove small; operators that force a
     # broadcast check the size bound themselves (see custos.plans.joins).
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
