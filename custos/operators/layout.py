@@ -29,14 +29,23 @@ def _bucket_expr(order_col: str, bounds: list) -> Column:
     return expr
 
 
+def _as_number(df: DataFrame, col: str) -> Column:
+    t = df.schema[col].dataType.typeName()
+    if t == "date":
+        return F.unix_date(F.col(col)).cast("double")
+    if t.startswith("timestamp"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double")
+
+
 def range_buckets(df: DataFrame, order_col: str, buckets: int) -> tuple[DataFrame, int]:
     """Add ``_bkt``: a bucket id monotone in ``order_col`` (ties share a bucket)."""
     if buckets <= 1:
         return df.withColumn("_bkt", F.lit(0)), 1
     probs = [i / buckets for i in range(1, buckets)]
-    num = df.select(F.col(order_col).cast("double").alias("_o")).where(F.col("_o").isNotNull())
+    num = df.select(_as_number(df, order_col).alias("_o")).where(F.col("_o").isNotNull())
     bounds = sorted(set(num.approxQuantile("_o", probs, 0.001)))
-    tmp = df.withColumn("_o_num", F.col(order_col).cast("double"))
+    tmp = df.withColumn("_o_num", _as_number(df, order_col))
     return tmp.withColumn("_bkt", _bucket_expr("_o_num", bounds)).drop("_o_num"), len(bounds) + 1
 
 

@@ -42,4 +42,5 @@ def units(expr: str, s: int) -> str:
 
 
 def units_to_double(u: str, s: int) -> str:
-    return f"(cast({u} AS DOUBLE) / {float(10 ** s)!r})"
+    """Correctly rounded double of units * 10^-s (string parse, as Spark's decimal -> double)."""
+    return f"cast(cast({u} AS VARCHAR) || 'e-{s}' AS DOUBLE)"
