@@ -359,3 +359,29 @@ hol AS (SELECT DISTINCT cast(h AS date) AS h FROM ({_holiday_sql()}))
 SELECT dt, river, off_river, CASE WHEN h IS NULL THEN 0 ELSE 1 END AS holiday FROM d LEFT JOIN hol ON d.dt = hol.h"""))
 def daily_holidays(spark, sf):
     return ts.with_holiday_flag(daily(spark, sf), "dt")
+
+
+# ------------------------------------------------------------ uploads
+@register("daily_payload_roundtrip", _dsql("SELECT dt, river FROM d"))
+def daily_payload_roundtrip(spark, sf):
+    """Daily rows -> yearly CSV payloads (base64) -> parsed rows again."""
+    from custos.sources.files import encode_payloads, ingest_payloads
+    d = daily(spark, sf).withColumn("year", F.year("dt"))
+    pay = encode_payloads(d, "year", ["dt", "river"], "Date,River")
+    rows = ingest_payloads(pay, "dt date, river decimal(18,2)")
+    return rows.select("dt", "river")
+
+
+@register("daily_stream_upsert")
+def daily_stream_upsert(spark, sf):
+    """Q2: the daily table written as monthly files, streamed (availableNow) and upserted per date."""
+    import os
+    from custos.session import ensure_checkpoint_dir
+    from custos.streaming.streams import upsert_daily_stream
+    base = os.path.join(ensure_checkpoint_dir(spark), f"q2-{abs(hash(sf)) % 10**8}-{os.getpid()}")
+    src = os.path.join(base, "src")
+    d = daily(spark, sf).withColumn("month", F.date_format("dt", "yyyy-MM"))
+    d.write.mode("overwrite").partitionBy("month").parquet(src)
+    upsert_daily_stream(spark, src, "dt date, river decimal(18,2), off_river decimal(18,2), month string",
+                        os.path.join(base, "target"), os.path.join(base, "ckpt"))
+    return spark.read.parquet(os.path.join(base, "target")).drop("_ingested", "month")
