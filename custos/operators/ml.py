@@ -365,3 +365,103 @@ def rfm_segments(rfm: DataFrame, cap: float, k: int = 3, seed: int = 1):
 
 
 _ = (Pipeline, OneHotEncoder)
+
+
+# --------------------------------------------------- nearest-neighbour helpers
+def nearest_distance(queries: DataFrame, corpus: DataFrame, cols: list[str], qid: str, cid: str | None = None,
+                     max_queries: int = 20000) -> DataFrame:
+    """Exact Euclidean distance from each query point to its nearest corpus row.
+
+    The query batch (row count checked) is broadcast; each task computes
+    distances for its corpus rows in blocks and keeps the per-query minimum,
+    so only (queries x tasks) minima are shuffled.  With ``cid`` a query never
+    matches the corpus row with the same id (self-distance excluded).
+    """
+    import numpy as np
+    import pandas as pd
+    n_q = queries.count()
+    if n_q > max_queries:
+        raise ValueError(f"{n_q} query points exceed max_queries={max_queries}")
+    qp = queries.select(qid, *cols).toPandas()
+    ids = qp[qid].to_numpy()
+    Q = qp[cols].to_numpy(dtype="float64")
+    bq = corpus.sparkSession.sparkContext.broadcast((ids, Q))
+
+    def local_min(batches):
+        qids, qm = bq.value
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            X = pdf[cols].to_numpy(dtype="float64")
+            d2 = (qm ** 2).sum(1)[:, None] + (X ** 2).sum(1)[None, :] - 2 * qm @ X.T
+            if cid is not None:
+                own = pdf[cid].to_numpy()
+                d2 = np.where(qids[:, None] == own[None, :], np.inf, d2)
+            yield pd.DataFrame({qid: qids, "d": np.sqrt(np.maximum(d2.min(axis=1), 0.0))})
+
+    sel = corpus.select(*( [cid] if cid else []), *cols)
+    schema = f"{qid} {queries.schema[qid].dataType.simpleString()}, d double"
+    return sel.mapInPandas(local_min, schema).groupBy(qid).agg(F.min("d").alias("nn_distance"))
+
+
+def hopkins(df: DataFrame, cols: list[str], id_col: str, fraction: float = 0.1, seed: int = 42,
+            max_points: int = 20000) -> float:
+    """H = sum u / (sum u + sum w); u from uniform points, w from sampled rows (hash sample)."""
+    sample = df.where((F.abs(F.xxhash64(F.col(id_col), F.lit(seed))) % 1_000_000) < fraction * 1_000_000) \
+               .select(id_col, *cols)
+    m = min(sample.count(), max_points)
+    sample = sample.orderBy(F.xxhash64(F.col(id_col), F.lit(seed + 1))).limit(m)
+    b = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
+    unif = df.sparkSession.range(m).select(
+        F.col("id").alias("_uid"),
+        *[(F.lit(b[f"lo_{c}"]) + F.rand(seed + i) * (b[f"hi_{c}"] - b[f"lo_{c}"])).alias(c) for i, c in enumerate(cols)])
+    w = nearest_distance(sample, df.select(id_col, *cols), cols, id_col, id_col).agg(F.sum("nn_distance")).first()[0]
+    u = nearest_distance(unif, df.select(*cols), cols, "_uid").agg(F.sum("nn_distance")).first()[0]
+    return float(u / (u + w))
+
+
+def factor_analysis(df: DataFrame, cols: list[str], n_factors: int, iters: int = 50, rotate: bool = True):
+    """Eigenvalues and (principal-axis) loadings with varimax, from the distributed correlation matrix.
+
+    Only the p x p correlation matrix reaches the driver.
+    """
+    import numpy as np
+    spark = df.sparkSession
+    p = len(cols)
+    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c_{i}_{j}")
+                   for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]).first()
+    Rm = np.eye(p)
+    for i in range(p):
+        for j in range(i + 1, p):
+            Rm[i, j] = Rm[j, i] = row[f"c_{i}_{j}"]
+    eig = np.sort(np.linalg.eigvalsh(Rm))[::-1]
+    h2 = 1 - 1 / np.diag(np.linalg.pinv(Rm))       # squared multiple correlations
+    for _ in range(iters):                           # iterated principal axis
+        Rr = Rm.copy()
+        np.fill_diagonal(Rr, h2)
+        w, v = np.linalg.eigh(Rr)
+        order = np.argsort(w)[::-1][:n_factors]
+        L = v[:, order] * np.sqrt(np.maximum(w[order], 0))
+        h2 = (L ** 2).sum(1)
+    if rotate and n_factors > 1:
+        L = _varimax(L)
+    loadings = spark.createDataFrame([(c, *[float(x) for x in L[i]]) for i, c in enumerate(cols)],
+                                     ["variable", *[f"factor{k + 1}" for k in range(n_factors)]])
+    eigen = spark.createDataFrame([(i + 1, float(e)) for i, e in enumerate(eig)], "component int, eigenvalue double")
+    return loadings, eigen
+
+
+def _varimax(L, gamma: float = 1.0, iters: int = 100, tol: float = 1e-8):
+    import numpy as np
+    p, k = L.shape
+    R = np.eye(k)
+    d = 0.0
+    for _ in range(iters):
+        Lr = L @ R
+        u, s, vt = np.linalg.svd(L.T @ (Lr ** 3 - (gamma / p) * Lr @ np.diag((Lr ** 2).sum(0))))
+        R = u @ vt
+        d_new = s.sum()
+        if d_new < d * (1 + tol):
+            break
+        d = d_new
+    return L @ R

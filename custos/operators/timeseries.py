@@ -453,3 +453,123 @@ def xcorr_lag(df: DataFrame, keys: list[str], ts: str, y: str, x: str, max_lag:
 
 
 _ = dt  # datetime kept for callers building literal dates
+
+
+# ------------------------------------------------------ PACF / ADF
+def _lag_moments(df: DataFrame, keys: list[str], ts: str, cols_fn, k_max: int, start: int):
+    """Sums of all pairwise products of the columns built by ``cols_fn`` over rows idx >= start."""
+    sf = SeriesFrame(df, keys, ts, halo=k_max + 1)
+    out, names = cols_fn(sf)
+    out = sf.finish(out, keep_idx=True).where(F.col("idx") >= start)
+    aggs = [F.count("*").alias("n")]
+    for i in range(len(names)):
+        for j in range(i, len(names)):
+            aggs.append(F.sum(F.col(names[i]) * F.col(names[j])).alias(f"m_{i}_{j}"))
+    return (out.groupBy(*keys).agg(*aggs) if keys else out.agg(*aggs)), names
+
+
+def _moment_matrix(row, size):
+    import numpy as np
+    M = np.zeros((size, size))
+    for i in range(size):
+        for j in range(i, size):
+            M[i, j] = M[j, i] = row[f"m_{i}_{j}"]
+    return M
+
+
+def pacf(df: DataFrame, keys: list[str], ts: str, col: str, nlags: int = 20) -> DataFrame:
+    """Partial autocorrelation by OLS - last coefficient of x_t on 1, x_{t-1..t-k}.
+
+    One aggregate gives the moment matrix of (1, x_t, ..., x_{t-K}) over the
+    common sample (rows with K lags); each k is a small solve on it.
+    """
+    import numpy as np
+
+    def cols(sf):
+        out = sf.df.withColumn("_c1", F.lit(1.0)).withColumn("_x0", F.col(col).cast("double"))
+        for k in range(1, nlags + 1):
+            out = out.withColumn(f"_x{k}", F.lag(F.col(col).cast("double"), k).over(sf.w))
+        return out, ["_c1"] + [f"_x{k}" for k in range(nlags + 1)]
+    mom, names = _lag_moments(df, keys, ts, cols, nlags, nlags)
+    size = len(names)
+    key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = (key_schema + ", " if keys else "") + "lag int, pacf double"
+
+    def solve(pdf):
+        rows = []
+        for _, r in pdf.iterrows():
+            M = _moment_matrix(r, size)
+            for k in range(1, nlags + 1):
+                idx = [0] + list(range(2, 2 + k))      # 1, x_{t-1..t-k}
+                XX = M[np.ix_(idx, idx)]
+                Xy = M[idx, 1]
+                beta = np.linalg.lstsq(XX, Xy, rcond=None)[0]
+                rows.append({**{kk: r[kk] for kk in keys}, "lag": k, "pacf": float(beta[-1])})
+        return pd.DataFrame(rows, columns=[*keys, "lag", "pacf"])
+    import pandas as pd
+    if keys:
+        return mom.groupBy(*keys).applyInPandas(solve, schema)
+    return mom.mapInPandas(lambda it: (solve(p) for p in it), schema)
+
+
+def adf(df: DataFrame, keys: list[str], ts: str, col: str, max_lag: int | None = None) -> DataFrame:
+    """Augmented Dickey-Fuller (constant), lag order by AIC on a common sample.
+
+    Regression: dx_t on 1, x_{t-1}, dx_{t-1..t-p}.  The statistic is the
+    t-ratio of x_{t-1}; critical values follow MacKinnon (2010), constant only.
+    """
+    import math
+    import numpy as np
+    import pandas as pd
+    if max_lag is None:  # Schwert rule on the longest series
+        longest = (df.groupBy(*keys).count().agg(F.max("count")).first()[0] if keys
+                   else df.agg(F.count(col)).first()[0])
+        max_lag = int(math.ceil(12 * (float(longest) / 100.0) ** 0.25))
+
+    def cols(sf):
+        x = F.col(col).cast("double")
+        out = sf.df.withColumn("_dx", x - F.lag(x, 1).over(sf.w)).withColumn("_c1", F.lit(1.0)) \
+                   .withColumn("_xl", F.lag(x, 1).over(sf.w))
+        for k in range(1, max_lag + 1):
+            out = out.withColumn(f"_d{k}", F.lag("_dx", k).over(sf.w))
+        return out, ["_dx", "_c1", "_xl"] + [f"_d{k}" for k in range(1, max_lag + 1)]
+    mom, names = _lag_moments(df, keys, ts, cols, max_lag + 1, max_lag + 1)
+    size = len(names)
+    key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = (key_schema + ", " if keys else "") + \
+        "lags int, adf_stat double, nobs long, aic double, crit_1 double, crit_5 double, crit_10 double"
+
+    def solve(pdf):
+        rows = []
+        for _, r in pdf.iterrows():
+            M = _moment_matrix(r, size)
+            n = float(r["n"])
+            best = None
+            for p in range(0, max_lag + 1):
+                idx = [1, 2] + list(range(3, 3 + p))
+                XX, Xy, yy = M[np.ix_(idx, idx)], M[idx, 0], M[0, 0]
+                beta = np.linalg.lstsq(XX, Xy, rcond=None)[0]
+                rss = max(float(yy - 2 * beta @ Xy + beta @ XX @ beta), 1e-300)
+                aic = n * math.log(rss / n) + 2 * len(idx)
+                if best is None or aic < best[0]:
+                    s2 = rss / (n - len(idx))
+                    cov = s2 * np.linalg.pinv(XX)
+                    best = (aic, p, float(beta[1] / math.sqrt(cov[1, 1])))
+            crit = lambda a, b, c, d: a + b / n + c / n ** 2 + d / n ** 3
+            rows.append({**{kk: r[kk] for kk in keys}, "lags": best[1], "adf_stat": best[2], "nobs": int(n),
+                         "aic": best[0], "crit_1": crit(-3.43035, -6.5393, -16.786, -79.433),
+                         "crit_5": crit(-2.86154, -2.8903, -4.234, -40.040),
+                         "crit_10": crit(-2.56677, -1.5384, -2.809, 0.0)})
+        return pd.DataFrame(rows, columns=[*keys, "lags", "adf_stat", "nobs", "aic", "crit_1", "crit_5", "crit_10"])
+    if keys:
+        return mom.groupBy(*keys).applyInPandas(solve, schema)
+    return mom.mapInPandas(lambda it: (solve(p) for p in it), schema)
+
+
+def scenario_grid(last_value: Column, levels=(0.0, 0.05, 0.10, 0.15, 0.20, 0.25, 0.30), horizon: int = 12,
+                  spark=None) -> DataFrame:
+    """Scenario regressor paths - the last value and fixed levels, each repeated over the horizon."""
+    base = spark.range(1).select(last_value.alias("last"))
+    lv = F.array(F.col("last"), *[F.lit(float(v)) for v in levels])
+    return (base.select(F.posexplode(lv).alias("scenario", "value"))
+                .select("scenario", "value", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step")))

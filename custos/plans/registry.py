@@ -30,4 +30,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing the plan modules fills the registry
-    from custos.plans import analytics, commerce, documents, entity, models, series  # noqa: F401
+    from custos.plans import analytics, commerce, documents, entity, extended, models, series  # noqa: F401
