@@ -120,8 +120,10 @@ def hierarchical(df: DataFrame, cols: list[str], k: int, seed: int = 1):
     return m.transform(data).withColumnRenamed("prediction", "cluster"), m
 
 
-def silhouette(labelled: DataFrame, cluster: str = "cluster") -> float:
-    """M9: mean silhouette (squared Euclidean, MLlib's distributed form)."""
+def silhouette(labelled: DataFrame, cluster: str = "cluster") -> float | None:
+    """M9: mean silhouette (squared Euclidean, MLlib's distributed form); None for one cluster."""
+    if labelled.select(cluster).distinct().limit(2).count() < 2:
+        return None
     return ClusteringEvaluator(featuresCol="features", predictionCol=cluster).evaluate(labelled)
 
 
@@ -208,7 +210,7 @@ def famd(df: DataFrame, num_cols: list[str], cat_cols: list[str], k: int = 2) ->
         out = one_hot(out, c, prefix=f"{c}_")
         new_cols = [x for x in out.columns if x not in before]
         for nc in new_cols:
-            p = out.agg(F.avg(nc)).scalar() or 1.0
+            p = out.agg(F.avg(nc)).first()[0] or 1.0
             out = out.withColumn(nc, F.col(nc) / F.sqrt(F.lit(p)))
         oh_cols += new_cols
     return pca(out, [f"{c}_z" for c in num_cols] + oh_cols, k)

@@ -149,9 +149,10 @@ def survey_gmm(spark, sf):
 @register("survey_bisecting")
 def survey_bisecting(spark, sf):
     """M8 (re-aimed) + M9: divisive clustering sizes and silhouette."""
-    lab, _ = ml.hierarchical(ml.zscale(_survey_num(spark, sf), ["q4", "q8"]), ["q4_z", "q8_z"], 4)
+    cols = ["q4", "q6", "q7", "q8"]
+    lab, _ = ml.hierarchical(ml.zscale(_survey_num(spark, sf), cols), [f"{c}_z" for c in cols], 4)
     sil = ml.silhouette(lab)
-    return lab.groupBy("cluster").agg(F.count("*").alias("size")).withColumn("silhouette", F.lit(sil))
+    return lab.groupBy("cluster").agg(F.count("*").alias("size")).withColumn("silhouette", F.lit(sil).cast("double"))
 
 
 @register("survey_kprototypes")

@@ -100,9 +100,12 @@ def main(argv):
     bad = 0
     for name in names or sorted(qs):
         if name not in sqls:
-            sdf = qs[name](spark, sf_dir)
-            n = sdf.count()
-            print(f"{name:32s} rows-only rows={n}")
+            try:
+                n = qs[name](spark, sf_dir).count()
+                print(f"{name:32s} rows-only rows={n}")
+            except Exception as e:  # noqa: BLE001
+                bad += 1
+                print(f"{name:32s} ERROR {type(e).__name__}: {str(e)[:400]}")
             continue
         try:
             r = compare(spark, con, name, qs[name], sqls[name], sf_dir)
