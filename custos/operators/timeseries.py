@@ -93,6 +93,30 @@ def _ewm_expr(vals: Column, first_is_origin: Column, alpha: float, adjust: bool)
     return F.aggregate(rest, start, lambda a, x: a * w + x * alpha)
 
 
+def ewm_many(df: DataFrame, keys: list[str], ts: str, specs, pre=None) -> DataFrame:
+    """Several exponentially weighted means on one window layout.
+
+    ``specs``: list of (column, alpha, adjust, output name).  ``pre`` may add
+    window-derived input columns (given the SeriesFrame) before the folds.
+    """
+    k = max(ewm_window(a) for _, a, _, _ in specs)
+    sf = SeriesFrame(df, keys, ts, halo=k + 1)
+    base = sf.df if pre is None else pre(sf)
+    origin = F.col("idx") < k  # the window still contains the series' first row
+    out = base
+    for col, alpha, adjust, name in specs:
+        kk = ewm_window(alpha)
+        vals = F.collect_list(F.col(col).cast("double")).over(sf.rows(-(kk - 1), 0))
+        out = out.withColumn(f"_v_{name}", vals)
+    for col, alpha, adjust, name in specs:
+        kk = ewm_window(alpha)
+        out = out.withColumn(name, F.when(F.col(col).isNotNull(),
+                                          _ewm_expr(F.col(f"_v_{name}"), F.col("idx") < kk, alpha, adjust)))
+    out = out.drop(*[f"_v_{name}" for *_, name in specs])
+    del origin
+    return sf.finish(out)
+
+
 def ewm(df: DataFrame, keys: list[str], ts: str, col: str, alpha: float, adjust: bool = True,
         out: str | None = None) -> DataFrame:
     """Exponentially weighted mean (pandas ``adjust`` semantics).
@@ -100,50 +124,36 @@ def ewm(df: DataFrame, keys: list[str], ts: str, col: str, alpha: float, adjust:
     alpha = 1/(1+com) = 2/(span+1).  Null inputs are skipped (weights decay by
     position as in pandas with ``ignore_na=False``).
     """
-    k = ewm_window(alpha)
-    sf = SeriesFrame(df, keys, ts, halo=k - 1)
-    vals = F.collect_list(F.col(col).cast("double")).over(sf.rows(-(k - 1), 0))
-    origin = sf.df["idx"] < k  # the window still contains the series' first row
-    name = out or f"ewm_{col}"
-    res = sf.df.withColumn("_v", vals).withColumn(
-        name, F.when(F.col(col).isNotNull(), _ewm_expr(F.col("_v"), origin, alpha, adjust))).drop("_v")
-    return sf.finish(res)
+    return ewm_many(df, keys, ts, [(col, alpha, adjust, out or f"ewm_{col}")])
 
 
 def macd(df: DataFrame, keys: list[str], ts: str, col: str, fast: int = 12, slow: int = 26) -> DataFrame:
-    """MACD = unadjusted ewm(span fast) - ewm(span slow)."""
-    a = ewm(df, keys, ts, col, 2.0 / (fast + 1), adjust=False, out=f"ema{fast}_{col}")
-    b = ewm(a, keys, ts, col, 2.0 / (slow + 1), adjust=False, out=f"ema{slow}_{col}")
-    return b.withColumn(f"macd_{col}", F.col(f"ema{fast}_{col}") - F.col(f"ema{slow}_{col}"))
+    """MACD = unadjusted ewm(span fast) - ewm(span slow), both on one layout."""
+    out = ewm_many(df, keys, ts, [(col, 2.0 / (fast + 1), False, f"ema{fast}_{col}"),
+                                   (col, 2.0 / (slow + 1), False, f"ema{slow}_{col}")])
+    return out.withColumn(f"macd_{col}", F.col(f"ema{fast}_{col}") - F.col(f"ema{slow}_{col}"))
 
 
 def rsi(df: DataFrame, keys: list[str], ts: str, col: str, n: int = 14, kind: str = "standard") -> DataFrame:
     """Relative strength index from adjusted ewm(span n) of up and down moves.
 
     ``kind="standard"`` uses |down|; ``kind="reference"`` keeps down moves
-    negative as the reference does (X13), which leaves [0, 100].
+    negative as the reference does (X13), which leaves [0, 100].  The first
+    row has no move; ``collect_list`` skips its null, so the filter starts at
+    the second row.  Moves and both filters share one window layout.
     """
-    wl = Window.partitionBy(*keys).orderBy(ts) if keys else None
-    if keys:
-        d = df.withColumn("_delta", F.col(col) - F.lag(col, 1).over(wl))
-    else:
-        sf = SeriesFrame(df, keys, ts, halo=1)
-        d = sf.finish(sf.df.withColumn("_delta", F.col(col) - F.lag(col, 1).over(sf.w)))
-    d = (d.withColumn("_up", F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(F.lit(0)).cast("double"))
-          .withColumn("_dn", F.when(F.col("_delta") < 0, F.col("_delta")).otherwise(F.lit(0)).cast("double")))
-    if kind == "standard":
-        d = d.withColumn("_dn", F.abs("_dn"))
-    d = d.withColumn("_up", F.when(F.col("_delta").isNotNull(), F.col("_up"))) \
-         .withColumn("_dn", F.when(F.col("_delta").isNotNull(), F.col("_dn")))
+    def moves(sf):
+        d = sf.df.withColumn("_delta", F.col(col) - F.lag(col, 1).over(sf.w))
+        up = F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(F.lit(0)).cast("double")
+        dn = F.when(F.col("_delta") < 0, F.col("_delta")).otherwise(F.lit(0)).cast("double")
+        if kind == "standard":
+            dn = F.abs(dn)
+        has = F.col("_delta").isNotNull()
+        return d.withColumn("_up", F.when(has, up)).withColumn("_dn", F.when(has, dn))
     a = 2.0 / (n + 1)
-    # the first row has no move; the filter starts at the second row
-    body = d.where(F.col("_delta").isNotNull())
-    head = d.where(F.col("_delta").isNull())
-    e = ewm(ewm(body, keys, ts, "_up", a, True, "_eu"), keys, ts, "_dn", a, True, "_ed")
-    e = e.withColumn(f"rsi_{col}", 100.0 - 100.0 / (1.0 + F.try_divide("_eu", "_ed")))
-    head = head.withColumn("_eu", F.lit(None).cast("double")).withColumn("_ed", F.lit(None).cast("double")) \
-               .withColumn(f"rsi_{col}", F.lit(None).cast("double"))
-    return e.unionByName(head).drop("_delta", "_up", "_dn", "_eu", "_ed")
+    e = ewm_many(df, keys, ts, [("_up", a, True, "_eu"), ("_dn", a, True, "_ed")], pre=moves)
+    return (e.withColumn(f"rsi_{col}", 100.0 - 100.0 / (1.0 + F.try_divide("_eu", "_ed")))
+             .drop("_delta", "_up", "_dn", "_eu", "_ed"))
 
 
 # ------------------------------------------------------------- lags & diffs
