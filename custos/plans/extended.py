@@ -307,3 +307,19 @@ def people_stream_incremental(spark, sf):
     incremental_match_stream(spark, os.path.join(base, "new"), schema, old, os.path.join(base, "out"),
                              os.path.join(base, "ckpt"), RUN_TS)
     return spark.read.parquet(os.path.join(base, "out"))
+
+
+@register("event_online_dlm")
+def event_online_dlm(spark, sf):
+    """Q3: online model update - two arrival waves of daily event values streamed through per-series state."""
+    from custos.streaming.streams import online_dlm_stream
+    base = _scratch(spark, "q3")
+    e = fixture(spark, sf, "event_daily").select("series_id", "dt", F.col("value").cast("double").alias("value"))
+    mid = e.agg(F.percentile_approx(F.unix_date("dt"), 0.5)).first()[0]
+    schema = "series_id string, dt date, value double"
+    src = os.path.join(base, "src")
+    for wave, cond in enumerate([F.unix_date("dt") <= mid, F.unix_date("dt") > mid]):
+        e.where(cond).write.mode("append").parquet(os.path.join(src, f"wave={wave}"))
+        # each wave is a new availableNow run; the checkpoint carries the per-series state
+        online_dlm_stream(spark, src, schema, os.path.join(base, "out"), os.path.join(base, "ckpt"))
+    return spark.read.parquet(os.path.join(base, "out"))

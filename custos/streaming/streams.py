@@ -52,3 +52,87 @@ def incremental_match_stream(spark: SparkSession, new_dir: str, schema: str, old
 
     (src.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start().awaitTermination())
+
+
+# ------------------------------------------------------------ Q3 online DLM
+ONLINE_OUT = "series_id string, dt date, y double, forecast double, lower double, upper double"
+ONLINE_STATE = "m0 double, m1 double, c00 double, c01 double, c11 double, s double, nu double, last_dt date"
+
+
+def _online_steps(rows, state, discount: float = 0.95, delta_v: float = 0.98):
+    """Local linear trend with discounting, one observation at a time.
+
+    ``state`` is None or (m0, m1, c00, c01, c11, s, nu, last_dt); returns the
+    output rows and the new state.  Rows at or before ``last_dt`` are ignored
+    (replayed data does not update twice).
+    """
+    import math
+
+    import numpy as np
+    from custos.functions.special import t_quantile_975
+    out = []
+    st = state
+    for dt_, y in rows:
+        if y is None or (st is not None and st[7] is not None and dt_ <= st[7]):
+            continue
+        if st is None:
+            s0 = max(abs(y), 1.0) ** 2 * 0.01
+            st = (y, 0.0, s0 * 100.0, 0.0, s0, s0, 1.0, dt_)
+            out.append((dt_, y, None, None, None))
+            continue
+        m = np.array([st[0], st[1]])
+        C = np.array([[st[2], st[3]], [st[3], st[4]]])
+        s, nu = st[5], st[6]
+        G = np.array([[1.0, 1.0], [0.0, 1.0]])
+        a = G @ m
+        R = (G @ C @ G.T) / discount
+        f = float(a[0])
+        q = float(R[0, 0] + s)
+        tq = t_quantile_975(delta_v * nu)
+        out.append((dt_, y, f, f - tq * math.sqrt(q), f + tq * math.sqrt(q)))
+        e = y - f
+        A = R[:, 0] / q
+        nu_new = delta_v * nu + 1.0
+        s_new = s * (delta_v * nu + e * e / q) / nu_new
+        m = a + A * e
+        C = (s_new / s) * (R - np.outer(A, A) * q)
+        st = (float(m[0]), float(m[1]), float(C[0, 0]), float(C[0, 1]), float(C[1, 1]), float(s_new), float(nu_new), dt_)
+    return out, st
+
+
+def online_dlm_batch(df: DataFrame, key: str = "series_id", ts: str = "dt", value: str = "value") -> DataFrame:
+    """Q3 (batch form): the same filter over a whole table, one task per series."""
+    import pandas as pd
+
+    def run(pdf):
+        pdf = pdf.sort_values(ts)
+        rows, _ = _online_steps(list(zip(pdf[ts], pdf[value].astype("float64"))), None)
+        sid = pdf[key].iloc[0]
+        return pd.DataFrame([(sid, *r) for r in rows], columns=["series_id", "dt", "y", "forecast", "lower", "upper"])
+    src = df.select(F.col(key).cast("string").alias(key), F.col(ts).cast("date").alias(ts),
+                    F.col(value).cast("double").alias(value))
+    return src.groupBy(key).applyInPandas(run, ONLINE_OUT)
+
+
+def online_dlm_stream(spark: SparkSession, source_dir: str, schema: str, target: str, checkpoint: str,
+                      key: str = "series_id", ts: str = "dt", value: str = "value") -> None:
+    """Q3: per-series state (one small row) updated by every new observation (applyInPandasWithState)."""
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    def update(k, pdfs, state):
+        pdf = pd.concat(list(pdfs)).sort_values(ts)
+        prev = state.get if state.exists else None
+        rows, st = _online_steps(list(zip(pdf[ts], pdf[value].astype("float64"))), prev)
+        if st is not None:
+            state.update(st)
+        yield pd.DataFrame([(k[0], *r) for r in rows], columns=["series_id", "dt", "y", "forecast", "lower", "upper"])
+
+    src = (spark.readStream.schema(schema).parquet(source_dir)
+                .select(F.col(key).cast("string").alias(key), F.col(ts).cast("date").alias(ts),
+                        F.col(value).cast("double").alias(value)))
+    q = (src.groupBy(key).applyInPandasWithState(update, ONLINE_OUT, ONLINE_STATE, "append",
+                                                  GroupStateTimeout.NoTimeout)
+            .writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
