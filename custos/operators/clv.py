@@ -367,8 +367,8 @@ def segment_labels(profile: DataFrame) -> DataFrame:
 def score_customers(clv_df: DataFrame, tx: DataFrame, clusters: DataFrame | None = None,
                     seed: int = 42, wholesale_at: float = 1000.0) -> DataFrame:
     """Scoring table: first email per customer, flags, rounded trxn, anonymised email."""
-    w = Window.partitionBy("email").orderBy("date", "customer_id")
-    first_email = (tx.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+    # first customer per email (aggregate, so a hot email is reduced map-side)
+    first_email = (tx.groupBy("email").agg(F.min_by("customer_id", F.struct("date", "customer_id")).alias("customer_id"))
                      .select("customer_id", "email"))
     out = clv_df.join(first_email, "customer_id")
     if clusters is not None:

@@ -23,16 +23,24 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, first in ``order`` (give a unique tie-break)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def keep_first(df: DataFrame, keys: list[str], order: list[str], descending: bool = False) -> DataFrame:
+    """One row per key, first in ``order`` (ascending or descending; give a unique tie-break).
+
+    An aggregate (``min_by`` / ``max_by`` over the whole row), so a key holding
+    a large share of the rows is reduced map-side instead of sorted in one task.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest])
+    ordering = F.struct(*[F.col(c) for c in order])
+    pick = F.max_by(row, ordering) if descending else F.min_by(row, ordering)
+    return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*")
 
 
 def repeated_mask(df: DataFrame, key: str, out: str = "repeated") -> DataFrame:
-    """Flag all members of groups whose non-null key occurs more than once."""
-    n = F.count(F.col(key)).over(Window.partitionBy(key))
-    return df.withColumn(out, F.when(F.col(key).isNotNull() & (n > 1), True).otherwise(False))
+    """Flag all members of groups whose non-null key occurs more than once (aggregate + join)."""
+    n = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    return (df.join(n, key, "left")
+              .withColumn(out, F.when(F.col(key).isNotNull() & (F.col("_n") > 1), True).otherwise(False)).drop("_n"))
 
 
 def group_means(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

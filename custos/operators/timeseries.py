@@ -23,18 +23,25 @@ from custos.operators.layout import halo_frames
 
 
 class SeriesFrame:
-    """Window plumbing shared by all operators."""
+    """Window plumbing shared by all operators.
+
+    ``layout="halo"`` (default) cuts every series into blocks of ``block``
+    rows with a halo, so neither one long series nor one hot key among many
+    lands on a single task.  ``layout="partition"`` is the plain
+    ``partitionBy(keys).orderBy(ts)`` window, fine when every series is small.
+    """
 
     def __init__(self, df: DataFrame, keys: list[str], ts: str, halo: int = 0, lead: int = 0,
-                 block: int = 4096):
+                 block: int = 4096, layout: str = "halo"):
         self.keys, self.ts = list(keys), ts
-        if self.keys:
+        if self.keys and layout == "partition":
             self.halo_mode = False
             self.w = Window.partitionBy(*self.keys).orderBy(ts)
             self.df = df.withColumn("idx", (F.row_number().over(self.w) - 1).cast("bigint"))
         else:
             self.halo_mode = True
-            self.df, wkeys = halo_frames(df, ts, halo, max(block, 2 * (halo + lead) + 2), lead=lead)
+            self.df, wkeys = halo_frames(df, ts, halo, max(block, 2 * (halo + lead) + 2), lead=lead,
+                                         partition_cols=self.keys)
             self.w = Window.partitionBy(*wkeys).orderBy("idx")
 
     def rows(self, lo, hi) -> Window:

@@ -25,7 +25,8 @@ SELECT o_custkey, o_orderkey, cast(o_orderdate AS date) AS order_date, o_totalpr
 WHERE rn = 1""")
 def last_order_per_customer(spark, sf):
     o = scan(spark, sf, "orders")
-    return (stats.keep_first(o, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    return (stats.keep_first(o.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"), ["o_custkey"],
+                             ["o_orderdate", "o_orderkey"], descending=True)
                  .select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"),
                          "o_totalprice"))
 
