@@ -215,7 +215,7 @@ def _gg_ll_col(x: Column, m: Column, th: np.ndarray) -> Column:
             + (px - 1) * F.log(m) + px * F.log(x) - (px + q) * F.log(x * m + v))
 
 
-def fit_gamma_gamma(rfm: DataFrame, penalizer: float = 0.0, tol: float = 1e-6) -> GGParams:
+def fit_gamma_gamma(rfm: DataFrame, penalizer: float = 0.0, tol: float = 1e-4) -> GGParams:
     """Gamma-Gamma spend model on repeat customers (frequency > 0, monetary > 0).
 
     The log-likelihood splits into terms that depend on a customer only

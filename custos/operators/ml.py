@@ -467,3 +467,151 @@ def _varimax(L, gamma: float = 1.0, iters: int = 100, tol: float = 1e-8):
             break
         d = d_new
     return L @ R
+
+
+# ----------------------------------------------------- normalising transforms
+def _norm_ppf(p: float) -> float:
+    """Inverse standard normal CDF (Acklam's rational approximation, |error| < 1.2e-9)."""
+    import math
+    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02,
+         -3.066479806614716e+01, 2.506628277459239e+00]
+    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01,
+         -1.328068155288572e+01]
+    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00,
+         4.374664141464968e+00, 2.938163982698783e+00]
+    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+    lo = 0.02425
+    if p < lo:
+        q = math.sqrt(-2 * math.log(p))
+        return (((((c[0] * q + c[1]) * q + c[2]) * q + c[3]) * q + c[4]) * q + c[5]) / ((((d[0] * q + d[1]) * q + d[2]) * q + d[3]) * q + 1)
+    if p > 1 - lo:
+        return -_norm_ppf(1 - p)
+    q = p - 0.5
+    r = q * q
+    return (((((a[0] * r + a[1]) * r + a[2]) * r + a[3]) * r + a[4]) * r + a[5]) * q / (((((b[0] * r + b[1]) * r + b[2]) * r + b[3]) * r + b[4]) * r + 1)
+
+
+def _ppf_col(p):
+    """Native inverse-normal approximation (central region rational form + tail form)."""
+    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02,
+         -3.066479806614716e+01, 2.506628277459239e+00]
+    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01,
+         -1.328068155288572e+01]
+    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00,
+         4.374664141464968e+00, 2.938163982698783e+00]
+    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+
+    def tail(pp):
+        q = F.sqrt(-2 * F.log(pp))
+        return (((((c[0] * q + c[1]) * q + c[2]) * q + c[3]) * q + c[4]) * q + c[5]) / ((((d[0] * q + d[1]) * q + d[2]) * q + d[3]) * q + 1)
+    q = p - 0.5
+    r = q * q
+    central = (((((a[0] * r + a[1]) * r + a[2]) * r + a[3]) * r + a[4]) * r + a[5]) * q / (((((b[0] * r + b[1]) * r + b[2]) * r + b[3]) * r + b[4]) * r + 1)
+    return F.when(p < 0.02425, tail(p)).when(p > 1 - 0.02425, -tail(1 - p)).otherwise(central)
+
+
+def _lam_name(lam: float) -> str:
+    return str(lam).replace("-", "m").replace(".", "p")
+
+
+def best_normalize(df: DataFrame, col: str, lambdas=(-1.0, -0.5, 0.0, 0.5, 1.0, 1.5, 2.0)) -> DataFrame:
+    """Score candidate normalising transforms by Pearson chi-square / df (lower is better).
+
+    Candidates: identity, log, sqrt (positive data), arcsinh, Box-Cox and
+    Yeo-Johnson over a lambda grid, and the rank-normal (ordered quantile)
+    transform whose ranks come from the parallel prefix sums.  Each candidate
+    is standardised and binned into equiprobable normal bins; one aggregate
+    gives all counts.
+    """
+    import math
+    from custos.operators.layout import prefix_sums
+    x = F.col(col).cast("double")
+    base = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    n = base.count()
+    lo = base.agg(F.min("x")).first()[0]
+    cands = {"identity": F.col("x"), "arcsinh": F.asinh("x")}
+    if lo is not None and lo > 0:
+        cands["log"] = F.log("x")
+        cands["sqrt"] = F.sqrt("x")
+        for lam in lambdas:
+            cands[f"boxcox_{_lam_name(lam)}"] = F.log("x") if lam == 0 else (F.pow("x", lam) - 1) / lam
+    for lam in lambdas:
+        pos = F.log1p("x") if lam == 0 else (F.pow(F.col("x") + 1, lam) - 1) / lam
+        neg = -F.log1p(-F.col("x")) if lam == 2 else -(F.pow(1 - F.col("x"), 2 - lam) - 1) / (2 - lam)
+        cands[f"yeojohnson_{_lam_name(lam)}"] = F.when(F.col("x") >= 0, pos).otherwise(neg)
+    # rank-normal: average ranks of ties from cumulative counts over distinct values
+    counts = prefix_sums(base.groupBy("x").agg(F.count("*").alias("c")), ["x"], ["c"])
+    ranks = counts.select("x", ((F.col("cum_c") - F.col("c") + 1 + F.col("cum_c")) / 2.0).alias("rank"))
+    base = base.join(ranks, "x")
+    cands["rank_normal"] = _ppf_col((F.col("rank") - 0.5) / n)
+    bins = max(3, int(math.ceil(2 * n ** 0.4)))
+    bounds = [_norm_ppf(i / bins) for i in range(1, bins)]
+    t = base.select(*[c.alias(k) for k, c in cands.items()])
+    stats = t.agg(*[F.avg(k).alias(f"m_{k}") for k in cands], *[F.stddev_samp(k).alias(f"s_{k}") for k in cands]).first()
+    long = None
+    for k in cands:
+        m, s = stats[f"m_{k}"], stats[f"s_{k}"]
+        if m is None or not s:
+            continue
+        z = (F.col(k) - m) / s
+        b = sum(((z > v).cast("int") for v in bounds), F.lit(0))
+        part = t.select(F.lit(k).alias("transform"), b.alias("bin"))
+        long = part if long is None else long.unionByName(part)
+    e = n / bins
+    obs = long.groupBy("transform", "bin").agg(F.count("*").alias("o"))
+    # sum (O-E)^2/E over all bins = sum O^2/E - n (empty bins need no row)
+    return (obs.groupBy("transform").agg(((F.sum(F.col("o") * F.col("o")) / e - n) / (bins - 1)).alias("chi2_df"))
+               .orderBy("chi2_df"))
+
+
+# ------------------------------------------------------ low-rank model
+def glrm(df: DataFrame, id_col: str, cols: list[str], k: int = 2, gamma_x: float = 0.25, gamma_y: float = 1.0,
+         iters: int = 30):
+    """Quadratic-loss low-rank model with L1 on both factors, by alternating proximal steps.
+
+    A = standardised columns; X (n x k) lives in the DataFrame, Y (k x p) on the
+    driver (its size is k x p).  The X step is a column expression with Y as
+    literals; the Y step needs X'X and X'A, one aggregate per iteration; the
+    lineage is cut with ``checkpoint()`` every 5 iterations.
+    Returns (row factors, Y as rows, objective trace).
+    """
+    import numpy as np
+    spark = df.sparkSession
+    z = zscale(df.select(id_col, *cols), cols)
+    A = [f"{c}_z" for c in cols]
+    p = len(cols)
+    pcs = pca(z.select(id_col, *A), A, k)
+    Y = np.array(PCA(k=k, inputCol="features", outputCol="_pcs").fit(assemble(z, A)).pc.toArray()).T  # k x p
+    cur = pcs.select(id_col, *A, *[F.col("pc")[j].alias(f"x{j}") for j in range(k)])
+    soft = lambda v, t: F.when(v > t, v - t).when(v < -t, v + t).otherwise(F.lit(0.0))
+    trace = []
+    for it in range(iters):
+        Lx = max(2 * float(np.linalg.norm(Y @ Y.T, 2)), 1e-12)
+        resid = [sum((F.col(f"x{j}") * float(Y[j, q]) for j in range(k)), F.lit(0.0)) - F.col(A[q]) for q in range(p)]
+        grads = [sum((resid[q] * float(Y[j, q]) for q in range(p)), F.lit(0.0)) * 2.0 for j in range(k)]
+        cur = cur.select(id_col, *A, *[soft(F.col(f"x{j}") - grads[j] / Lx, gamma_x / Lx).alias(f"x{j}") for j in range(k)])
+        if it % 5 == 4:
+            cur = cur.checkpoint()
+        sums = cur.agg(*[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"xx{i}_{j}") for i in range(k) for j in range(k)],
+                       *[F.sum(F.col(f"x{i}") * F.col(A[q])).alias(f"xa{i}_{q}") for i in range(k) for q in range(p)],
+                       *[F.sum(F.col(a) * F.col(a)).alias(f"aa{q}") for q, a in enumerate(A)],
+                       *[F.sum(F.abs(F.col(f"x{j}"))).alias(f"l1x{j}") for j in range(k)]).first()
+        XX = np.array([[sums[f"xx{i}_{j}"] for j in range(k)] for i in range(k)])
+        XA = np.array([[sums[f"xa{i}_{q}"] for q in range(p)] for i in range(k)])
+        Ly = max(2 * float(np.linalg.norm(XX, 2)), 1e-12)
+        G = 2 * (XX @ Y - XA)
+        Yn = Y - G / Ly
+        Y = np.sign(Yn) * np.maximum(np.abs(Yn) - gamma_y / Ly, 0.0)
+        aa = sum(sums[f"aa{q}"] for q in range(p))
+        loss = aa - 2 * float(np.sum(XA * Y)) + float(np.sum((Y.T @ XX) * Y.T))
+        trace.append((it, loss + gamma_x * sum(sums[f"l1x{j}"] for j in range(k)) + gamma_y * float(np.abs(Y).sum())))
+    ydf = spark.createDataFrame([(f"archetype{j}", *[float(v) for v in Y[j]]) for j in range(k)], ["archetype", *cols])
+    tdf = spark.createDataFrame(trace, "iteration int, objective double")
+    return cur.select(id_col, *[f"x{j}" for j in range(k)]), ydf, tdf
+
+
+def suppress_loadings(loadings: DataFrame, cut: float = 0.42, prefix: str = "factor") -> DataFrame:
+    """Keep only loadings above the cut (positive side), blank otherwise."""
+    cols = [c for c in loadings.columns if c.startswith(prefix)]
+    return loadings.select(*[c for c in loadings.columns if c not in cols],
+                           *[F.when(F.col(c) > cut, F.col(c)).alias(c) for c in cols])

@@ -286,8 +286,9 @@ def future_dates(df: DataFrame, keys: list[str], ts: str, h: int = 3, freq: str
     """The next h dates after each series' last date.
 
     ``B``: business days - h+1 business days starting at the last date (a
-    weekend rolls forward to Monday), the first dropped.  ``W``: Sunday-anchored
-    weeks after the last date.  ``D``: the following h days.
+    weekend rolls forward to Monday), the first dropped.  ``W``: h Sundays
+    starting at the first Sunday on or after the last date.  ``D``: the
+    following h days.
     """
     last = df.groupBy(*keys).agg(F.max(F.col(ts).cast("date")).alias("_last"))
     if freq == "B":
@@ -298,12 +299,12 @@ def future_dates(df: DataFrame, keys: list[str], ts: str, h: int = 3, freq: str
         cand = cand.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") > 1) & (F.col("_rn") <= h + 1))
         return cand.select(*keys, F.col("d").alias(ts), (F.col("_rn") - 1).cast("int").alias("step"))
     if freq == "W":
-        first_sun = F.date_add(F.col("_last"), ((F.lit(8) - F.dayofweek("_last")) % 7).cast("int"))
-        start = F.when(F.dayofweek("_last") == 1, F.date_add("_last", 7)).otherwise(first_sun)
+        # Sunday-anchored weeks starting at the last date when it is a Sunday
+        start = F.date_add(F.col("_last"), ((F.lit(8) - F.dayofweek("_last")) % 7).cast("int"))
         return last.select(*keys, F.posexplode(F.sequence(start, F.date_add(start, 7 * (h - 1)), F.expr("INTERVAL 7 DAYS")))
-                           .alias("step", ts)).withColumn("step", F.col("step") + 1)
+                           .alias("step", ts)).withColumn("step", (F.col("step") + 1).cast("int"))
     return last.select(*keys, F.posexplode(F.sequence(F.date_add("_last", 1), F.date_add("_last", h)))
-                       .alias("step", ts)).withColumn("step", F.col("step") + 1)
+                       .alias("step", ts)).withColumn("step", (F.col("step") + 1).cast("int"))
 
 
 def last_n(df: DataFrame, keys: list[str], ts: str, n: int) -> DataFrame:

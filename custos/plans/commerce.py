@@ -190,3 +190,15 @@ def calibration_holdout(spark, sf):
     obs_end = m.agg(F.max("date")).scalar()
     cal_end = m.agg(F.date_sub(F.max("date"), 365)).scalar()
     return clv.calibration_holdout(m, cal_end, obs_end, freq="M")
+
+
+
+_WEEKLY = _weekly_sql([], "", ("order_line_revenue",))
+
+
+@register("weekly_sales_complete", f"""SELECT * FROM ({_WEEKLY}) w
+WHERE week_date < (SELECT max(week_date) FROM ({_WEEKLY}) m)""")
+def weekly_sales_complete(spark, sf):
+    """Drop the last (incomplete) week."""
+    w = marts.weekly_sales(fixture(spark, sf, "order_line_revenue"))
+    return w.where(F.col("week_date") < w.agg(F.max("week_date")).scalar())

@@ -190,7 +190,9 @@ def survey_gap(spark, sf):
 def survey_factor_analysis(spark, sf):
     """Loadings (varimax) of four measures on two factors."""
     load, _ = ml.factor_analysis(_survey_num(spark, sf), ["q4", "q6", "q7", "q8"], 2)
-    return load
+    shown = ml.suppress_loadings(load, 0.42)  # P23
+    return load.join(shown.select("variable", *[F.col(c).alias(f"{c}_shown") for c in shown.columns if c != "variable"]),
+                     "variable")
 
 
 @register("survey_multinomial")
@@ -323,3 +325,61 @@ def event_online_dlm(spark, sf):
         # each wave is a new availableNow run; the checkpoint carries the per-series state
         online_dlm_stream(spark, src, schema, os.path.join(base, "out"), os.path.join(base, "ckpt"))
     return spark.read.parquet(os.path.join(base, "out"))
+
+
+@register("survey_best_normalize")
+def survey_best_normalize(spark, sf):
+    """Ranking of normalising transforms for the extended price."""
+    return ml.best_normalize(fixture(spark, sf, "survey"), "q5")
+
+
+@register("survey_glrm")
+def survey_glrm(spark, sf):
+    """Low-rank archetypes (k = 2) of four standardised measures; objective trace."""
+    s = _survey_num(spark, sf).withColumn("rid", F.monotonically_increasing_id())
+    _, _, trace = ml.glrm(s, "rid", ["q4", "q6", "q7", "q8"], k=2, iters=10)
+    return trace
+
+
+@register("clv_frequency_recency_matrix")
+def clv_frequency_recency_matrix(spark, sf):
+    """C17: expected purchases next period over the frequency x recency grid (fitted model)."""
+    from custos.operators import clv
+    from custos.plans.models import _fitted
+    r, bg, _ = _fitted(spark, sf)
+    return clv.frequency_recency_matrix(r, bg, 1.0)
+
+
+@register("dedupe_job")
+def dedupe_job(spark, sf):
+    """Full run (no result table yet) then an incremental run appending new matches."""
+    from custos.operators import linkage as lk
+    from custos.plans.entity import RUN_TS
+    path = _scratch(spark, "dedupe")
+    people = fixture(spark, sf, "people")
+    mode1 = lk.run_dedupe(spark, people.where(F.col("new_recs") == "0"), path, RUN_TS)
+    feed = lk.incremental_feed(people.withColumn("_loaded_at", F.when(F.col("new_recs") == "1", F.lit("2020-07-01"))
+                                                 .otherwise(F.lit("2020-01-01")).cast("timestamp")),
+                               fixture(spark, sf, "entity_lookup")).drop("timestamp")
+    mode2 = lk.run_dedupe(spark, feed, path, RUN_TS, incremental=True)
+    return spark.read.parquet(path).withColumn("runs", F.lit(f"{mode1}+{mode2}"))
+
+
+@register("doc_tfidf_vectors")
+def doc_tfidf_vectors(spark, sf):
+    """Hashed TF-IDF vectors of the chunks (stand-in for the remote embedding model)."""
+    from custos.operators import docs
+    from custos.plans.documents import chunks
+    vecs, _ = docs.embed_hashed(chunks(spark, sf), 1 << 16)
+    return vecs.select("doc_id", "chunk_id", "features")
+
+
+@register("documents_text_dir")
+def documents_text_dir(spark, sf):
+    """Documents written as one text file per document, read back whole (default row when empty)."""
+    from custos.operators import docs
+    path = _scratch(spark, "docs-dir")
+    d = scan(spark, sf, "documents").select("doc_id", "text")
+    d.write.mode("overwrite").partitionBy("doc_id").text(path)
+    back = docs.read_text_dir(spark, path)
+    return back.select("doc_id", F.length("text").alias("chars"))

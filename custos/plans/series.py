@@ -385,3 +385,37 @@ def daily_stream_upsert(spark, sf):
     upsert_daily_stream(spark, src, "dt date, river decimal(18,2), off_river decimal(18,2), month string",
                         os.path.join(base, "target"), os.path.join(base, "ckpt"))
     return spark.read.parquet(os.path.join(base, "target")).drop("_ingested", "month")
+
+
+@register("event_future_weeks", _esql("""
+SELECT series_id, cast(s + INTERVAL (7 * i) DAY AS date) AS dt, cast(i + 1 AS integer) AS step FROM (
+  SELECT series_id, cast(mx + INTERVAL ((7 - isodow(mx)) % 7) DAY AS date) AS s FROM (
+    SELECT series_id, max(dt) AS mx FROM event_daily GROUP BY series_id)), range(0, 4) t(i)"""))
+def event_future_weeks(spark, sf):
+    return ts.future_dates(fixture(spark, sf, "event_daily"), ["series_id"], "dt", 4, "W")
+
+
+@register("event_future_days", _esql("""
+SELECT series_id, cast(mx + INTERVAL (i + 1) DAY AS date) AS dt, cast(i + 1 AS integer) AS step FROM (
+  SELECT series_id, max(dt) AS mx FROM event_daily GROUP BY series_id), range(0, 7) t(i)"""))
+def event_future_days(spark, sf):
+    return ts.future_dates(fixture(spark, sf, "event_daily"), ["series_id"], "dt", 7, "D")
+
+
+@register("daily_forecast_summary", _dsql(_FC + """
+, fut AS (SELECT cast(d AS date) AS dt FROM (
+    SELECT d, row_number() OVER (ORDER BY d) AS rn FROM (
+      SELECT unnest(generate_series(mx, mx + INTERVAL 16 DAY, INTERVAL 1 DAY)) AS d FROM (SELECT max(dt) AS mx FROM fc))
+    WHERE isodow(d) < 6) WHERE rn > 1 AND rn <= 4),
+lastw AS (SELECT cast(sum(river) AS double) / 7.0 AS f FROM (SELECT river FROM fc ORDER BY dt DESC LIMIT 7)),
+u AS (SELECT dt, cast(river AS double) AS actual, cast(forecast AS double) AS forecast FROM fc
+      UNION ALL SELECT dt, NULL, (SELECT f FROM lastw) FROM fut)
+SELECT dt, actual, forecast, forecast - lag(forecast) OVER (ORDER BY dt) AS diff FROM u"""))
+def daily_forecast_summary(spark, sf):
+    """actual/predicted history plus 3 future business days (mean of the last week), with changes."""
+    hist = _daily_fc(spark, sf).select("dt", F.col("river").cast("double").alias("actual"),
+                                       F.col("forecast").cast("double").alias("forecast"))
+    last7 = ts.last_n(hist, [], "dt", 7).agg((F.sum(F.col("actual")) / 7.0)).scalar()
+    fut = ts.future_dates(hist, [], "dt", 3, "B").select("dt", F.lit(None).cast("double").alias("actual"),
+                                                          last7.alias("forecast"))
+    return ts.forecast_summary(hist, fut, [], "dt", "forecast")
