@@ -19,7 +19,9 @@ POOL_BELOW = 1250  # P26: sizes seen fewer times than this are pooled (test-tabl
 
 
 def _scratch(spark, tag):
-    return os.path.join(ensure_checkpoint_dir(spark), f"{tag}-{os.getpid()}")
+    """A fresh folder under the cluster's checkpoint dir for one call (never machine-local on a cluster)."""
+    import uuid
+    return os.path.join(ensure_checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
 # ------------------------------------------------------------ preparation

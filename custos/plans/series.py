@@ -378,7 +378,8 @@ def daily_stream_upsert(spark, sf):
     import os
     from custos.session import ensure_checkpoint_dir
     from custos.streaming.streams import upsert_daily_stream
-    base = os.path.join(ensure_checkpoint_dir(spark), f"q2-{abs(hash(sf)) % 10**8}-{os.getpid()}")
+    import uuid
+    base = os.path.join(ensure_checkpoint_dir(spark), f"q2-{uuid.uuid4().hex[:12]}")
     src = os.path.join(base, "src")
     d = daily(spark, sf).withColumn("month", F.date_format("dt", "yyyy-MM"))
     d.write.mode("overwrite").partitionBy("month").parquet(src)
