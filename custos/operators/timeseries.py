@@ -25,23 +25,29 @@ from custos.operators.layout import halo_frames
 class SeriesFrame:
     """Window plumbing shared by all operators.
 
-    ``layout="halo"`` (default) cuts every series into blocks of ``block``
-    rows with a halo, so neither one long series nor one hot key among many
-    lands on a single task.  ``layout="partition"`` is the plain
-    ``partitionBy(keys).orderBy(ts)`` window, fine when every series is small.
+    ``layout="auto"`` (default) measures the longest series with one small
+    aggregate: when every series fits in one block of ``block`` rows, the
+    plain ``partitionBy(keys).orderBy(ts)`` window is used (one task per
+    series, each bounded by ``block`` rows); otherwise series are cut into
+    blocks with a halo, so neither one long series nor one hot key lands on a
+    single task.  ``"halo"`` and ``"partition"`` force a layout.
     """
 
     def __init__(self, df: DataFrame, keys: list[str], ts: str, halo: int = 0, lead: int = 0,
-                 block: int = 4096, layout: str = "halo"):
+                 block: int = 4096, layout: str = "auto"):
         self.keys, self.ts = list(keys), ts
-        if self.keys and layout == "partition":
+        block = max(block, 2 * (halo + lead) + 2)
+        if layout == "auto":
+            longest = (df.groupBy(*self.keys).count().agg(F.max("count")).first()[0] if self.keys
+                       else df.count()) or 0
+            layout = "partition" if longest <= block else "halo"
+        if layout == "partition":
             self.halo_mode = False
             self.w = Window.partitionBy(*self.keys).orderBy(ts)
             self.df = df.withColumn("idx", (F.row_number().over(self.w) - 1).cast("bigint"))
         else:
             self.halo_mode = True
-            self.df, wkeys = halo_frames(df, ts, halo, max(block, 2 * (halo + lead) + 2), lead=lead,
-                                         partition_cols=self.keys)
+            self.df, wkeys = halo_frames(df, ts, halo, block, lead=lead, partition_cols=self.keys)
             self.w = Window.partitionBy(*wkeys).orderBy("idx")
 
     def rows(self, lo, hi) -> Window:

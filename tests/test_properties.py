@@ -110,3 +110,16 @@ def test_gamma_gamma_clv_zero_discount(spark):
     e6 = clv.expected_purchases_np(6.0, 3, 10.0, 20.0, bg)
     assert abs(out["predicted_cltv"] - round(out["exp_profit"], 9) * 0 - e6 * (
         (6 * 3) / (6 * 3 + 3) * 50 + (1 - (6 * 3) / (6 * 3 + 3)) * 6 * 15 / 3)) < 1e-6
+
+
+def test_keyed_halo_equals_partitioned_window(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"k": np.repeat(["a", "b", "c"], [400, 30, 250]),
+                        "t": np.concatenate([np.arange(400), np.arange(30), np.arange(250)]),
+                        "x": rng.normal(size=680)})
+    df = spark.createDataFrame(pdf)
+    halo = ts.SeriesFrame(df, ["k"], "t", halo=4, block=64, layout="halo")
+    part = ts.SeriesFrame(df, ["k"], "t", halo=4, layout="partition")
+    a = halo.finish(halo.df.withColumn("m", F.sum("x").over(halo.rows(-4, 0)))).orderBy("k", "t").toPandas()
+    b = part.finish(part.df.withColumn("m", F.sum("x").over(part.rows(-4, 0)))).orderBy("k", "t").toPandas()
+    assert np.allclose(a["m"].to_numpy(), b["m"].to_numpy())
