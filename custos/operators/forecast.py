@@ -264,3 +264,94 @@ def dlm(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str] | None =
         return src.groupBy(*keys).applyInPandas(run, schema)
     return src.groupBy(F.lit(0).alias("_series")).applyInPandas(lambda pdf: run(pdf.drop(columns=["_series"], errors="ignore")),
                                                                  schema)
+
+
+# ------------------------------------------------- count / binary DLM
+def _digamma(x):
+    x = np.asarray(x, dtype="float64").copy()
+    acc = np.zeros_like(x)
+    while True:
+        small = x < 12
+        if not small.any():
+            break
+        acc = acc - np.where(small, 1.0 / x, 0.0)
+        x = np.where(small, x + 1, x)
+    x2 = 1.0 / (x * x)
+    return acc + np.log(x) - 0.5 / x - x2 * (1 / 12 - x2 * (1 / 120 - x2 / 252))
+
+
+def _trigamma(x):
+    x = np.asarray(x, dtype="float64").copy()
+    acc = np.zeros_like(x)
+    while True:
+        small = x < 12
+        if not small.any():
+            break
+        acc = acc + np.where(small, 1.0 / (x * x), 0.0)
+        x = np.where(small, x + 1, x)
+    x2 = 1.0 / (x * x)
+    return acc + 1 / x + x2 / 2 + (1 / x) * x2 * (1 / 6 - x2 * (1 / 30 - x2 / 42))
+
+
+def _glm_dlm_filter(y, family: str, discount: float):
+    """Local level + trend on the linear predictor; conjugate update (West & Harrison ch. 14)."""
+    G = np.array([[1.0, 1.0], [0.0, 1.0]])
+    Fv = np.array([1.0, 0.0])
+    first = float(np.nanmean(y[: min(len(y), 7)])) if len(y) else 0.0
+    if family == "poisson":
+        m = np.array([np.log(max(first, 0.5)), 0.0])
+    else:
+        p0 = min(max(first, 0.05), 0.95)
+        m = np.array([np.log(p0 / (1 - p0)), 0.0])
+    C = np.eye(2)
+    out = []
+    for obs in y:
+        a = G @ m
+        R = G @ C @ G.T / discount
+        f = float(Fv @ a)
+        q = float(Fv @ R @ Fv)
+        if family == "poisson":
+            al, be = 1.0 / q, np.exp(-f) / q
+            mean = al / be
+            lo, hi = mean - 1.96 * np.sqrt(al) / be, mean + 1.96 * np.sqrt(al) / be
+        else:
+            al, be = (1 + np.exp(f)) / q, (1 + np.exp(-f)) / q
+            mean = al / (al + be)
+            sd = np.sqrt(al * be / ((al + be) ** 2 * (al + be + 1)))
+            lo, hi = mean - 1.96 * sd, mean + 1.96 * sd
+        out.append((mean, max(lo, 0.0), hi))
+        if np.isnan(obs):
+            m, C = a, R
+            continue
+        if family == "poisson":
+            al2, be2 = al + obs, be + 1.0
+            f2, q2 = float(_digamma(al2) - np.log(be2)), float(_trigamma(al2))
+        else:
+            al2, be2 = al + obs, be + 1.0 - obs
+            f2, q2 = float(_digamma(al2) - _digamma(be2)), float(_trigamma(al2) + _trigamma(be2))
+        RF = R @ Fv
+        m = a + RF * (f2 - f) / q
+        C = R - np.outer(RF, RF) * (1 - q2 / q) / q
+    return out
+
+
+def count_dlm(df: DataFrame, keys: list[str], ts: str, y: str, family: str = "poisson",
+              discount: float = 0.95) -> DataFrame:
+    """One-step forecasts of a count (Poisson) or 0/1 (Bernoulli) series with a dynamic model.
+
+    Each series is filtered in ``groupBy(keys).applyInPandas`` (sequential by
+    nature, one task per series); outputs the predictive mean and a 95% band.
+    """
+    key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = (key_schema + ", " if keys else "") + f"{ts} date, y double, mean double, lower double, upper double"
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(ts)
+        yv = pdf[y].astype("float64").to_numpy()
+        res = _glm_dlm_filter(yv, family, discount)
+        base = {k: pdf[k].iloc[0] for k in keys}
+        return pd.DataFrame([{**base, ts: pdf[ts].iloc[i], "y": yv[i], "mean": r[0], "lower": r[1], "upper": r[2]}
+                             for i, r in enumerate(res)], columns=[*keys, ts, "y", "mean", "lower", "upper"])
+
+    src = df.select(*keys, F.col(ts).cast("date").alias(ts), F.col(y).cast("double").alias(y))
+    return src.groupBy(*keys).applyInPandas(run, schema)

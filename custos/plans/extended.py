@@ -385,3 +385,17 @@ def documents_text_dir(spark, sf):
     d.write.mode("overwrite").partitionBy("doc_id").text(path)
     back = docs.read_text_dir(spark, path)
     return back.select("doc_id", F.length("text").alias("chars"))
+
+
+@register("event_count_dlm")
+def event_count_dlm(spark, sf):
+    """Poisson dynamic model of daily event counts per type."""
+    return forecast.count_dlm(fixture(spark, sf, "event_daily"), ["series_id"], "dt", "n", "poisson")
+
+
+@register("event_binary_dlm")
+def event_binary_dlm(spark, sf):
+    """Bernoulli dynamic model of 'value went up' per type."""
+    e = fixture(spark, sf, "event_daily")
+    up = ts.lags(e, ["series_id"], "dt", ["value"], (1,), diff=False, direction=True)
+    return forecast.count_dlm(up, ["series_id"], "dt", "value_up", "bernoulli")

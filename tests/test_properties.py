@@ -123,3 +123,18 @@ def test_keyed_halo_equals_partitioned_window(spark):
     a = halo.finish(halo.df.withColumn("m", F.sum("x").over(halo.rows(-4, 0)))).orderBy("k", "t").toPandas()
     b = part.finish(part.df.withColumn("m", F.sum("x").over(part.rows(-4, 0)))).orderBy("k", "t").toPandas()
     assert np.allclose(a["m"].to_numpy(), b["m"].to_numpy())
+
+
+def test_special_digamma_trigamma():
+    from custos.operators.forecast import _digamma, _trigamma
+    # digamma(1) = -Euler gamma, trigamma(1) = pi^2/6, recurrence psi(x+1) = psi(x) + 1/x
+    assert abs(_digamma(1.0) + 0.5772156649015329) < 1e-10
+    assert abs(_trigamma(1.0) - math.pi ** 2 / 6) < 1e-10
+    assert abs(_digamma(3.5) - _digamma(2.5) - 1 / 2.5) < 1e-12
+
+
+def test_count_dlm_tracks_constant_rate(spark):
+    from custos.operators.forecast import count_dlm
+    pdf = pd.DataFrame({"k": "a", "t": pd.date_range("2024-01-01", periods=60).date, "y": 5.0})
+    out = count_dlm(spark.createDataFrame(pdf), ["k"], "t", "y").orderBy("t").toPandas()
+    assert abs(out["mean"].iloc[-1] - 5.0) < 0.5
