@@ -17,6 +17,37 @@ from pyspark.sql import functions as F
 from custos.operators.layout import prefix_sums
 
 
+# ------------------------------------------------------------ exact quantiles
+def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs, names=None) -> DataFrame:
+    """Exact interpolated quantiles (position p(n-1), linear between neighbours) per group.
+
+    No single aggregation buffer holds the values: rows are reduced to
+    (group, value, count), cumulative counts come from the parallel prefix
+    sums, and the two order statistics around each position are picked by a
+    range filter.  One output row per group with a column per probability.
+    """
+    names = names or [f"q{i}" for i in range(len(probs))]
+    x = F.col(col).cast("double")
+    counts = (df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull())
+                .groupBy(*keys, "_x").agg(F.count("*").alias("_c")))
+    cum = prefix_sums(counts, ["_x"], ["_c"], partition_cols=keys)
+    n = cum.groupBy(*keys).agg(F.max("cum__c").alias("_n"))
+    cum = cum.join(n, keys) if keys else cum.withColumn("_n", n.select("_n").scalar())
+    aggs = []
+    for p, name in zip(probs, names):
+        pos = (F.col("_n") - 1) * float(p)
+        lo_r, hi_r = F.floor(pos), F.ceil(pos)
+        start = F.col("cum__c") - F.col("_c")          # ranks [start, cum) hold this value
+        at_lo = (start <= lo_r) & (lo_r < F.col("cum__c"))
+        at_hi = (start <= hi_r) & (hi_r < F.col("cum__c"))
+        aggs += [F.max(F.when(at_lo, F.col("_x"))).alias(f"_{name}_lo"),
+                 F.max(F.when(at_hi, F.col("_x"))).alias(f"_{name}_hi"),
+                 F.max(pos - lo_r).alias(f"_{name}_f")]
+    g = cum.groupBy(*keys).agg(*aggs)
+    return g.select(*keys, *[(F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo")) * F.col(f"_{nm}_f"))
+                             .alias(nm) for nm in names])
+
+
 # ---------------------------------------------------------------- relational
 def distinct_rows(df: DataFrame) -> DataFrame:
     """A5: group-by-all = distinct."""
@@ -49,10 +80,10 @@ def group_means(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
 
 
 def group_median(df: DataFrame, keys: list[str], col: str, approx: bool = False) -> DataFrame:
-    """Exact interpolated median per group."""
-    c = F.col(col).cast("double")
-    agg = F.percentile_approx(c, 0.5, 100000) if approx else F.median(c)
-    return df.groupBy(*keys).agg(agg.alias(f"median_{col}"))
+    """Exact interpolated median per group (``approx`` uses percentile_approx)."""
+    if approx:
+        return df.groupBy(*keys).agg(F.percentile_approx(F.col(col).cast("double"), 0.5, 100000).alias(f"median_{col}"))
+    return exact_quantiles(df, keys, col, [0.5], [f"median_{col}"])
 
 
 def share_of_total(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,18 +125,17 @@ def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     one = df.agg(*aggs)
     sel = []
     for c in cols:
+        q = exact_quantiles(df, [], c, [0.25, 0.5, 0.75], ["a", "b", "c"])
         sel += [F.col(f"{c}__count"), F.round(f"{c}__mean", digits).alias(f"{c}__mean"),
                 F.round(f"{c}__std", digits).alias(f"{c}__std"), F.col(f"{c}__min"),
-                F.round(F.col(f"{c}__q")[0], digits).alias(f"{c}__25%"),
-                F.round(F.col(f"{c}__q")[1], digits).alias(f"{c}__50%"),
-                F.round(F.col(f"{c}__q")[2], digits).alias(f"{c}__75%"), F.col(f"{c}__max")]
+                F.round(q.select("a").scalar(), digits).alias(f"{c}__25%"),
+                F.round(q.select("b").scalar(), digits).alias(f"{c}__50%"),
+                F.round(q.select("c").scalar(), digits).alias(f"{c}__75%"), F.col(f"{c}__max")]
     return _stack(one.select(*sel), cols, ["count", "mean", "std", "min", "25%", "50%", "75%", "max"])
 
 
@@ -116,42 +146,38 @@ def describe_extended(df: DataFrame, cols: list[str], digits: int = 6, trim: flo
     1.4826 x median absolute deviation; the trimmed mean drops floor(trim*n)
     values from each end, handling ties at the cut exactly.
     """
-    out = []
+    spark = df.sparkSession
+    rows = []
     for c in cols:
         x = F.col(c).cast("double")
         base = df.select(x.alias("x")).where(F.col("x").isNotNull())
+        # each step is one aggregate whose one-row result is fetched (a few
+        # numbers); Spark 4.1 cannot code-generate nested scalar subqueries
         m = base.agg(F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"),
-                     F.median("x").alias("median"), F.min("x").alias("min"), F.max("x").alias("max"))
-        k = F.floor(F.col("n") * trim)
-        mean, med = m.select("mean").scalar(), m.select("median").scalar()
-        mom = base.agg(
-            F.avg(F.pow(F.col("x") - mean, 2)).alias("m2"),
-            F.avg(F.pow(F.col("x") - mean, 3)).alias("m3"),
-            F.avg(F.pow(F.col("x") - mean, 4)).alias("m4"),
-            F.median(F.abs(F.col("x") - med)).alias("mad0"))
+                     F.min("x").alias("min"), F.max("x").alias("max")).first()
+        n, mean, sd = m["n"], m["mean"], m["sd"]
+        med = exact_quantiles(base, [], "x", [0.5], ["median"]).first()["median"]
+        mad0 = exact_quantiles(base.select(F.abs(F.col("x") - med).alias("ad")), [], "ad", [0.5], ["m"]).first()["m"]
+        mom = base.agg(F.avg(F.pow(F.col("x") - mean, 2)).alias("m2"), F.avg(F.pow(F.col("x") - mean, 3)).alias("m3"),
+                       F.avg(F.pow(F.col("x") - mean, 4)).alias("m4")).first()
+        k = int(n * trim)
         # trimmed mean: ranks over distinct values, exact with ties at the cut
         ranked = prefix_sums(base.groupBy("x").agg(F.count("*").alias("c")), ["x"], ["c"])
-        trimmed = (ranked.withColumn("n", m.select("n").scalar())
-                         .withColumn("k", k)
-                         .withColumn("below", F.col("cum_c") - F.col("c"))
-                         # rows of this value kept: those with rank in (k, n-k]
-                         .withColumn("keep", F.greatest(F.lit(0), F.least(F.col("cum_c"), F.col("n") - F.col("k"))
-                                                        - F.greatest(F.col("below"), F.col("k"))))
-                         .agg(F.sum(F.col("x") * F.col("keep")).alias("tsum"), F.sum("keep").alias("tn")))
-        row = m.select(
-            *[mom.select(c2).scalar().alias(c2) for c2 in ("m2", "m3", "m4", "mad0")],
-            *[trimmed.select(c2).scalar().alias(c2) for c2 in ("tsum", "tn")], "*").select(
-            F.lit(c).alias("column_name"), F.col("n").cast("double").alias("n"),
-            F.round("mean", digits).alias("mean"), F.round("sd", digits).alias("sd"),
-            F.round("median", digits).alias("median"),
-            F.round(F.col("tsum") / F.col("tn"), digits).alias("trimmed"),
-            F.round(F.col("mad0") * 1.4826, digits).alias("mad"),
-            F.col("min"), F.col("max"), (F.col("max") - F.col("min")).alias("range"),
-            F.round(F.col("m3") / F.pow("m2", 1.5) * F.pow((F.col("n") - 1) / F.col("n"), 1.5), digits).alias("skew"),
-            F.round(F.col("m4") / F.pow("m2", 2) * F.pow((F.col("n") - 1) / F.col("n"), 2) - 3, digits).alias("kurtosis"),
-            F.round(F.col("sd") / F.sqrt("n"), digits).alias("se"))
-        out.append(row)
-    return reduce(DataFrame.unionByName, out)
+        keep = F.greatest(F.lit(0), F.least(F.col("cum_c"), F.lit(n - k)) - F.greatest(F.col("cum_c") - F.col("c"), F.lit(k)))
+        t = ranked.agg(F.sum(F.col("x") * keep).alias("tsum"), F.sum(keep).alias("tn")).first()
+        rows.append((c, n, mean, sd, med, t["tsum"], t["tn"], mad0, m["min"], m["max"], mom["m2"], mom["m3"], mom["m4"]))
+    one = spark.createDataFrame(rows, "column_name string, n long, mean double, sd double, median double, "
+                                      "tsum double, tn long, mad0 double, min double, max double, m2 double, m3 double, m4 double")
+    return one.select(
+        "column_name", F.col("n").cast("double").alias("n"),
+        F.round("mean", digits).alias("mean"), F.round("sd", digits).alias("sd"),
+        F.round("median", digits).alias("median"),
+        F.round(F.col("tsum") / F.col("tn"), digits).alias("trimmed"),
+        F.round(F.col("mad0") * 1.4826, digits).alias("mad"),
+        F.col("min"), F.col("max"), (F.col("max") - F.col("min")).alias("range"),
+        F.round(F.col("m3") / F.pow("m2", 1.5) * F.pow((F.col("n") - 1) / F.col("n"), 1.5), digits).alias("skew"),
+        F.round(F.col("m4") / F.pow("m2", 2) * F.pow((F.col("n") - 1) / F.col("n"), 2) - 3, digits).alias("kurtosis"),
+        F.round(F.col("sd") / F.sqrt("n"), digits).alias("se"))
 
 
 def scalar_stats(df: DataFrame, col: str) -> DataFrame:
@@ -187,10 +213,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def quantiles_by_step(samples: DataFrame, step: str = "step", value: str = "value",
                       probs=(0.025, 0.5, 0.975), digits: int = 6) -> DataFrame:
     """Interval bounds and median of a sample table per step."""
-    q = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs]))
-    g = samples.groupBy(step).agg(q.alias("q"))
     names = ["lower", "median", "upper"] if len(probs) == 3 else [f"q{i}" for i in range(len(probs))]
-    return g.select(step, *[F.round(F.col("q")[i], digits).alias(n) for i, n in enumerate(names)])
+    g = exact_quantiles(samples, [step], value, probs, names)
+    return g.select(step, *[F.round(n, digits).alias(n) for n in names])
 
 
 def prob_vs_level(samples: DataFrame, level: float, step: str = "step", value: str = "value") -> DataFrame:
@@ -201,8 +226,8 @@ def prob_vs_level(samples: DataFrame, level: float, step: str = "step", value: s
     """
     v = F.col(value).cast("double")
     g = samples.groupBy(step).agg(F.avg((v > level).cast("double")).alias("p_up"),
-                                  F.avg((v < level).cast("double")).alias("p_down"),
-                                  F.median(v).alias("med"))
+                                  F.avg((v < level).cast("double")).alias("p_down"))
+    g = g.join(exact_quantiles(samples, [step], value, [0.5], ["med"]), step)
     first = g.agg(F.min_by("med", step)).scalar()
     return (g.withColumn("med1", first)
              .select(step, F.when(F.col("med1") > level, F.lit("up")).otherwise(F.lit("down")).alias("direction"),
