@@ -18,16 +18,25 @@ from custos.operators.layout import prefix_sums
 
 
 # ------------------------------------------------------------ exact quantiles
-def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs, names=None) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs, names=None,
+                    max_buffer: int = 1_000_000) -> DataFrame:
     """Exact interpolated quantiles (position p(n-1), linear between neighbours) per group.
 
-    No single aggregation buffer holds the values: rows are reduced to
+    Spark's ``percentile`` keeps a value -> count map per group.  When the
+    column has at most ``max_buffer`` distinct values (one cheap estimate,
+    with a safety margin) that map is bounded and the single-pass aggregate is
+    used.  Otherwise no single buffer holds the values: rows are reduced to
     (group, value, count), cumulative counts come from the parallel prefix
     sums, and the two order statistics around each position are picked by a
     range filter.  One output row per group with a column per probability.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
     x = F.col(col).cast("double")
+    distinct = df.agg(F.approx_count_distinct(x, 0.05)).first()[0] or 0
+    if distinct * 1.2 <= max_buffer:
+        q = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
+        g = df.groupBy(*keys).agg(q.alias("_q"))
+        return g.select(*keys, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
     counts = (df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull())
                 .groupBy(*keys, "_x").agg(F.count("*").alias("_c")))
     cum = prefix_sums(counts, ["_x"], ["_c"], partition_cols=keys)
@@ -130,12 +139,12 @@ def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     one = df.agg(*aggs)
     sel = []
     for c in cols:
-        q = exact_quantiles(df, [], c, [0.25, 0.5, 0.75], ["a", "b", "c"])
+        q = exact_quantiles(df, [], c, [0.25, 0.5, 0.75], ["a", "b", "c"]).first()  # three numbers
         sel += [F.col(f"{c}__count"), F.round(f"{c}__mean", digits).alias(f"{c}__mean"),
                 F.round(f"{c}__std", digits).alias(f"{c}__std"), F.col(f"{c}__min"),
-                F.round(q.select("a").scalar(), digits).alias(f"{c}__25%"),
-                F.round(q.select("b").scalar(), digits).alias(f"{c}__50%"),
-                F.round(q.select("c").scalar(), digits).alias(f"{c}__75%"), F.col(f"{c}__max")]
+                F.round(F.lit(q["a"]).cast("double"), digits).alias(f"{c}__25%"),
+                F.round(F.lit(q["b"]).cast("double"), digits).alias(f"{c}__50%"),
+                F.round(F.lit(q["c"]).cast("double"), digits).alias(f"{c}__75%"), F.col(f"{c}__max")]
     return _stack(one.select(*sel), cols, ["count", "mean", "std", "min", "25%", "50%", "75%", "max"])
 
 

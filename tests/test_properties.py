@@ -138,3 +138,15 @@ def test_count_dlm_tracks_constant_rate(spark):
     pdf = pd.DataFrame({"k": "a", "t": pd.date_range("2024-01-01", periods=60).date, "y": 5.0})
     out = count_dlm(spark.createDataFrame(pdf), ["k"], "t", "y").orderBy("t").toPandas()
     assert abs(out["mean"].iloc[-1] - 5.0) < 0.5
+
+
+def test_exact_quantiles_both_paths_agree(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 900), "x": np.round(rng.normal(size=900), 2)})
+    df = spark.createDataFrame(pdf)
+    probs = [0.025, 0.25, 0.5, 0.975]
+    a = stats.exact_quantiles(df, ["g"], "x", probs, max_buffer=10 ** 9).orderBy("g").toPandas()
+    b = stats.exact_quantiles(df, ["g"], "x", probs, max_buffer=0).orderBy("g").toPandas()
+    ref = pdf.groupby("g")["x"].quantile(probs).unstack().to_numpy()
+    assert np.allclose(a[[f"q{i}" for i in range(4)]].to_numpy(), ref)
+    assert np.allclose(b[[f"q{i}" for i in range(4)]].to_numpy(), ref)
