@@ -107,7 +107,9 @@ def ar_forecast(df: DataFrame, fit: DataFrame, keys: list[str], ts: str, y: str,
     last = (df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= p)  # p rows per series
               .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(ts), F.col(y).cast("double").alias("v"))))
                                   .alias("hist")))
-    state = last.join(fit, keys) if keys else last.crossJoin(fit)  # one row per series on both sides
+    # one row per series on both sides (a single series joins on a constant key)
+    state = (last.join(fit, keys) if keys
+             else last.withColumn("_one", F.lit(1)).join(fit.withColumn("_one", F.lit(1)), "_one").drop("_one"))
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = (key_schema + ", " if keys else "") + "step int, forecast double, lower double, upper double"
 
@@ -141,7 +143,8 @@ def fitted_residuals(design: DataFrame, fit: DataFrame, keys: list[str], p: int,
     """Fitted values and residuals of an AR fit joined back to its design rows."""
     xs = xs or []
     reg = [F.lit(1.0)] + [F.col(f"_l{k}") for k in range(1, p + 1)] + [F.col(f"_x_{x}") for x in xs]
-    j = design.join(fit.select(*keys, "coef"), keys) if keys else design.crossJoin(fit.select("coef"))
+    j = (design.join(fit.select(*keys, "coef"), keys) if keys
+         else design.withColumn("coef", fit.select("coef").scalar()))
     fitted = sum((F.col("coef")[i] * reg[i] for i in range(len(reg))), F.lit(0.0))
     return j.withColumn("fitted", fitted).withColumn("residual", F.col("_y") - F.col("fitted")).drop("coef")
 

@@ -93,7 +93,9 @@ def holdout_vs_prediction(spark, sf):
     corr = red.agg(F.corr("predicted_cltv", "amount").alias("corr"))
     med = (red.where(F.col("trxn") < 10).groupBy("trxn")
               .agg(F.median("predicted_cltv").alias("median_cltv"), F.median("amount").alias("median_amount")))
-    return med.crossJoin(line).crossJoin(corr)  # line and corr are one-row aggregates
+    # one-row aggregates attached as scalar subqueries
+    return med.select("*", *[line.select(c).scalar().alias(c) for c in line.columns],
+                      corr.select("corr").scalar().alias("corr"))
 
 
 @register("credit_logit_table")
