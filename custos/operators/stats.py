@@ -2,9 +2,10 @@
 
 Everything here is an aggregate or a partitioned window; the only global
 orders (ROC curve, ranks) go through ``layout.prefix_sums`` so they never sit
-on one task.  Exact percentiles use Spark's ``percentile`` (it keeps a value
--> count map per group); ``approx=True`` switches to ``percentile_approx``
-for very high-cardinality groups.
+on one task.  Exact quantiles (``exact_quantiles``) use Spark's single-pass
+``percentile`` only while the column's distinct count bounds its value ->
+count buffer, and otherwise per-value counts + parallel prefix sums, so no
+task ever holds all values of a group.
 """
 
 from __future__ import annotations
