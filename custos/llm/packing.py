@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -28,48 +29,80 @@ from custos.llm.common import slices, stored
 
 SEQUENCE = 2048
 SHARD_ROWS = 1 << 16
-CACHE_UNITS = 400_000
+CACHE_UNITS = 600_000
+UNITS_IN_A_ROW = 512
 BATCH_CHARS = 4_000_000
 
 
 @functools.cache
 def _tokenizer(path: str):
+    """The tokenizer, the bytes that each id stands for (their number), and the ids of units seen before."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
-    return t, {}
+    vocabulary = t.get_vocab()
+    width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for token, i in vocabulary.items():
+        width[i] = len(token)  # byte-level: a character for each byte
+    return t, width, {}
+
+
+_ODD_SPACE = re.compile(r" (?:\s|$)")
 
 
 def units(text: str) -> list[str]:
-    """Cut ``text`` before each space that a visible character follows.
+    """Cut ``text`` at each space that a visible character follows; the space goes with what follows.
 
     Byte-level BPE starts a word at every such space, so the ids of the text
-    are those of its units in a row.
+    are those of its units in a row.  The units come without that space.
     """
-    first, *rest = text.split(" ")
-    out = [first] if first else []
-    for part in rest:
-        if out and (not part or part[0].isspace()):
+    parts = text.split(" ")
+    if not _ODD_SPACE.search(text):
+        return parts
+    out = parts[:1]
+    for part in parts[1:]:
+        if not part or part[0].isspace():
             out[-1] += " " + part
         else:
-            out.append(" " + part)
+            out.append(part)
     return out
 
 
+def _encode_units(new: list[str], tok, width: np.ndarray, known: dict[str, bytes]) -> None:
+    """Put the ids of ``new`` units, each after a space, in ``known``.
+
+    Many are encoded in a row, and the ids are dealt out by the bytes they
+    stand for.
+    """
+    rows = [new[a:a + UNITS_IN_A_ROW] for a in range(0, len(new), UNITS_IN_A_ROW)]
+    for lo in range(0, len(rows), 64):
+        some = rows[lo:lo + 64]
+        texts = [" " + " ".join(r) for r in some]
+        for row, text, e in zip(some, texts, tok.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            want = np.cumsum([len(u) for u in row] if text.isascii() else [len(u.encode()) for u in row]) + np.arange(1, len(row) + 1)
+            ends = np.cumsum(width[ids])
+            stop = np.searchsorted(ends, want) + 1
+            if (ends[stop - 1] != want).any():
+                raise ValueError("the tokenizer is not byte-level with words that begin at spaces")
+            data, a = ids.tobytes(), 0
+            for u, b in zip(row, (4 * stop).tolist()):
+                known[u] = data[a:b]
+                a = b
+
+
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit integers."""
-    tok, known = _tokenizer(path)
+    tok, width, known = _tokenizer(path)
     if len(known) > CACHE_UNITS:
         known.clear()
     cut = [units(t) for t in texts]
-    new = list(set().union(*cut) - known.keys())
-    for a in range(0, len(new), 20_000):
-        part = new[a:a + 20_000]
-        for u, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
-            known[u] = np.asarray(e.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, c)) for c in cut]
+    first = [c.pop(0) for c in cut]
+    _encode_units(list(set().union(*cut).difference(known)), tok, width, known)
+    heads = tok.encode_batch_fast(first, add_special_tokens=False)
+    return [np.array(h.ids, "<u4").tobytes() + b"".join(map(known.__getitem__, c)) for h, c in zip(heads, cut)]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE) -> DataFrame:
