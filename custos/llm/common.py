@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from custos.session import ensure_checkpoint_dir
 
@@ -34,6 +34,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def bounded_sample(rows: DataFrame, group: str, key: Column, limit: int, counts: dict) -> DataFrame:
+    """At most ``limit`` rows of each group, the first by the hash of ``key``.
+
+    ``counts`` holds the rows of each group.  Large groups are thinned by hash
+    to about twice the limit where the rows lie, so that ranking them moves a
+    bounded number of rows.
+    """
+    h = F.xxhash64(key)
+    share = F.create_map(*(F.lit(x) for g, n in counts.items() for x in (g, int(min(1.0, 2 * limit / n) * 2 ** 30)))) if counts else F.lit(None)
+    few = rows.where(F.shiftrightunsigned(h, 34) < share[F.col(group)]) if counts else rows.limit(0)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(h, key))
+    return few.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+
+
 def text_bytes(col: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is the empty text."""
     return [b"" if v is None else v for v in col.cast(pa.large_binary()).to_pylist()]

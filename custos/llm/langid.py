@@ -23,9 +23,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from custos.llm.common import slices, text_bytes
+from custos.llm.common import bounded_sample, slices, text_bytes
 
 WINDOW = 64
 HIDDEN = 8
@@ -183,12 +183,14 @@ def probabilities(texts: list[bytes], model: Model, params: dict | None = None)
 
 def sample_windows(docs: DataFrame, usable: Callable[[Column], Column], id_col: str, text_col: str, label_col: str) -> tuple[list[bytes], list[str]]:
     """Windows of the bounded training sample, evenly spread over whole texts."""
-    rows = docs.where(usable(docs[id_col]) & docs[label_col].isNotNull() & docs[text_col].rlike(r"\p{L}")).select(
-        docs[label_col].cast("string").alias("label"), F.xxhash64(docs[id_col], docs[text_col]).alias("h"),
-        F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda i: F.substring(
-            docs[text_col], (i * F.greatest(F.length(docs[text_col]) - WINDOW, F.lit(0)) / (WINDOWS_PER_DOC - 1)).cast("int") + 1, F.lit(WINDOW))).alias("windows"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "windows"))
-    got = sorted(rows.withColumn("r", rank).where(F.col("r") <= DOCS_PER_LABEL).select("label", "r", "windows").collect())
+    lang, text = docs[label_col].cast("string"), F.col("text")
+    mine = docs.where(usable(docs[id_col]) & lang.isNotNull())
+    counts = {r["label"]: r["count"] for r in mine.groupBy(lang.alias("label")).count().collect()}
+    at = lambda i: (i * F.greatest(F.length(text) - WINDOW, F.lit(0)) / (WINDOWS_PER_DOC - 1)).cast("int") + 1
+    windows = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda i: F.substring(text, at(i), F.lit(WINDOW)))
+    rows = bounded_sample(mine.select(lang.alias("label"), docs[id_col].alias("id"), text.alias("text")), "label", F.col("id"), DOCS_PER_LABEL, counts)
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    got = sorted(rows.select("label", windows.alias("windows")).collect())
     pairs = [(w.encode()[:WINDOW], r["label"]) for r in got for w in dict.fromkeys(r["windows"]) if w]
     return [w for w, _ in pairs], [label for _, label in pairs]
 
