@@ -84,6 +84,10 @@ def t_quantile_975(df: float) -> float:
     z = 1.959963984540054
     if df <= 0:
         return float("nan")
+    if df == 1:
+        return math.tan(math.pi * 0.475)
+    if df == 2:
+        return 0.95 * math.sqrt(2 / (4 * 0.975 * 0.025))
     g1 = (z ** 3 + z) / 4.0
     g2 = (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96.0
     g3 = (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384.0

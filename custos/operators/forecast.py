@@ -45,59 +45,80 @@ def ar_design(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str], p:
     return out.where(cond).select(*keys, ts, *cols)
 
 
-def ar_fit(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str] | None = None, p: int = 1,
-           d: int = 0) -> DataFrame:
-    """OLS fit of y_t on 1, y_{t-1..t-p}, x_t per series via moment sums.
+def _ar_solutions(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str], orders: list[int], d: int) -> DataFrame:
+    """OLS fits of every lag order in ``orders`` on the sample of the longest one, per series.
 
-    Returns one row per series: coefficients (intercept, lags, regressors),
-    sigma2, log-likelihood, AIC, n.
+    Every column is centred and scaled by its own mean and deviation of the
+    series before products are summed, so large levels lose no digits; the
+    coefficients are scaled back and the intercept follows from the means.
     """
-    xs = xs or []
-    des = ar_design(df, keys, ts, y, xs, p, d).withColumn("_one", F.lit(1.0))
-    reg = ["_one"] + [f"_l{k}" for k in range(1, p + 1)] + [f"_x_{x}" for x in xs]
-    m = len(reg)
-    aggs = [F.count("*").alias("n"), F.sum(F.col("_y") * F.col("_y")).alias("yy")]
-    aggs += [F.sum(F.col(reg[i]) * F.col(reg[j])).alias(f"xx_{i}_{j}") for i in range(m) for j in range(i, m)]
-    aggs += [F.sum(F.col(reg[i]) * F.col("_y")).alias(f"xy_{i}") for i in range(m)]
+    top = max(orders)
+    cols = ["_y"] + [f"_l{k}" for k in range(1, top + 1)] + [f"_x_{x}" for x in xs]
+    des = ar_design(df, keys, ts, y, xs, top, d)
+    location = [F.avg(c).alias(f"mean{c}") for c in cols] + [F.stddev_pop(c).alias(f"sd{c}") for c in cols]
+    if keys:
+        des = des.join(des.groupBy(*keys).agg(F.struct(*location).alias("_s")), keys)
+    else:
+        des = des.withColumn("_s", des.agg(F.struct(*location).alias("_s")).scalar())
+    unit = {c: F.when(F.col("_s")[f"sd{c}"] > 0, F.col("_s")[f"sd{c}"]).otherwise(1.0) for c in cols}
+    z = {c: (F.col(c) - F.col("_s")[f"mean{c}"]) / unit[c] for c in cols}
+    aggs = [F.count("*").alias("n"), F.first("_s").alias("_s")]
+    aggs += [F.sum(z[p] * z[q]).alias(f"m_{i}_{j}") for i, p in enumerate(cols) for j, q in enumerate(cols) if i <= j]
     mom = des.groupBy(*keys).agg(*aggs) if keys else des.agg(*aggs)
-    key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    schema = (key_schema + ", " if keys else "") + "coef array<double>, sigma2 double, loglik double, aic double, n long"
+    key_schema = "".join(f"{k} {df.schema[k].dataType.simpleString()}, " for k in keys)
+    names = [*keys, "coef", "sigma2", "loglik", "aic", "n", "p", "d"]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, r in pdf.iterrows():
-            XX = np.zeros((m, m))
-            for i in range(m):
-                for j in range(i, m):
-                    XX[i, j] = XX[j, i] = r[f"xx_{i}_{j}"]
-            Xy = np.array([r[f"xy_{i}"] for i in range(m)])
-            beta = np.linalg.lstsq(XX, Xy, rcond=None)[0]
-            n = int(r["n"])
-            rss = float(r["yy"] - 2 * beta @ Xy + beta @ XX @ beta)
-            s2 = max(rss / n, 1e-300)
-            ll = -0.5 * n * (math.log(2 * math.pi * s2) + 1)
-            row = {k: r[k] for k in keys}
-            row.update(coef=beta.tolist(), sigma2=s2, loglik=ll, aic=-2 * ll + 2 * (m + 1), n=n)
-            out.append(row)
-        return pd.DataFrame(out, columns=[*keys, "coef", "sigma2", "loglik", "aic", "n"])
-
+            n, scale = int(r["n"]), r["_s"]
+            if n == 0:
+                continue
+            m = np.zeros((len(cols), len(cols)))
+            for i in range(len(cols)):
+                for j in range(i, len(cols)):
+                    m[i, j] = m[j, i] = r[f"m_{i}_{j}"]
+            sd = np.array([scale[f"sd{c}"] or 1.0 for c in cols])
+            mean = np.array([scale[f"mean{c}"] for c in cols])
+            for p in orders:
+                at = [*range(1, p + 1), *range(top + 1, len(cols))]
+                zz, zy = m[np.ix_(at, at)], m[at, 0]
+                beta = np.linalg.lstsq(zz, zy, rcond=None)[0]
+                slope = beta * sd[0] / sd[at]
+                s2 = max(float(m[0, 0] - 2 * beta @ zy + beta @ zz @ beta) * sd[0] ** 2 / n, 1e-300)
+                ll = -0.5 * n * (math.log(2 * math.pi * s2) + 1)
+                out.append({**{k: r[k] for k in keys}, "coef": [float(mean[0] - slope @ mean[at]), *slope.tolist()], "sigma2": s2,
+                            "loglik": ll, "aic": -2 * ll + 2 * (len(at) + 2), "n": n, "p": p, "d": d})
+        return pd.DataFrame(out, columns=names)
+
+    schema = key_schema + "coef array<double>, sigma2 double, loglik double, aic double, n long, p int, d int"
     if keys:
         return mom.groupBy(*keys).applyInPandas(solve, schema)
     return mom.mapInPandas(lambda it: (solve(pdf) for pdf in it), schema)
 
 
+def ar_fit(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str] | None = None, p: int = 1,
+           d: int = 0) -> DataFrame:
+    """OLS fit of y_t on 1, y_{t-1..t-p}, x_t per series via moment sums.
+
+    Returns one row per series: coefficients (intercept, lags, regressors),
+    sigma2, log-likelihood, AIC, n.
+    """
+    return _ar_solutions(df, keys, ts, y, xs or [], [p], d).drop("p", "d")
+
+
 def ar_order_search(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str] | None = None,
                     max_p: int = 3, ds=(0, 1)) -> DataFrame:
-    """AIC over a (p, d) grid, best order per series."""
+    """Best lag order by AIC for each series and difference order.
+
+    All lag orders of a difference order share one sample and one scan; orders
+    of differencing change the target, so they are never ranked together.
+    """
     from functools import reduce
-    fits = [ar_fit(df, keys, ts, y, xs, p, d).withColumn("p", F.lit(p)).withColumn("d", F.lit(d))
-            for d in ds for p in range(1, max_p + 1)]
-    allf = reduce(DataFrame.unionByName, fits)
-    if not keys:
-        return allf.orderBy("aic").limit(1)
     from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy("aic", "p", "d")
-    return allf.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    fits = reduce(DataFrame.unionByName, [_ar_solutions(df, keys, ts, y, xs or [], list(range(1, max_p + 1)), d) for d in ds])
+    w = Window.partitionBy(*keys, "d").orderBy("aic", "p")
+    return fits.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
 def ar_forecast(df: DataFrame, fit: DataFrame, keys: list[str], ts: str, y: str, p: int, h: int = 12) -> DataFrame:

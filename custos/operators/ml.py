@@ -15,6 +15,8 @@ from pyspark.ml.feature import OneHotEncoder, PCA, StringIndexer, VectorAssemble
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -231,7 +233,7 @@ def logistic(df: DataFrame, features: list[str], label: str, c: float = 1.0, bal
     if balanced:
         data = balanced_weights(data, label)
     n = data.count()
-    lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0,
+    lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
                             weightCol="weight" if balanced else None)
     return lr.fit(data), data
 
@@ -239,7 +241,7 @@ def logistic(df: DataFrame, features: list[str], label: str, c: float = 1.0, bal
 def glm_table(df: DataFrame, features: list[str], label: str, family: str = "binomial") -> DataFrame:
     """Coefficient table with standard error, z (t), p-value, plus AIC."""
     data = assemble(df, features)
-    link = "logit" if family == "binomial" else "identity"
+    link = {"binomial": "logit", "poisson": "log"}.get(family, "identity")
     m = GeneralizedLinearRegression(family=family, link=link, featuresCol="features", labelCol=label).fit(data)
     s = m.summary
     names = features + ["intercept"]
@@ -374,16 +376,18 @@ def nearest_distance(queries: DataFrame, corpus: DataFrame, cols: list[str], qid
                      max_queries: int = 20000) -> DataFrame:
     """Exact Euclidean distance from each query point to its nearest corpus row.
 
-    The query batch (row count checked) is broadcast; each task computes
+    A query block of at most ``max_queries`` rows is broadcast; each task computes
     distances for its corpus rows in blocks and keeps the per-query minimum,
     so only (queries x tasks) minima are shuffled.  With ``cid`` a query never
     matches the corpus row with the same id (self-distance excluded).
     """
     import numpy as np
     import pandas as pd
-    n_q = queries.count()
-    if n_q > max_queries:
-        raise ValueError(f"{n_q} query points exceed max_queries={max_queries}")
+    blocks = -(-queries.count() // max_queries)
+    if blocks > 1:  # blocks of queries by hash of their id, one after the other
+        block = F.pmod(F.xxhash64(qid), F.lit(2 * blocks))
+        parts = [nearest_distance(queries.where(block == i), corpus, cols, qid, cid, max_queries) for i in range(2 * blocks)]
+        return reduce(DataFrame.unionByName, parts)
     qp = queries.select(qid, *cols).toPandas()
     ids = qp[qid].to_numpy()
     Q = qp[cols].to_numpy(dtype="float64")
@@ -406,13 +410,11 @@ def nearest_distance(queries: DataFrame, corpus: DataFrame, cols: list[str], qid
     return sel.mapInPandas(local_min, schema).groupBy(qid).agg(F.min("d").alias("nn_distance"))
 
 
-def hopkins(df: DataFrame, cols: list[str], id_col: str, fraction: float = 0.1, seed: int = 42,
-            max_points: int = 20000) -> float:
+def hopkins(df: DataFrame, cols: list[str], id_col: str, fraction: float = 0.1, seed: int = 42) -> float:
     """H = sum u / (sum u + sum w); u from uniform points, w from sampled rows (hash sample)."""
     sample = df.where((F.abs(F.xxhash64(F.col(id_col), F.lit(seed))) % 1_000_000) < fraction * 1_000_000) \
                .select(id_col, *cols)
-    m = min(sample.count(), max_points)
-    sample = sample.orderBy(F.xxhash64(F.col(id_col), F.lit(seed + 1))).limit(m)
+    m = sample.count()
     b = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
     unif = df.sparkSession.range(m).select(
         F.col("id").alias("_uid"),

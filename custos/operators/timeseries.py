@@ -480,12 +480,25 @@ _ = dt  # datetime kept for callers building literal dates
 
 
 # ------------------------------------------------------ PACF / ADF
+def _standardised(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """Adds ``_z``, the column centred and scaled per series, and its deviation ``_sd``.
+
+    Lag regressions with a constant give the same lag coefficients and t-ratios
+    on ``_z``, and their moment sums keep all digits at any level of the series.
+    """
+    x = F.col(col).cast("double")
+    aggs = F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("sd")).alias("_s")
+    out = df.join(df.groupBy(*keys).agg(aggs), keys) if keys else df.withColumn("_s", df.agg(aggs).scalar())
+    sd = F.when(F.col("_s")["sd"] > 0, F.col("_s")["sd"]).otherwise(1.0)
+    return out.withColumn("_z", (x - F.col("_s")["mean"]) / sd).withColumn("_sd", sd).drop("_s")
+
+
 def _lag_moments(df: DataFrame, keys: list[str], ts: str, cols_fn, k_max: int, start: int):
     """Sums of all pairwise products of the columns built by ``cols_fn`` over rows idx >= start."""
     sf = SeriesFrame(df, keys, ts, halo=k_max + 1)
     out, names = cols_fn(sf)
     out = sf.finish(out, keep_idx=True).where(F.col("idx") >= start)
-    aggs = [F.count("*").alias("n")]
+    aggs = [F.count("*").alias("n"), F.max("_sd").alias("sd")]
     for i in range(len(names)):
         for j in range(i, len(names)):
             aggs.append(F.sum(F.col(names[i]) * F.col(names[j])).alias(f"m_{i}_{j}"))
@@ -510,11 +523,11 @@ def pacf(df: DataFrame, keys: list[str], ts: str, col: str, nlags: int = 20) ->
     import numpy as np
 
     def cols(sf):
-        out = sf.df.withColumn("_c1", F.lit(1.0)).withColumn("_x0", F.col(col).cast("double"))
+        out = sf.df.withColumn("_c1", F.lit(1.0)).withColumn("_x0", F.col("_z"))
         for k in range(1, nlags + 1):
-            out = out.withColumn(f"_x{k}", F.lag(F.col(col).cast("double"), k).over(sf.w))
+            out = out.withColumn(f"_x{k}", F.lag("_z", k).over(sf.w))
         return out, ["_c1"] + [f"_x{k}" for k in range(nlags + 1)]
-    mom, names = _lag_moments(df, keys, ts, cols, nlags, nlags)
+    mom, names = _lag_moments(_standardised(df, keys, col), keys, ts, cols, nlags, nlags)
     size = len(names)
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = (key_schema + ", " if keys else "") + "lag int, pacf double"
@@ -551,13 +564,13 @@ def adf(df: DataFrame, keys: list[str], ts: str, col: str, max_lag: int | None =
         max_lag = int(math.ceil(12 * (float(longest) / 100.0) ** 0.25))
 
     def cols(sf):
-        x = F.col(col).cast("double")
+        x = F.col("_z")
         out = sf.df.withColumn("_dx", x - F.lag(x, 1).over(sf.w)).withColumn("_c1", F.lit(1.0)) \
                    .withColumn("_xl", F.lag(x, 1).over(sf.w))
         for k in range(1, max_lag + 1):
             out = out.withColumn(f"_d{k}", F.lag("_dx", k).over(sf.w))
         return out, ["_dx", "_c1", "_xl"] + [f"_d{k}" for k in range(1, max_lag + 1)]
-    mom, names = _lag_moments(df, keys, ts, cols, max_lag + 1, max_lag + 1)
+    mom, names = _lag_moments(_standardised(df, keys, col), keys, ts, cols, max_lag + 1, max_lag + 1)
     size = len(names)
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = (key_schema + ", " if keys else "") + \
@@ -581,7 +594,7 @@ def adf(df: DataFrame, keys: list[str], ts: str, col: str, max_lag: int | None =
                     best = (aic, p, float(beta[1] / math.sqrt(cov[1, 1])))
             crit = lambda a, b, c, d: a + b / n + c / n ** 2 + d / n ** 3
             rows.append({**{kk: r[kk] for kk in keys}, "lags": best[1], "adf_stat": best[2], "nobs": int(n),
-                         "aic": best[0], "crit_1": crit(-3.43035, -6.5393, -16.786, -79.433),
+                         "aic": best[0] + 2 * n * math.log(r["sd"]), "crit_1": crit(-3.43035, -6.5393, -16.786, -79.433),
                          "crit_5": crit(-2.86154, -2.8903, -4.234, -40.040),
                          "crit_10": crit(-2.56677, -1.5384, -2.809, 0.0)})
         return pd.DataFrame(rows, columns=[*keys, "lags", "adf_stat", "nobs", "aic", "crit_1", "crit_5", "crit_10"])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from custos.operators import forecast, ml, timeseries as ts
 from custos.plans import commerce, series
+from custos.plans.documents import _CHUNKS
 from custos.plans.registry import register
 from custos.session import ensure_checkpoint_dir
 from custos.sources import files
@@ -105,8 +106,7 @@ def orders_hash_sample(spark, sf):
     return s.agg(F.count("*").alias("sampled"), (F.count("*") / o.agg(F.count("*")).scalar()).alias("fraction"))
 
 
-@register("doc_index_roundtrip", "WITH " + __import__("custos.plans.documents", fromlist=["_CHUNKS"])._CHUNKS
-          + "\nSELECT * FROM chunks")
+@register("doc_index_roundtrip", "WITH " + _CHUNKS + "\nSELECT * FROM chunks")
 def doc_index_roundtrip(spark, sf):
     """Chunk table persisted as the index and reloaded."""
     from custos.operators import docs
@@ -290,7 +290,7 @@ def daily_lookback_regression(spark, sf):
     model = LinearRegression(featuresCol="features", labelCol="target").fit(sc.transform(tr))
     pred = model.transform(sc.transform(te))
     return pred.agg(F.avg(F.abs(F.col("target") - F.col("prediction"))).alias("mae"),
-                    (F.avg(F.abs((F.col("target") - F.col("prediction")) / F.col("target"))) * 100).alias("mape"),
+                    (F.avg(F.when(F.col("target") != 0, F.abs((F.col("target") - F.col("prediction")) / F.col("target")))) * 100).alias("mape"),
                     F.count("*").alias("n"))
 
 

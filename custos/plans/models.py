@@ -1,7 +1,7 @@
 """Registered queries without an SQL oracle: model fits and forecasts.
 
-They are checked by the property tests in ``tests/test_properties.py`` and
-``tests/test_models.py`` (known-parameter recovery, constant series, ranges).
+Property tests of the operators behind them are in ``tests/test_properties.py``
+and ``tests/test_regressions.py``.
 """
 
 from __future__ import annotations
@@ -18,16 +18,10 @@ PENALIZER = 0.01
 WHOLESALE = 5_000_000.0  # wholesaler CLV threshold in test-table currency (reference: 1000)
 
 
-_FITS: dict = {}
-
-
 def _fitted(spark, sf):
-    """RFM table and fitted parameters; fits are memoised per input directory."""
+    """RFM table and fitted parameters."""
     r = commerce.rfm(spark, sf)
-    if sf not in _FITS:
-        _FITS[sf] = (clv.fit_bgnbd(r, PENALIZER), clv.fit_gamma_gamma(r, PENALIZER))
-    bg, gg = _FITS[sf]
-    return r, bg, gg
+    return r, clv.fit_bgnbd(r, PENALIZER), clv.fit_gamma_gamma(r, PENALIZER)
 
 
 @register("clv_model_params")

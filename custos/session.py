@@ -22,7 +22,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Broadcast only what the optimizer can prove small; operators that force a
-    # broadcast check the size bound themselves (see custos.plans.joins).
+    # broadcast check the size bound themselves.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
@@ -45,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (local tests) a scratch directory is created.
+    as is.  Only where it is unset under a local master (tests) a scratch
+    directory is created; elsewhere that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="custos-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path

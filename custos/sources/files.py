@@ -31,9 +31,9 @@ def ingest_payloads(payloads: DataFrame, schema: str, contents: str = "contents"
     text = F.decode(F.unbase64(b64), "UTF-8")
     lines = payloads.select("filename", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
     body = lines.where((F.col("line_no") > 0) & (F.length("line") > 0))  # drop the header line
-    parsed = body.select("filename", "line", F.from_csv("line", schema, {"mode": "PERMISSIVE"}).alias("r"))
-    return parsed.select("filename", "r.*",
-                         F.when(F.col("r").isNull(), F.col("line")).alias("_corrupt"))
+    parsed = body.select("filename", "line", F.from_csv(
+        "line", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    return parsed.select("filename", "r.*")
 
 
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
