@@ -16,11 +16,10 @@ from custos.operators import linkage as lk
 
 
 def _merge_last_per_key(spark: SparkSession, batch: DataFrame, target: str, key: str, order: str) -> None:
-    try:
+    merged = batch
+    if lk.path_exists(spark, target):
         current = spark.read.parquet(target)
         merged = current.unionByName(batch.select(*current.columns))
-    except Exception:  # first run: no target yet
-        merged = batch
     w = Window.partitionBy(key).orderBy(F.desc(order))
     out = merged.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r").checkpoint()
     out.write.mode("overwrite").parquet(target)

@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 
 from custos.functions.special import t_quantile_975
-from custos.operators import forecast, ml, timeseries as ts
+from custos.operators import forecast, linkage, ml, timeseries as ts
 from custos.session import ensure_checkpoint_dir
 from custos.sources import files
+from custos.streaming import streams
 
 LEVEL = 1e9
 
@@ -106,3 +107,14 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_an_unreadable_target_raises_and_keeps_its_files(spark, tmp_path):
+    target = tmp_path / "result"
+    target.mkdir()
+    (target / "part-0.parquet").write_bytes(b"this is not a table")
+    assert linkage.path_exists(spark, str(target)) and not linkage.path_exists(spark, str(tmp_path / "none"))
+    batch = spark.createDataFrame([("2020-01-01", 1.0)], "dt string, _ingested double")
+    with pytest.raises(Exception):
+        streams._merge_last_per_key(spark, batch, str(target), "dt", "_ingested")
+    assert (target / "part-0.parquet").read_bytes() == b"this is not a table"
