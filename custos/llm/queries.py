@@ -45,8 +45,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_balltree_topk", """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
     FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
@@ -66,9 +66,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_benchmark_decontamination", r"""
 WITH d AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), w -> w <> '') AS w FROM documents
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
 ), i AS (
-    SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), w -> w <> '') AS w FROM benchmark
+    SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark
 ), ic AS (
     SELECT DISTINCT item_id, array_to_string(w[k:k + least(len(w), 5) - 1], ' ') AS s, least(len(w), 5) AS width
     FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS k FROM i WHERE len(w) > 0)
