@@ -8,10 +8,14 @@ Vertical partitioning cuts the global order into fragments.  Two linked sets
 differ in at most ``D`` n-grams (a bound from their sizes), so of more than
 ``D`` fragments at least one is equal in both: sets that agree on a fragment of
 the same size level are candidates.  No linked pair is missed: the cut has
-``D + slack`` fragments, and only sets with at least ``slack`` empty fragments
-need to be matched on empty ones.  Candidates are then verified exactly: both
-sets are cut into coarser fragments, the overlap of each fragment is counted on
-its own, and the counts are summed per pair.
+``D + slack`` fragments, and only sets with so many empty fragments that all
+agreement could lie there need to be matched on empty ones.  Any other set
+agrees with a linked one on a known number of filled fragments, its ``spare``.
+A fragment held by more than ``HOT`` classes (a passage that many documents
+share) is left out by the sets with fewer such fragments than ``spare``: they
+still agree on another one with whatever they link to.  Candidates are then
+verified exactly: both sets are cut into coarser fragments, the overlap of each
+fragment is counted on its own, and the counts are summed per pair.
 
 Groups that agree on a fragment can be large.  They are joined as stars around
 one member, not as all pairs; connected components of the verified links are
@@ -38,6 +42,8 @@ from custos.llm.common import mix64, stored, text_bytes
 FIRST_LEVEL = 9
 LEVEL_RATIO = 1.5
 VERIFY_FRAGMENTS = 16
+HOT = 50
+BITS, WIDE_BITS = 4, 16
 BROADCAST_IDS = 1_000_000
 WORD_CACHE = 1_000_000
 _known: dict[bytes, int] = {}
@@ -92,44 +98,51 @@ class Cut:
             out.append((level + 1, int(top * LEVEL_RATIO)))
         return out
 
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
-        """Hashes of (level, fragment number, fragment) to be matched."""
-        out = []
+    def keys(self, hashes: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+        """Per level: hashes of (level, fragment number, fragment) to be matched, and on how many of
+        these the set agrees at least with any set that it links to (0: empty fragments are matched too)."""
+        out, spare = [], []
+        size = len(hashes)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(hashes), dtype=np.uint64)])
-        for level, top in self.levels(len(hashes)):
+        for level, top in self.levels(size):
             d = self.differ(2 * top)
             if not d:
                 continue  # linked only if equal
-            slack = 2 + d // 16
+            slack = 2 + d // 4
             count = d + slack
             fragment = ((hashes >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
             edge = np.searchsorted(fragment, np.arange(count + 1, dtype=np.uint64))
             filled = np.diff(edge) > 0
             key = mix64(np.diff(total[edge]) + mix64(np.arange(count, dtype=np.uint64) + np.uint64(level << 32)))
-            out.append(key if (~filled).sum() >= slack else key[filled])
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+            agree = int(filled.sum()) - self.differ(size + min(top, 100 * size // self.percent))
+            out.append((key[filled] if agree > 0 else key).view(np.int64))
+            spare.append(max(agree, 0))
+        return out, spare
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """256 parity bits as four longs; differing bits are at most the differing n-grams."""
-    bits = np.bincount((hashes & np.uint64(255)).astype(np.int64), minlength=256).astype(np.uint8) & 1
+def bitmap(hashes: np.ndarray, longs: int) -> np.ndarray:
+    """Parity bits as ``longs`` longs; differing bits are at most the differing n-grams."""
+    size = 64 * longs
+    bits = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1
     return np.packbits(bits).view(np.int64)
 
 
 def signatures(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Per row: size of its set, a hash of the whole set, fragment keys and bitmap."""
+    """Per row: size of its set, a hash of the whole set, fragment keys and two bitmaps."""
     cut = Cut(percent)
 
     def run(batches):
         for b in batches:
             sets = [shingle_set(t, n) for t in text_bytes(b.column(1))]
+            keys = [cut.keys(s) for s in sets]
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.binary()),
-                pa.array([cut.keys(s).view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([bitmap(s) for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_hash", "keys", "bits"])
+                pa.array([k for k, _ in keys], pa.list_(pa.list_(pa.int64()))), pa.array([k for _, k in keys], pa.list_(pa.int32())),
+                *(pa.array([bitmap(s, k) for s in sets], pa.list_(pa.int64())) for k in (BITS, WIDE_BITS))],
+                ["doc_id", "n_shingles", "set_hash", "keys", "spare", "bits", "wide_bits"])
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_hash binary, keys array<long>, bits array<long>")
+        run, "doc_id long, n_shingles long, set_hash binary, keys array<array<long>>, spare array<int>, bits array<long>, wide_bits array<long>")
 
 
 def fragments_of(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -148,9 +161,9 @@ def fragments_of(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFra
         run, "class_id long, fragment int, hashes array<long>")
 
 
-def differing(a: str, b: str) -> Column:
+def differing(a: str, b: str, longs: int) -> Column:
     """Lower bound of the n-grams in which two sets differ, from their bitmaps."""
-    return reduce(lambda x, y: x + y, (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(4)))
+    return reduce(lambda x, y: x + y, (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(longs)))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -187,10 +200,25 @@ def components(edges: DataFrame) -> DataFrame:
         labels = jumped.drop("was")
 
 
-def _may_link(cut: Cut, size_a: str, size_b: str, bits_a: str, bits_b: str) -> Column:
+def _may_link(cut: Cut, size_a: str, size_b: str, bits_a: str, bits_b: str, longs: int = BITS) -> Column:
     p = cut.percent
     fits = (F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * p)
-    return fits & (differing(bits_a, bits_b) * (100 + p) <= (F.col(size_a) + F.col(size_b)) * (100 - p))
+    return fits & (differing(bits_a, bits_b, longs) * (100 + p) <= (F.col(size_a) + F.col(size_b)) * (100 - p))
+
+
+def without_hot(group: DataFrame) -> DataFrame:
+    """(key, class_id, centre = least class) of ``group``, less the hot keys of sets that agree on others with all they link to.
+
+    At most as many shared keys of a pair are hot as either set has hot ones;
+    a set with fewer than ``spare`` of them shares a key that is not, so a pair
+    needs its hot keys only if neither set can spare them.
+    """
+    hot = group.where(F.col("n") > HOT)
+    needed = hot.groupBy("class_id", "level").agg(F.count("*").alias("_hot"), F.first("spare").alias("_spare")).where("_hot >= _spare")
+    kept = hot.join(needed, ["class_id", "level"], "left_semi").select("key", "class_id")
+    kept = stored(kept.union(group.where(F.col("n") <= HOT).select("key", "class_id")).distinct(), "kept_keys")
+    centre = kept.groupBy("key").agg(F.min("class_id").alias("centre"), F.max("class_id").alias("_last")).where("centre < _last")
+    return kept.join(centre.drop("_last"), "key")
 
 
 def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -199,22 +227,29 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
     classes = stored(sig.where("n_shingles > 0 and doc_id is not null").groupBy("set_hash").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("size")), "classes")
     of_class = classes.select("class_id", F.col("set_hash").alias("_h"))
-    rep = sig.join(of_class, (sig["doc_id"] == F.col("class_id")) & (sig["set_hash"] == F.col("_h")), "left_semi").withColumnsRenamed({"doc_id": "class_id", "n_shingles": "size"})
-    keyed = rep.select(F.explode("keys").alias("key"), "class_id")
-    shared = keyed.groupBy("key").agg(F.min("class_id").alias("centre"), F.max("class_id").alias("_last")).where("centre < _last").drop("_last")
-    group = stored(keyed.join(shared, "key").distinct(), "groups")
-    info = stored(rep.dropDuplicates(["class_id"]).select("class_id", "size", "bits"), "sets")
-    side = lambda s: info.select(F.col("class_id").alias(s), F.col("size").alias(f"n{s}"), F.col("bits").alias(f"bits_{s}"))
-    check = lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link(cut, "na", "nb", "bits_a", "bits_b")).select("a", "b", "na", "nb")
+    few = classes.count() <= BROADCAST_IDS
+    rep = sig.join(F.broadcast(of_class) if few else of_class, (sig["doc_id"] == F.col("class_id")) & (sig["set_hash"] == F.col("_h")), "left_semi").withColumnsRenamed({"doc_id": "class_id", "n_shingles": "size"})
+    leveled = rep.select("class_id", "spare", F.posexplode("keys").alias("level", "_keys"))
+    keyed = leveled.select(F.explode("_keys").alias("key"), "class_id", "level", F.get("spare", "level").alias("spare"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    group = stored(without_hot(stored(keyed.join(shared, "key"), "shared_keys")), "groups")
+    info = stored(rep.select("class_id", "size", "bits", "wide_bits").dropDuplicates(["class_id"]), "sets")
+    side = lambda s, bits: info.select(F.col("class_id").alias(s), F.col("size").alias(f"n{s}"), F.col(bits).alias(f"bits_{s}"))
+
+    def check(pairs, bits, longs):
+        both = pairs.select("a", "b").join(side("a", bits), "a").join(side("b", bits), "b")
+        return stored(both.where(_may_link(cut, "na", "nb", "bits_a", "bits_b", longs)).select("a", "b", "na", "nb"), "pairs")
+
     linked = lambda c: c.where(100 * F.col("inter") >= percent * (F.col("na") + F.col("nb") - F.col("inter")))
 
-    star = stored(check(group.where("class_id > centre").select(F.col("centre").alias("a"), F.col("class_id").alias("b")).distinct()), "pairs")
+    star = group.where("class_id > centre").select(F.col("centre").alias("a"), F.col("class_id").alias("b")).distinct()
+    star = check(check(star, "bits", BITS), "wide_bits", WIDE_BITS)
     counted = stored(verified(star, docs, n, id_col, text_col), "counted")
     links = linked(counted)
     label = components(links)
     member = group.join(label, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
     open_keys = member.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("key")
-    member = member.where("class_id > centre").join(open_keys, "key").join(info.withColumnRenamed("class_id", "_i"), F.col("class_id") == F.col("_i")).drop("_i")
+    member = member.where("class_id > centre").join(open_keys, "key").join(info.select(F.col("class_id").alias("_i"), "size", "bits"), F.col("class_id") == F.col("_i")).drop("_i")
     distance = counted.select(F.col("a").alias("centre"), F.col("b").alias("class_id"), (1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("distance"))
     member = stored(member.join(distance, ["centre", "class_id"], "left"), "members")
     x = member.select("key", *(F.col(c).alias(f"{c}_x") for c in ("class_id", "label", "size", "bits", "distance")))
@@ -224,7 +259,7 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
             .where(_may_link(cut, "size_x", "size_y", "bits_x", "bits_y"))
             .where(F.coalesce(F.abs(F.col("distance_x") - F.col("distance_y")) <= reach, F.lit(True)))
             .select(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"), F.col("size_x").alias("na"), F.col("size_y").alias("nb")).distinct())
-    more = stored(more.join(counted, ["a", "b"], "left_anti"), "pairs")
+    more = check(stored(more.join(counted, ["a", "b"], "left_anti"), "pairs"), "wide_bits", WIDE_BITS)
     links = stored(links.union(linked(verified(more, docs, n, id_col, text_col))), "links")
     return classes, links
 

@@ -47,8 +47,9 @@ def edited(rng, words, edits):
     return " ".join(words)
 
 
-@pytest.mark.parametrize(("n", "percent", "seed"), [(3, 90, 1), (5, 80, 2), (2, 80, 3)])
-def test_random_groups_equal_all_pairs(spark, n, percent, seed):
+@pytest.mark.parametrize(("n", "percent", "seed", "hot"), [(3, 90, 1, 50), (5, 80, 2, 50), (2, 80, 3, 2), (3, 80, 4, 2), (3, 90, 5, 3)])
+def test_random_groups_equal_all_pairs(spark, monkeypatch, n, percent, seed, hot):
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
     rng = random.Random(seed)
     texts = []
     passage = [f"p{i}" for i in range(40)]
