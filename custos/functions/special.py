@@ -8,6 +8,7 @@ uses the identical formula so driver-side and executor-side values agree.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column
@@ -76,20 +77,25 @@ def hyp2f1_np(a, b, c, z, tol: float = 1e-14, max_terms: int = 100000):
         total = total + term
         active = np.abs(term) > tol * np.abs(total)
         k += 1
+    if active.any():
+        raise ArithmeticError(f"2F1 series unconverged after {max_terms} terms")
     return total
 
 
+@lru_cache(maxsize=4096)
 def t_quantile_975(df: float) -> float:
-    """0.975 quantile of Student-t with ``df`` degrees of freedom (Cornish-Fisher)."""
-    z = 1.959963984540054
+    """0.975 quantile of Student-t with ``df`` degrees of freedom.
+
+    With x = sqrt(df) tan(u) the density is a power of cos(u): its integral is
+    taken by Gauss-Legendre nodes and solved for u by bisection.
+    """
     if df <= 0:
         return float("nan")
-    if df == 1:
-        return math.tan(math.pi * 0.475)
-    if df == 2:
-        return 0.95 * math.sqrt(2 / (4 * 0.975 * 0.025))
-    g1 = (z ** 3 + z) / 4.0
-    g2 = (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96.0
-    g3 = (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384.0
-    g4 = (79 * z ** 9 + 776 * z ** 7 + 1482 * z ** 5 - 1920 * z ** 3 - 945 * z) / 92160.0
-    return z + g1 / df + g2 / df ** 2 + g3 / df ** 3 + g4 / df ** 4
+    scale = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(math.pi)
+    nodes, weights = np.polynomial.legendre.leggauss(64)
+    lo, hi = 0.0, math.pi / 2
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        area = scale * mid / 2 * float(weights @ np.cos(mid * (nodes + 1) / 2) ** (df - 1))
+        lo, hi = (mid, hi) if area < 0.475 else (lo, mid)
+    return math.sqrt(df) * math.tan(lo)

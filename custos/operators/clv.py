@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custos.functions.optim import stencil_minimize
+from custos.functions.optim import newton_minimize
 from custos.functions.special import hyp2f1_np, lgamma_col, lgamma_np, rising_log_col
 
 # Length of a period in days (numpy's mean month / week / day)
@@ -136,122 +136,99 @@ def expected_purchases(x: Column, tx: Column, t_col: Column, t: float | Column,
 
 
 # ---------------------------------------------------------------- BG/NBD fit
-def _bg_ll_np(theta_log: np.ndarray, x, tx, Tt, w, pen):
-    out = []
-    maxx = int(x.max()) if len(x) else 0
+def bg_log_likelihood_np(points: np.ndarray, x, tx, T_, w) -> np.ndarray:
+    """Weighted log-likelihood sums of rows (x, t_x, T, weight), one per row of log-parameters."""
+    out = np.zeros(len(points))
+    repeat = x > 0
     xi = x.astype(int)
-    for th in np.atleast_2d(theta_log):
-        r, alpha, a, b = np.exp(th)
-        np.seterr(divide="ignore", invalid="ignore")
-        ks = np.arange(max(maxx, 1))
-        cr = np.concatenate([[0.0], np.cumsum(np.log(r + ks))])
-        cb = np.concatenate([[0.0], np.cumsum(np.log(b + ks))])
-        cab = np.concatenate([[0.0], np.cumsum(np.log(a + b + ks))])
-        a1 = cr[xi] + r * np.log(alpha)
-        a2 = cb[xi] - cab[xi]
-        a3 = -(r + x) * np.log(alpha + Tt)
-        a4 = np.where(x > 0, np.log(a) - np.log(b + np.maximum(x, 1) - 1) - (r + x) * np.log(alpha + tx), -np.inf)
-        mx = np.maximum(a3, a4)
-        ll = a1 + a2 + mx + np.log(np.exp(a3 - mx) + np.exp(a4 - mx))
-        val = -(w * ll).sum() / w.sum() + pen * float((np.exp(th) ** 2).sum())
-        out.append(val if np.isfinite(val) else np.inf)
-    return np.array(out)
-
-
-def _bg_ll_col(x: Column, tx: Column, Tt: Column, th: np.ndarray) -> Column:
-    r, alpha, a, b = (float(v) for v in np.exp(th))
-    a1 = rising_log_col(F.lit(r), x) + r * np.log(alpha)
-    a2 = rising_log_col(F.lit(b), x) - rising_log_col(F.lit(a + b), x)
-    a3 = -(F.lit(r) + x) * F.log(F.lit(alpha) + Tt)
-    a4 = (np.log(a) - F.log(F.lit(b) + F.greatest(x, F.lit(1)) - 1)
-          - (F.lit(r) + x) * F.log(F.lit(alpha) + tx))
-    mx = F.when(x > 0, F.greatest(a3, a4)).otherwise(a3)
-    lse = mx + F.log(F.exp(a3 - mx) + F.when(x > 0, F.exp(a4 - mx)).otherwise(F.lit(0.0)))
-    return a1 + a2 + lse
-
-
-def fit_bgnbd(rfm: DataFrame, penalizer: float = 0.0, max_driver_rows: int = 200_000,
-              tol: float = 1e-7) -> BGParams:
+    ks = np.arange(max(int(xi.max(initial=0)), 1))
+    rising = lambda base: np.concatenate([[0.0], np.cumsum(np.log(base + ks))])[xi]
+    for i, (r, alpha, a, b) in enumerate(np.exp(points)):
+        alive = -(r + x) * np.log(alpha + T_)
+        left = np.where(repeat, np.log(a) - np.log(b + np.maximum(x, 1) - 1) - (r + x) * np.log(alpha + tx), -np.inf)
+        out[i] = w @ (rising(r) + r * np.log(alpha) + rising(b) - rising(a + b) + np.logaddexp(alive, left))
+    return out
+
+
+def _summed(rows: DataFrame, cols, fn, points: np.ndarray) -> np.ndarray:
+    """Sum of ``fn(points, *columns)`` (a value per point) over all rows, by task and then over the tasks."""
+    def run(parts):
+        sums = sum((fn(points, *(p[c].to_numpy() for c in cols)) for p in parts), np.zeros(len(points)))
+        yield pd.DataFrame({"i": np.arange(len(points)), "s": sums})
+    out = rows.mapInPandas(run, "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).orderBy("i").collect()
+    return np.array([r["s"] for r in out])
+
+
+def gg_row_terms_np(points: np.ndarray, x, m) -> np.ndarray:
+    """Sums of (p x + q) ln(x m + v), one per row of log-parameters."""
+    return np.array([(p * x + q) @ np.log(x * m + v) for p, q, v in np.exp(points)])
+
+
+def fit_bgnbd(rfm: DataFrame, penalizer: float = 0.0, tol: float = 1e-9) -> BGParams:
     """Maximum-likelihood BG/NBD parameters (r, alpha, a, b).
 
-    Time is rescaled so that max(T) = 10 during the fit (alpha is unscaled
-    afterwards), parameters are searched in log space.
+    Customers are counted per distinct (x, t_x, T); every task sums the
+    likelihoods of its part for a batch of points.  Time is rescaled so that
+    max(T) = 10 during the fit (alpha is unscaled afterwards), parameters are
+    searched in log space.
     """
-    agg = rfm.agg(F.max("T").alias("tmax")).first()
-    tmax = float(agg["tmax"] or 1.0)
-    scale = 10.0 / tmax if tmax > 0 else 1.0
-    grouped = (rfm.groupBy("frequency", "recency", "T").agg(F.count("*").alias("w"))
-                  .select(F.col("frequency").cast("double").alias("x"),
-                          (F.col("recency") * scale).alias("tx"), (F.col("T") * scale).alias("T"),
-                          F.col("w").cast("double").alias("w")))
-    n_distinct = grouped.count()
-    if n_distinct <= max_driver_rows:
-        # bounded by the period grid: safe to fit on the driver
-        pdf = grouped.toPandas()
-        x, tx, Tt, w = (pdf[c].to_numpy(dtype="float64") for c in ("x", "tx", "T", "w"))
-
-        def obj(batch):
-            return _bg_ll_np(batch, x, tx, Tt, w, penalizer)
-    else:
-        grouped = grouped.persist()
-        total_w = float(grouped.agg(F.sum("w")).first()[0])
-
-        def obj(batch):
-            cols = [F.sum(F.col("w") * _bg_ll_col(F.col("x"), F.col("tx"), F.col("T"), th)).alias(f"l{i}")
-                    for i, th in enumerate(batch)]
-            row = grouped.agg(*cols).first()
-            return np.array([-(row[f"l{i}"] / total_w) + penalizer * float((np.exp(th) ** 2).sum())
-                             for i, th in enumerate(batch)])
-    best, _, _ = stencil_minimize(obj, np.zeros(4), step=1.0, tol=tol)
+    tmax = float(rfm.agg(F.max("T")).first()[0] or 1.0)
+    scale = 10.0 / tmax
+    grouped = (rfm.groupBy("frequency", "recency", "T").agg(F.count("*").cast("double").alias("w"))
+                  .select(F.col("frequency").cast("double").alias("x"), (F.col("recency") * scale).alias("tx"),
+                          (F.col("T") * scale).alias("T"), "w").persist())
+    total = grouped.agg(F.sum("w")).first()[0]
+    if not total:
+        grouped.unpersist()
+        raise ValueError("no customers to fit")
+
+    def objective(points):
+        sums = _summed(grouped, ("x", "tx", "T", "w"), bg_log_likelihood_np, points)
+        return penalizer * (np.exp(points) ** 2).sum(axis=1) - sums / total
+    best, _, _ = newton_minimize(objective, np.zeros(4), tol=tol)
+    grouped.unpersist()
     r, alpha, a, b = np.exp(best)
     return BGParams(float(r), float(alpha / scale), float(a), float(b))
 
 
 # ----------------------------------------------------------- Gamma-Gamma fit
-def _gg_ll_col(x: Column, m: Column, th: np.ndarray) -> Column:
-    p, q, v = (float(z) for z in np.exp(th))
-    px = x * p
-    return (lgamma_col(px + q) - lgamma_col(px) - float(lgamma_np(q)) + q * np.log(v)
-            + (px - 1) * F.log(m) + px * F.log(x) - (px + q) * F.log(x * m + v))
-
-
-def fit_gamma_gamma(rfm: DataFrame, penalizer: float = 0.0, tol: float = 1e-4) -> GGParams:
+def fit_gamma_gamma(rfm: DataFrame, penalizer: float = 0.0, tol: float = 1e-9) -> GGParams:
     """Gamma-Gamma spend model on repeat customers (frequency > 0, monetary > 0).
 
     The log-likelihood splits into terms that depend on a customer only
     through the integer frequency x (grouped once per distinct x, a table
     bounded by the largest frequency) and one per-customer term
-    (p x + q) ln(x m + v), summed for a whole stencil of candidates in a
-    single distributed aggregate per iteration.
+    (p x + q) ln(x m + v), summed for a batch of points in one aggregate.
+    Money is divided by its mean during the fit (v is scaled back), so that a
+    penalty means the same in every currency.
     """
     rows = (rfm.where((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
                .select(F.col("frequency").cast("double").alias("x"),
                        F.col("monetary_value").cast("double").alias("m")).persist())
-    xs = rows.groupBy("x").agg(F.count("*").alias("nx"), F.sum(F.log("m")).alias("slnm")).toPandas()
-    n = float(xs["nx"].sum()) if len(xs) else 0.0
-    if n == 0:
+    mean = rows.agg(F.avg("m")).first()[0]
+    if mean is None:
         rows.unpersist()
         raise ValueError("no repeat customers to fit")
+    scaled = rows.withColumn("m", F.col("m") / mean)
+    xs = scaled.groupBy("x").agg(F.count("*").alias("nx"), F.sum(F.log("m")).alias("slnm")).toPandas()
+    n = float(xs["nx"].sum())
     x, nx, slnm = (xs[c].to_numpy(dtype="float64") for c in ("x", "nx", "slnm"))
 
     def obj(batch):
-        cols = [F.sum((float(np.exp(th[0])) * F.col("x") + float(np.exp(th[1])))
-                      * F.log(F.col("x") * F.col("m") + float(np.exp(th[2])))).alias(f"l{i}")
-                for i, th in enumerate(batch)]
-        row = rows.agg(*cols).first()
+        row_terms = _summed(scaled, ("x", "m"), gg_row_terms_np, batch)
         out = []
         for i, th in enumerate(batch):
             p_, q_, v_ = np.exp(th)
             px = p_ * x
             grouped = float(np.sum(nx * (lgamma_np(px + q_) - lgamma_np(px) - lgamma_np(q_) + q_ * np.log(v_)
                                          + px * np.log(x)) + (px - 1.0) * slnm))
-            ll = grouped - float(row[f"l{i}"])
+            ll = grouped - row_terms[i]
             out.append(-(ll / n) + penalizer * float((np.exp(th) ** 2).sum()) if np.isfinite(ll) else np.inf)
         return np.array(out)
-    best, _, _ = stencil_minimize(obj, np.zeros(3), step=1.0, tol=tol)
+    best, _, _ = newton_minimize(obj, np.zeros(3), tol=tol)
     rows.unpersist()
     p, q, v = np.exp(best)
-    return GGParams(float(p), float(q), float(v))
+    return GGParams(float(p), float(q), float(v * mean))
 
 
 def expected_profit(x: Column, m: Column, g: GGParams) -> Column:

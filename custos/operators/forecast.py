@@ -171,14 +171,14 @@ def fitted_residuals(design: DataFrame, fit: DataFrame, keys: list[str], p: int,
 
 
 # ------------------------------------------------------------------ DLM
-def _dlm_filter(y, X, periods, harmonics, discount_trend, discount_seas, discount_reg, delta_v,
-                prior_len, h, Xf):
+def _dlm_filter(y, X, periods, harmonics, discount_trend, discount_seas, discount_reg, delta_v, prior_len):
+    """One-step (forecast, lower, upper) of every row, and a function that continues along future regressor rows.
+
+    The prior is the state one step before the first row, by least squares on
+    the known values of the first ``prior_len`` rows; these have no forecast.
+    """
     n = len(y)
-    blocks = [("trend", 2)]
-    for per, hs in zip(periods, harmonics):
-        for hh in hs:
-            blocks.append((("seas", per, hh), 2))
-    nreg = X.shape[1] if X.size else 0
+    nreg = X.shape[1]
     dim = 2 + 2 * sum(len(hs) for hs in harmonics) + nreg
     G = np.zeros((dim, dim))
     G[0, 0] = G[0, 1] = G[1, 1] = 1.0
@@ -196,98 +196,109 @@ def _dlm_filter(y, X, periods, harmonics, discount_trend, discount_seas, discoun
         disc[s:s + 2] = discount_seas
     disc[pos:] = discount_reg
 
-    def Fvec(xrow):
+    def f_of(xrow):
         f = np.zeros(dim)
         f[0] = 1.0
-        for s in seas_idx:
-            f[s] = 1.0
-        if nreg:
-            f[pos:] = xrow
+        f[seas_idx] = 1.0
+        f[pos:] = xrow
         return f
-    # prior from OLS on the first prior_len rows
-    k0 = max(prior_len, dim + 1)
-    k0 = min(k0, n)
-    A = np.array([Fvec(X[t] if nreg else None) * 0 + _design_row(t, Fvec(X[t] if nreg else None), G) for t in range(k0)])
-    beta = np.linalg.lstsq(A, y[:k0], rcond=None)[0] if k0 > 0 else np.zeros(dim)
-    resid = y[:k0] - A @ beta if k0 > 0 else np.zeros(1)
-    s = max(float(np.var(resid)) if k0 > 1 else 1.0, 1e-8)
-    m, C, nu = beta, np.eye(dim) * s * 10, 1.0
+
+    def interval(f_vec, a, R, s, nu):
+        f = float(f_vec @ a)
+        half = t_quantile_975(nu) * math.sqrt(float(f_vec @ R @ f_vec + s))
+        return f, f - half, f + half
+
+    k0 = min(max(prior_len, dim + 1), n)
+    seen, power, design = [], np.eye(dim), []
+    for t in range(k0):
+        power = power @ G
+        if not np.isnan(y[t]):
+            seen.append(t)
+            design.append(f_of(X[t]) @ power)
+    m, s = np.zeros(dim), 1.0
+    if seen:
+        design = np.array(design)
+        m = np.linalg.lstsq(design, y[seen], rcond=None)[0]
+        s = float(np.var(y[seen] - design @ m)) if len(seen) > 1 else 1.0
+    s = max(s, 1e-8)
+    C, nu = np.eye(dim) * s * 10, 1.0
     out = []
-    tq = t_quantile_975(nu)
     for t in range(n):
         a = G @ m
-        P = G @ C @ G.T
-        R = P / np.sqrt(np.outer(disc, disc))
-        f_vec = Fvec(X[t] if nreg else None)
-        f = float(f_vec @ a)
-        q = float(f_vec @ R @ f_vec + s)
-        tq = t_quantile_975(delta_v * nu)
-        out.append((f, f - tq * math.sqrt(q), f + tq * math.sqrt(q)))
+        R = G @ C @ G.T / np.sqrt(np.outer(disc, disc))
+        f_vec = f_of(X[t])
+        out.append(interval(f_vec, a, R, s, delta_v * nu) if t >= k0 else (math.nan,) * 3)
         if np.isnan(y[t]):
             m, C = a, R
             continue
-        e = y[t] - f
-        Ad = R @ f_vec / q
+        e = y[t] - float(f_vec @ a)
+        q = float(f_vec @ R @ f_vec + s)
+        gain = R @ f_vec / q
         nu_new = delta_v * nu + 1
         s_new = s * (delta_v * nu + e * e / q) / nu_new
-        m = a + Ad * e
-        C = (s_new / s) * (R - np.outer(Ad, Ad) * q)
+        m = a + gain * e
+        C = (s_new / s) * (R - np.outer(gain, gain) * q)
         s, nu = s_new, nu_new
-    fut = []
-    a, R = m, C
-    W = None
-    for step in range(1, h + 1):
-        a = G @ a
-        P = G @ R @ G.T
-        Wn = P / np.sqrt(np.outer(disc, disc)) - P
-        W = Wn if W is None else W
-        R = P + W
-        f_vec = Fvec(Xf[step - 1] if nreg else None)
-        f = float(f_vec @ a)
-        q = float(f_vec @ R @ f_vec + s)
-        tq = t_quantile_975(delta_v * nu)
-        fut.append((f, f - tq * math.sqrt(q), f + tq * math.sqrt(q)))
-    return out, fut
-
 
-def _design_row(t, f_vec, G):
-    # state at time t seen from the prior origin: F' G^t
-    return f_vec @ np.linalg.matrix_power(G, t)
+    def ahead(paths):
+        a, R, W, rows = m, C, None, []
+        for xrow in paths:
+            a, P = G @ a, G @ R @ G.T
+            if W is None:
+                W = P / np.sqrt(np.outer(disc, disc)) - P
+            R = P + W
+            rows.append(interval(f_of(xrow), a, R, s, delta_v * nu))
+        return rows
+    return out, ahead
 
 
 def dlm(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str] | None = None, periods=(7,),
         harmonics=((1, 2),), discounts=(0.98, 0.98, 0.98), delta_v: float = 0.98, prior_len: int = 14,
-        h: int = 3) -> DataFrame:
-    """One-step forecasts with 95% intervals for every row, plus h future steps.
-
-    Future regressors are held at their last value (scenario paths: pass a
-    different last row).  Output columns: keys, ts (null for future rows),
-    step (0 for in-sample), y, forecast, lower, upper.
+        h: int = 3, future: DataFrame | None = None, scenario: str | None = None) -> DataFrame:
+    """One-step forecasts with 95% intervals, then the steps beyond each series.
+
+    ``future`` (keys, step from 1, ``xs`` and, if named, ``scenario``) holds the
+    regressors' paths: a series is filtered once and continued along each of
+    its scenarios.  Without it the last regressors are held for ``h`` steps.
+    Output columns: keys, scenario if named (null in sample), ts (null for
+    future rows), step (0 in sample), y, forecast, lower, upper.  The rows that
+    the prior is fitted on have no forecast.
     """
     xs = list(xs or [])
-    key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    schema = (key_schema + ", " if keys else "") + f"{ts} date, step int, y double, forecast double, lower double, upper double"
-    cols = [*keys, ts, y, *xs]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    tags = [scenario] if scenario else []
+    fields = [f"{k} {df.schema[k].dataType.simpleString()}" for k in keys]
+    fields += [f"{k} {future.schema[k].dataType.simpleString()}" for k in tags]
+    schema = ", ".join([*fields, f"{ts} date, step int, y double, forecast double, lower double, upper double"])
+    columns = [*keys, *tags, ts, "step", "y", "forecast", "lower", "upper"]
+
+    def run(pdf: pd.DataFrame, paths: pd.DataFrame | None) -> pd.DataFrame:
+        if pdf.empty:  # a path without a series
+            return pd.DataFrame(columns=columns)
         pdf = pdf.sort_values(ts)
         yv = pdf[y].astype("float64").to_numpy()
-        X = pdf[xs].astype("float64").to_numpy() if xs else np.zeros((len(pdf), 0))
-        Xf = np.repeat(X[-1:], h, axis=0) if xs else np.zeros((h, 0))
-        ins, fut = _dlm_filter(yv, X, list(periods), [list(hh) for hh in harmonics], discounts[0], discounts[1],
-                               discounts[2], delta_v, prior_len, h, Xf)
+        X = pdf[xs].astype("float64").to_numpy()
+        ins, ahead = _dlm_filter(yv, X, list(periods), [list(hh) for hh in harmonics], *discounts, delta_v, prior_len)
         base = {k: pdf[k].iloc[0] for k in keys}
         rows = [{**base, ts: pdf[ts].iloc[i], "step": 0, "y": yv[i], "forecast": f, "lower": lo, "upper": hi}
                 for i, (f, lo, hi) in enumerate(ins)]
-        rows += [{**base, ts: None, "step": s + 1, "y": None, "forecast": f, "lower": lo, "upper": hi}
-                 for s, (f, lo, hi) in enumerate(fut)]
-        return pd.DataFrame(rows, columns=[*keys, ts, "step", "y", "forecast", "lower", "upper"])
-
-    src = df.select(*cols).withColumn(ts, F.col(ts).cast("date"))
-    if keys:
-        return src.groupBy(*keys).applyInPandas(run, schema)
-    return src.groupBy(F.lit(0).alias("_series")).applyInPandas(lambda pdf: run(pdf.drop(columns=["_series"], errors="ignore")),
-                                                                 schema)
+        if paths is None:
+            todo = [({}, np.repeat(X[-1:], h, axis=0))]
+        else:
+            paths = paths.sort_values("step")
+            parts = paths.groupby(scenario, dropna=False) if scenario else [(None, paths)]
+            todo = [({scenario: v} if scenario else {}, g[xs].astype("float64").to_numpy()) for v, g in parts]
+        for tag, path in todo:
+            rows += [{**base, **tag, ts: None, "step": s, "y": None, "forecast": f, "lower": lo, "upper": hi}
+                     for s, (f, lo, hi) in enumerate(ahead(path), 1)]
+        return pd.DataFrame(rows, columns=columns)
+
+    by = keys or ["_series"]
+    whole = lambda d: d if keys else d.withColumn("_series", F.lit(0))
+    grouped = whole(df.select(*keys, ts, y, *xs).withColumn(ts, F.col(ts).cast("date"))).groupBy(*by)
+    if future is None:
+        return grouped.applyInPandas(lambda pdf: run(pdf, None), schema)
+    paths = whole(future.select(*[F.col(c).alias(c) for c in (*keys, *tags, "step", *xs)])).groupBy(*by)  # may derive from ``df``
+    return grouped.cogroup(paths).applyInPandas(lambda pdf, path: run(pdf, path), schema)
 
 
 # ------------------------------------------------- count / binary DLM

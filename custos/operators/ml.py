@@ -91,21 +91,20 @@ def kmeans(df: DataFrame, cols: list[str], k: int, restarts: int = 1, max_iter:
     return out, best
 
 
+def within_ss(data: DataFrame, cols: list[str], k: int, seed: int = 1) -> float:
+    """Within-cluster sum of squares of k-means; the total one for a single cluster."""
+    if k > 1:
+        return float(KMeans(k=k, seed=seed, featuresCol="features").fit(data).summary.trainingCost)
+    ss = data.agg(*[F.var_pop(F.col(c).cast("double")) * F.count("*") for c in cols]).first()
+    return float(sum(ss))
+
+
 def elbow(df: DataFrame, cols: list[str], k_max: int = 10, seed: int = 1) -> DataFrame:
     """M6: total within-cluster sum of squares for k = 1..k_max."""
     data = assemble(df, cols).persist()
-    spark = df.sparkSession
-    rows = []
-    for k in range(1, k_max + 1):
-        if k == 1:
-            means = data.select(vector_to_array("features").alias("v")).select(
-                *[F.col("v")[i].alias(f"c{i}") for i in range(len(cols))])
-            ss = means.agg(*[F.var_pop(f"c{i}") * F.count("*") for i in range(len(cols))]).first()
-            rows.append((1, float(sum(ss))))
-        else:
-            m = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
-            rows.append((k, float(m.summary.trainingCost)))
-    return spark.createDataFrame(rows, "k int, wss double")
+    rows = [(k, within_ss(data, cols, k, seed)) for k in range(1, k_max + 1)]
+    data.unpersist()
+    return df.sparkSession.createDataFrame(rows, "k int, wss double")
 
 
 def gmm(df: DataFrame, cols: list[str], k: int, seed: int = 1):
@@ -137,19 +136,20 @@ def gap_statistic(df: DataFrame, cols: list[str], k_max: int = 10, b: int = 10,
     bounds = df.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                     *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
     spark = df.sparkSession
+    log_refs = [[] for _ in range(k_max)]
+    for j in range(b):
+        ref = assemble(spark.range(n).select(*[
+            (F.lit(bounds[f"lo{i}"]) + F.rand(seed * 1000 + j * 31 + i) * (bounds[f"hi{i}"] - bounds[f"lo{i}"]))
+            .alias(c) for i, c in enumerate(cols)]), cols).persist()
+        for k in range(1, k_max + 1):
+            log_refs[k - 1].append(math.log(within_ss(ref, cols, k, seed)))
+        ref.unpersist()
     rows = []
-    for k in range(2, k_max + 1):
-        wk = KMeans(k=k, seed=seed, featuresCol="features").fit(data).summary.trainingCost
-        refs = []
-        for j in range(b):
-            ref = spark.range(n).select(*[
-                (F.lit(bounds[f"lo{i}"]) + F.rand(seed * 1000 + j * 31 + i) * (bounds[f"hi{i}"] - bounds[f"lo{i}"]))
-                .alias(c) for i, c in enumerate(cols)])
-            refs.append(math.log(KMeans(k=k, seed=seed, featuresCol="features").fit(assemble(ref, cols))
-                                 .summary.trainingCost))
+    for k, refs in enumerate(log_refs, 1):
         mean_ref = sum(refs) / b
         sd = (sum((r - mean_ref) ** 2 for r in refs) / b) ** 0.5
-        rows.append((k, mean_ref - math.log(wk), sd * (1 + 1 / b) ** 0.5))
+        rows.append((k, mean_ref - math.log(within_ss(data, cols, k, seed)), sd * (1 + 1 / b) ** 0.5))
+    data.unpersist()
     return spark.createDataFrame(rows, "k int, gap double, s double")
 
 

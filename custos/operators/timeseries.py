@@ -603,10 +603,16 @@ def adf(df: DataFrame, keys: list[str], ts: str, col: str, max_lag: int | None =
     return mom.mapInPandas(lambda it: (solve(p) for p in it), schema)
 
 
+def scenario_paths(last: DataFrame, value: str, levels=(0.0, 0.05, 0.10, 0.15, 0.20, 0.25, 0.30), horizon: int = 12,
+                   out: str = "value") -> DataFrame:
+    """Per row of ``last``, its value (scenario 0) and fixed levels, each repeated over the horizon."""
+    keys = [c for c in last.columns if c != value]
+    grid = F.array(F.col(value).cast("double"), *[F.lit(float(v)) for v in levels])
+    return (last.select(*keys, F.posexplode(grid).alias("scenario", out))
+                .select(*keys, "scenario", out, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step")))
+
+
 def scenario_grid(last_value: Column, levels=(0.0, 0.05, 0.10, 0.15, 0.20, 0.25, 0.30), horizon: int = 12,
                   spark=None) -> DataFrame:
-    """Scenario regressor paths - the last value and fixed levels, each repeated over the horizon."""
-    base = spark.range(1).select(last_value.alias("last"))
-    lv = F.array(F.col("last"), *[F.lit(float(v)) for v in levels])
-    return (base.select(F.posexplode(lv).alias("scenario", "value"))
-                .select("scenario", "value", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step")))
+    """``scenario_paths`` of a single value."""
+    return scenario_paths(spark.range(1).select(last_value.alias("last")), "last", levels, horizon)

@@ -104,10 +104,10 @@ def first_order_after(spark, sf):
 
 
 # ------------------------------------------------------------------- CLV
-def rfm(spark: SparkSession, sf: str, end_offset_days: int = 0) -> DataFrame:
+def rfm(spark: SparkSession, sf: str, end_offset_days: int = 0, cap: float | None = None) -> DataFrame:
     m = monthly(spark, sf)
     end = m.agg(F.date_sub(F.max("date"), end_offset_days)).scalar()
-    return clv.rfm_summary(m, end, freq="M")
+    return clv.rfm_summary(m, end, freq="M", cap=cap)
 
 
 _RFM_SQL = """, per AS (

@@ -62,7 +62,10 @@ def survey_pooled_sizes(spark, sf):
     return c.groupBy(lvl.alias("size_level")).agg(F.sum("n").alias("n"))
 
 
-@register("weekly_discount_scenarios")
+@register("weekly_discount_scenarios", f"""WITH w AS ({commerce._weekly_sql([], "", ("order_line_revenue",))}),
+lv AS (SELECT [arg_max(pdisc, week_date), 0.0, 0.05, 0.10, 0.15, 0.20, 0.25, 0.30]::DOUBLE[] AS v FROM w)
+SELECT cast(s AS integer) AS scenario, v[s + 1] AS value, cast(h AS integer) AS step
+FROM lv, (SELECT unnest(range(0, 8)) AS s), (SELECT unnest(range(1, 13)) AS h)""")
 def weekly_discount_scenarios(spark, sf):
     """Last weekly discount rate and 0-30% levels over a 12-week horizon."""
     w = commerce.weekly_sales(spark, sf)
@@ -259,12 +262,31 @@ def monthly_chained_forecast(spark, sf):
     """T5: forecast the regressor (spend) first, then the target with the forecast regressor."""
     m = series.monthly_series(spark, sf).withColumn("series_id", F.lit("m"))
     sp = forecast.dlm(m, ["series_id"], "dt", "spend", [], periods=(12,), harmonics=((1,),), prior_len=12, h=6)
-    fut_spend = sp.where("step > 0").agg(F.avg("forecast")).scalar()
-    m2 = m.withColumn("spend_x", F.col("spend").cast("double"))
-    last = m2.agg(F.max("dt")).scalar()
-    m2 = m2.withColumn("spend_x", F.when(F.col("dt") == last, fut_spend).otherwise(F.col("spend_x")))
-    return forecast.dlm(m2, ["series_id"], "dt", "sales", ["spend_x"], periods=(12,), harmonics=((1,),),
-                        prior_len=12, h=6)
+    path = sp.where("step > 0").select("series_id", "step", F.col("forecast").alias("spend"))
+    return forecast.dlm(m, ["series_id"], "dt", "sales", ["spend"], periods=(12,), harmonics=((1,),), prior_len=12, future=path)
+
+
+def _product_weeks(spark, sf):
+    w = commerce.weekly_sales_by_product(spark, sf)
+    return w.select("product_type", F.col("week_date").alias("dt"), F.col("total_gross_margin").alias("sales"), F.col("pdisc").cast("double").alias("pdisc"))
+
+
+@register("product_scenario_forecast")
+def product_scenario_forecast(spark, sf):
+    """T4: weekly sales of every product type along each discount scenario (P18), 12 weeks ahead."""
+    w = _product_weeks(spark, sf)
+    last = w.groupBy("product_type").agg(F.max_by("pdisc", "dt").alias("last"))
+    return forecast.dlm(w, ["product_type"], "dt", "sales", ["pdisc"], periods=(52,), harmonics=((1, 2),), prior_len=26,
+                        future=ts.scenario_paths(last, "last", out="pdisc"), scenario="scenario")
+
+
+@register("product_chained_forecast")
+def product_chained_forecast(spark, sf):
+    """T5: the discount rate of every product type first, then its sales along the forecast rate, 12 weeks ahead."""
+    w = _product_weeks(spark, sf)
+    rate = forecast.dlm(w, ["product_type"], "dt", "pdisc", [], periods=(52,), harmonics=((1,),), prior_len=26, h=12)
+    path = rate.where("step > 0").select("product_type", "step", F.col("forecast").alias("pdisc"))
+    return forecast.dlm(w, ["product_type"], "dt", "sales", ["pdisc"], periods=(52,), harmonics=((1,),), prior_len=26, future=path)
 
 
 @register("event_count_model")

@@ -19,8 +19,8 @@ WHOLESALE = 5_000_000.0  # wholesaler CLV threshold in test-table currency (refe
 
 
 def _fitted(spark, sf):
-    """RFM table and fitted parameters."""
-    r = commerce.rfm(spark, sf)
+    """RFM table below the monetary cap and fitted parameters."""
+    r = commerce.rfm(spark, sf, cap=CAP)
     return r, clv.fit_bgnbd(r, PENALIZER), clv.fit_gamma_gamma(r, PENALIZER)
 
 
@@ -52,7 +52,7 @@ def ltv_validation(spark, sf):
     obs_end = m.agg(F.max("date")).scalar()
     cal_end = m.agg(F.date_sub(F.max("date"), 365)).scalar()
     ch = clv.calibration_holdout(m, cal_end, obs_end, freq="M")
-    bg = clv.fit_bgnbd(commerce.rfm(spark, sf, end_offset_days=365), PENALIZER)
+    bg = clv.fit_bgnbd(commerce.rfm(spark, sf, end_offset_days=365, cap=CAP), PENALIZER)
     return clv.ltv_valid(ch, bg, 12)
 
 

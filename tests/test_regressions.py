@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from custos.functions.special import t_quantile_975
-from custos.operators import forecast, linkage, ml, timeseries as ts
+from custos.operators import clv, docs, forecast, linkage, ml, timeseries as ts
 from custos.session import ensure_checkpoint_dir
 from custos.sources import files
 from custos.streaming import streams
@@ -118,3 +118,63 @@ def test_an_unreadable_target_raises_and_keeps_its_files(spark, tmp_path):
     with pytest.raises(Exception):
         streams._merge_last_per_key(spark, batch, str(target), "dt", "_ingested")
     assert (target / "part-0.parquet").read_bytes() == b"this is not a table"
+
+
+def test_t_quantile_between_whole_degrees():
+    assert abs(t_quantile_975(5) - 2.570582) < 1e-6 and abs(t_quantile_975(40) - 2.021075) < 1e-6
+    assert t_quantile_975(1) < t_quantile_975(0.98) and abs(t_quantile_975(1e7) - 1.959964) < 1e-5
+
+
+def line(n, start, step, missing=()):
+    import datetime as dt
+    return [(dt.date(2020, 1, 1) + dt.timedelta(t), None if t in missing else start + step * t) for t in range(n)]
+
+
+@pytest.mark.parametrize("missing", [(), (1, 9)])
+def test_dynamic_model_is_exact_on_a_line(spark, missing):
+    df = spark.createDataFrame(line(20, 100.0, 10.0, missing), "dt date, y double")
+    rows = forecast.dlm(df, [], "dt", "y", periods=(), harmonics=(), prior_len=6, h=3).toPandas()
+    inside = rows[rows.step == 0].sort_values("dt")
+    assert inside.forecast[:6].isna().all()
+    assert np.allclose(inside.forecast[6:], [100 + 10 * t for t in range(6, 20)], atol=1e-3)
+    assert np.allclose(rows[rows.step > 0].sort_values("step").forecast, [300, 310, 320], atol=1e-3)
+
+
+def test_dynamic_model_follows_scenarios(spark):
+    rng = np.random.default_rng(4)
+    x = rng.random(60)
+    rows = [("a", d, float(50 + v * 8), float(v)) for (d, _), v in zip(line(60, 0.0, 0.0), x)]
+    df = spark.createDataFrame(rows, "k string, dt date, y double, x double")
+    last = df.groupBy("k").agg({"x": "max"}).withColumnRenamed("max(x)", "last")
+    paths = ts.scenario_paths(last, "last", levels=(0.0, 1.0), horizon=4, out="x")
+    out = forecast.dlm(df, ["k"], "dt", "y", ["x"], periods=(), harmonics=(), prior_len=10, future=paths, scenario="scenario").toPandas()
+    ahead = out[out.step > 0].groupby("scenario").forecast.apply(list)
+    assert np.allclose(ahead[0], 50 + 8 * x.max(), atol=0.1) and np.allclose(ahead[1], 50, atol=0.1) and np.allclose(ahead[2], 58, atol=0.1)
+
+
+def test_spend_fit_does_not_depend_on_the_currency(spark):
+    rng = np.random.default_rng(8)
+    n = 4000
+    x = rng.integers(1, 12, n)
+    m = rng.gamma(6.0 * x) / (x * rng.gamma(4.0, 1 / 15.0, n))
+    fits = [clv.fit_gamma_gamma(spark.createDataFrame([(int(a), float(b * f)) for a, b in zip(x, m)], "frequency long, monetary_value double")) for f in (1.0, 1e5)]
+    assert abs(fits[0].p - 6) < 1.5 and abs(fits[0].q - 4) < 0.5 and abs(fits[0].p * fits[0].v / 90 - 1) < 0.3
+    assert np.isclose(fits[0].q, fits[1].q, rtol=1e-3) and np.isclose(fits[1].v, 1e5 * fits[0].v, rtol=1e-2)
+
+
+def test_vector_search_takes_blocks_of_queries_and_breaks_ties_by_id(spark):
+    rng = np.random.default_rng(2)
+    v = rng.integers(-2, 3, (60, 4)).astype(float) + 0.5
+    df = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>").repartition(3)
+    queries = df.where("vec_id < 25").toDF("query_id", "query_vec")
+    whole = {(r[0], r[1]): r[2:] for r in docs.top_k_vectors(queries, df, 4).collect()}
+    parts = {(r[0], r[1]): r[2:] for r in docs.top_k_vectors(queries, df, 4, block_queries=6).collect()}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    best = -np.sort(-(u[:25] @ u.T), axis=1)[:, :4]
+    assert len(whole) == 100 and whole.keys() == parts.keys()
+    assert all(np.isclose(got[k][1], best[k[0], k[1] - 1]) for got in (whole, parts) for k in whole)
+
+
+def test_gap_has_a_row_for_one_cluster(spark):
+    df = spark.createDataFrame([(float(i % 7), float(i % 5)) for i in range(70)], "a double, b double")
+    assert [r["k"] for r in ml.gap_statistic(df, ["a", "b"], k_max=2, b=2).orderBy("k").collect()] == [1, 2]
