@@ -1,8 +1,12 @@
 """Substring dedup by sliding spans of sentences.
 
 Texts are cut into sentences (after ``.``, ``!`` or ``?`` before white space,
-and at line ends); a sentence of more than ``LONG`` words is cut every ``LONG``
-words, so that unpunctuated passages are covered too.  From every sentence on,
+and at line ends).  A sentence of more than ``LONG`` words is cut after the word of
+least hash (the last of equal ones) in every window of ``WINDOW`` words, so
+pieces have at most ``WINDOW`` words, and a passage is cut alike wherever it
+stands: only places within ``WINDOW`` words of its ends depend on what is
+around.  Within longer sentences a repeated passage of ``MIN_WORDS + 4 * WINDOW
+- 3`` words is thus always met, a shorter one if its cuts allow.  From every sentence on,
 the shortest run of at least ``MIN_SENTENCES`` consecutive sentences with at
 least ``MIN_WORDS`` words is hashed (lower-cased words).  All runs of all
 documents meet by hash; the first one (smallest id, then place) stays, and the
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -28,11 +33,19 @@ from custos.llm.common import stored
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 LONG = 20
+WINDOW = 8
 
 _BREAK = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+")
 
 
+def cuts(words: list[str]) -> list[int]:
+    """Numbers of the words before which a long sentence is cut, its ends among them."""
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[::-1]
+    least = np.lib.stride_tricks.sliding_window_view(h, WINDOW).argmin(axis=1)
+    return sorted({0, len(words), *(len(words) - np.arange(len(least)) - least).tolist()})
+
+
 def sentences(text: str) -> list[tuple[int, int, int]]:
     """(start, end, words) of every sentence that has a word, in code points."""
     out, at = [], 0
@@ -41,7 +54,8 @@ def sentences(text: str) -> list[tuple[int, int, int]]:
         n = len(text[at:end].split())
         if n > LONG:
             words = [w.span() for w in _WORD.finditer(text, at, end)]
-            out += [(words[i][0], words[min(i + LONG, n) - 1][1], min(LONG, n - i)) for i in range(0, n, LONG)]
+            cut = cuts([text[s:e].lower() for s, e in words])
+            out += [(words[i][0], words[j - 1][1], j - i) for i, j in zip(cut, cut[1:])]
         elif n:
             out.append((at, end, n))
         at = following

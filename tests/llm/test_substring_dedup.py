@@ -1,5 +1,6 @@
 """Repeated sentence spans against a direct count."""
 
+import random
 from collections import defaultdict
 
 from custos.llm import substring_dedup as sd
@@ -44,3 +45,26 @@ def test_edges(spark):
     got = sd.dedup(cases.plain(spark, ["Before it. " + words, words + ". After it."])).collect()
     assert sum(len(r["removed"]) for r in got) >= 2
     assert sum(n for *_, n in sd.sentences(words)) == 70
+
+
+def test_unpunctuated_passage_at_every_offset(spark):
+    rng = random.Random(3)
+    passage = [f"p{rng.randrange(500)}" for _ in range(60)]
+    for sep, texts in ((" ", 20), (" | ", 20)):
+        docs = []
+        for lead in range(texts):
+            own = [f"d{lead}x{k}" for k in range(lead + 30)]
+            docs.append(sep.join([*own[:lead], *passage, *own[lead:]]))
+        got = {r["doc_id"]: r["text"].split() for r in sd.dedup(cases.plain(spark, docs)).collect()}
+        assert got[0] == docs[0].split()
+        for i in range(1, texts):
+            kept = set(got[i])
+            assert sum(w not in kept for w in passage) >= 20  # counted on the words, without sentences() and runs()
+            assert all(w in kept for w in docs[i].split() if w.startswith("d"))
+
+
+def test_cuts_of_equal_words_and_long_first_sentence(spark):
+    assert sd.cuts(["a"] * 30) == list(range(31))[:1] + list(range(sd.WINDOW, 31))
+    first = " ".join(f"w{i}" for i in range(70)) + ". And a short end of it."
+    got = {r["doc_id"]: r["text"] for r in sd.dedup(cases.plain(spark, ["One two three " + first, "Other seven words which stand before it " + first])).collect()}
+    assert got[0].endswith(first) and "short end" not in got[1] and "w35" not in got[1].split() and got[1].startswith("Other seven words")
