@@ -17,9 +17,12 @@ number, and the numbers and the total length are verified.  The chunked
 framing is then decoded and the payload's digest compared.  Damaged records
 come back with ``error`` set instead of a payload.
 
-Null html is the empty payload; repeated rows are repeated records that share
-ids; an empty table gives no archive and no rows; a null page_id is refused by
-the writer (records need an id) and gets no record.
+Null html is the empty payload.  Every row is a record with an id of its own,
+made of the page id, the payload's digest and length, and the number of the copy:
+repeated rows are repeated records, and other html under one page_id is another
+record.  A revisit refers to copy 0 of the first page.  The copies of one page
+are numbered in one task.  An empty table gives no archive and no rows; a null
+page_id is refused by the writer (records need an id) and gets no record.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import hashlib
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
@@ -40,8 +43,8 @@ DATE = "2020-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 
-def record_id(page_id: int, segment: int = 1) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page_id}/{segment}')}>"
+def record_id(page_id: int, digest: str, size: int, copy: int = 0, segment: int = 1) -> str:
+    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page_id}/{digest}/{size}/{copy}/{segment}')}>"
 
 
 def base32_sha1(data: bytes) -> str:
@@ -75,12 +78,14 @@ def header(fields: list[tuple[str, object]]) -> bytes:
     return "".join(["WARC/1.1\r\n", *(f"{k}: {v}\r\n" for k, v in fields if v is not None), "\r\n"]).encode()
 
 
-def page_records(page_id: int, url: str | None, payload: bytes, refers_to: int | None, segment_bytes: int) -> list[bytes]:
-    """The records of one page, without the separator that follows each."""
+def page_records(page_id: int, url: str | None, payload: bytes, refers_to: int | None, segment_bytes: int, copy: int = 0) -> list[bytes]:
+    """The records of one page row, without the separator that follows each."""
+    digest, size = base32_sha1(payload), len(payload)
+    origin = record_id(page_id, digest, size, copy)
     target = (url or "").replace("\r", "%0D").replace("\n", "%0A") or None
-    own = [("WARC-Record-ID", record_id(page_id)), ("WARC-Date", DATE), ("WARC-Target-URI", target), ("WARC-Page-ID", page_id), ("WARC-Payload-Digest", f"sha1:{base32_sha1(payload)}")]
+    own = [("WARC-Record-ID", origin), ("WARC-Date", DATE), ("WARC-Target-URI", target), ("WARC-Page-ID", page_id), ("WARC-Payload-Digest", f"sha1:{digest}")]
     if refers_to is not None:
-        extra = [("WARC-Refers-To", record_id(refers_to)), ("WARC-Refers-To-Page-ID", refers_to), ("WARC-Payload-Length", len(payload)),
+        extra = [("WARC-Refers-To", record_id(refers_to, digest, size)), ("WARC-Refers-To-Page-ID", refers_to), ("WARC-Payload-Length", size),
                  ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
         return [header([("WARC-Type", "revisit"), *own, *extra, ("Content-Length", 0)])]
     block = _HTTP + chunked(payload)
@@ -89,8 +94,8 @@ def page_records(page_id: int, url: str | None, payload: bytes, refers_to: int |
     out = [header([("WARC-Type", "response"), *own, *number, ("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(parts[0]))]) + parts[0]]
     for i, part in enumerate(parts[1:], 2):
         total = [("WARC-Segment-Total-Length", len(block))] if i == len(parts) else []
-        out.append(header([("WARC-Type", "continuation"), ("WARC-Record-ID", record_id(page_id, i)), ("WARC-Date", DATE), ("WARC-Target-URI", target),
-                           ("WARC-Segment-Origin-ID", record_id(page_id)), ("WARC-Segment-Number", i), *total, ("Content-Length", len(part))]) + part)
+        out.append(header([("WARC-Type", "continuation"), ("WARC-Record-ID", record_id(page_id, digest, size, copy, i)), ("WARC-Date", DATE), ("WARC-Target-URI", target),
+                           ("WARC-Segment-Origin-ID", origin), ("WARC-Segment-Number", i), *total, ("Content-Length", len(part))]) + part)
     return out
 
 
@@ -98,16 +103,18 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     """Write every page below ``path`` as compressed archive files."""
     html = F.coalesce(pages[html_col].cast("binary"), F.lit(b"").cast("binary"))
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), html.alias("html")).where("page_id is not null")
-    keys = rows.where(F.length("html") >= min_revisit_bytes).select("page_id", F.sha1("html").alias("digest"), F.length("html").alias("size"))
+    rows = rows.withColumns({"digest": F.unhex(F.sha1("html")), "size": F.length("html")})
+    keys = rows.where(F.col("size") >= min_revisit_bytes).select("page_id", "digest", "size")
     first = keys.groupBy("digest", "size").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("refers_to < last").drop("last")
-    revisits = keys.join(first, ["digest", "size"]).where("page_id > refers_to").select("page_id", "refers_to").distinct()
+    revisits = keys.join(first, ["digest", "size"]).where("page_id > refers_to").select("page_id", "digest", "size", "refers_to").distinct()
+    copy = F.row_number().over(Window.partitionBy("page_id", "digest", "size").orderBy(F.lit(0))) - 1
 
     def write(batches):
         for b in batches:
-            out = [r for i, u, h, to in zip(*(c.to_pylist() for c in b.columns)) for r in page_records(i, u, h, to, segment_bytes)]
+            out = [r for i, u, h, to, k in zip(*(c.to_pylist() for c in b.columns)) for r in page_records(i, u, h, to, segment_bytes, k)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    records = rows.join(revisits, "page_id", "left").select("page_id", "url", "html", "refers_to").mapInArrow(write, "value binary")
+    records = rows.join(revisits, ["page_id", "digest", "size"], "left").select("page_id", "url", "html", "refers_to", copy.alias("copy")).mapInArrow(write, "value binary")
     (records.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
      .option("maxRecordsPerFile", FILE_RECORDS).text(path))
 

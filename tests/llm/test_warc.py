@@ -1,5 +1,6 @@
 """Writing and reading archives, exactly."""
 
+import gzip
 import hashlib
 import random
 
@@ -59,3 +60,22 @@ def test_damaged_segments_are_reported():
     assert warc.reassemble(parts[1:]) is None
     assert warc.reassemble([*parts[:2], (3, parts[2][1][:-1], None, None), parts[3]])["error"]
     assert hashlib.sha1(b"").digest() and warc.base32_sha1(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
+
+
+def test_every_row_has_its_own_records(spark, tmp_path):
+    rng = random.Random(6)
+    page = lambda n: "".join(rng.choice("abcdefgh <>") for _ in range(n))
+    big, other, third = page(60_000), page(60_000), page(40_000)
+    pages = [(1, "u", big), (1, "u", big), (1, "v", big), (2, "u", "small"), (2, "u", "small"), (3, "u", other), (3, "u", third), (4, "u", third), (5, "u", big), (5, "u", "own"), (5, "u", big)]
+    warc.write_archives(spark.createDataFrame([(*p, "", "") for p in pages], PAGES), str(tmp_path / "c"))
+    rows = warc.read_archives(spark, str(tmp_path / "c")).collect()
+    first = {}
+    for i, _, h in sorted(pages, key=lambda p: p[0]):
+        first.setdefault(h, i)
+    want = [(i, warc.base32_sha1(h.encode()), len(h), "response" if first[h] == i else "revisit", None if first[h] == i else first[h], h.encode() if first[h] == i else None) for i, _, h in pages]
+    assert all(r["error"] is None for r in rows)
+    assert sorted(((r["page_id"], r["payload_digest"], r["payload_bytes"], r["record_type"], r["refers_to"], r["payload"] and bytes(r["payload"])) for r in rows), key=str) == sorted(want, key=str)
+    files = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "c").glob("*.gz"))
+    fields = [f for f, _ in warc.parse_records(files)]
+    ids = [f["warc-record-id"] for f in fields]
+    assert len(ids) == len(set(ids)) and {f["warc-refers-to"] for f in fields if "warc-refers-to" in f} <= set(ids)
