@@ -23,6 +23,10 @@ taken, and only groups that still hold several components are compared further:
 every pair of their members from different components whose size, bitmap and
 distance to the star's centre (Jaccard distance is a metric) allow a link.
 So every link between different texts is verified or lies inside a component.
+The links of a class are then counted exactly: every pair of a component of three
+or more classes whose sizes allow a link is intersected.  Components are dealt
+into blocks by hash, two blocks meet in one task, and only counts leave it, so the
+work grows with the square of a component but no pair is listed.
 
 Null or wordless texts have the empty set and no links; a text of fewer words
 than the n-gram is one n-gram; repeated rows share a class; an empty table
@@ -45,6 +49,7 @@ VERIFY_FRAGMENTS = 16
 HOT = 50
 BITS, WIDE_BITS = 4, 16
 BROADCAST_IDS = 1_000_000
+BLOCK_HASHES = 1 << 19
 WORD_CACHE = 1_000_000
 _known: dict[bytes, int] = {}
 
@@ -264,19 +269,91 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
     return classes, links
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def count_between(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each set of ``left`` and of ``right``; without ``right``, of ``left`` among themselves (in the first array)."""
+    other = left if right is None else right
+    order = np.argsort([len(s) for s in other], kind="stable")
+    if right is None:
+        left = [left[i] for i in order]
+    _, number = np.unique(np.concatenate([*left, *(other[i] for i in order)]), return_inverse=True)
+    ends = np.cumsum([len(s) for s in left])
+    sizes = np.array([len(other[i]) for i in order], np.int64)
+    places, starts = number[ends[-1]:], np.concatenate([[0], np.cumsum(sizes)])
+    held = np.zeros(len(number), np.int64)
+    a, b = np.zeros(len(left), np.int64), np.zeros(len(other), np.int64)
+    for i, end in enumerate(ends):
+        size = len(left[i])
+        lo = i + 1 if right is None else int(np.searchsorted(100 * sizes, percent * size))
+        hi = int(np.searchsorted(percent * sizes, 100 * size, "right"))
+        if lo >= hi:
+            continue
+        mine = number[end - size:end]
+        held[mine] = 1
+        inter = np.add.reduceat(held[places[starts[lo]:starts[hi]]], starts[lo:hi] - starts[lo])
+        held[mine] = 0
+        linked = 100 * inter >= percent * (size + sizes[lo:hi] - inter)
+        a[i] += linked.sum()
+        b[lo:hi] += linked
+    back = np.empty_like(b)
+    back[order] = b
+    if right is not None:
+        return a, back
+    own = np.empty_like(a)
+    own[order] = a
+    return own + back, np.empty(0, np.int64)
+
+
+def link_counts(label: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(class_id, n_links) of every class in the components ``label`` (class_id, label)."""
+    sized = label.join(classes.select("class_id", "size").dropDuplicates(["class_id"]), "class_id")
+    of_component = sized.groupBy("label").agg(F.count("*").alias("_m"), F.ceil(F.sum("size") / BLOCK_HASHES).alias("blocks"))
+    found = stored(label.join(of_component, "label").select(F.col("class_id").alias("_c"), "label", "_m", "blocks"), "component_members")
+    members = stored(found.where("_m > 2").drop("_m"), "members")
+    few = members.count() <= BROADCAST_IDS
+    texts = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text"))
+    wanted = texts.join(F.broadcast(members) if few else members, F.col("_id") == F.col("_c")).select("_c", "label", "blocks", "_text").dropDuplicates(["_c"])
+
+    def cut(batches):
+        for b in batches:
+            sets = [shingle_set(t, n).view(np.int64) for t in text_bytes(b.column(3))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sets, pa.list_(pa.int64()))], ["class_id", "label", "blocks", "hashes"])
+
+    def count(table):
+        sets = np.split(*(lambda c: (c.flatten().to_numpy(), c.value_lengths().to_numpy().cumsum()[:-1]))(table.column("hashes").combine_chunks()))
+        ids, mine = table.column("class_id").to_numpy(), table.column("mine").to_numpy()
+        first = mine == table.column("lo")[0].as_py()
+        pick = lambda which: [sets[i] for i in np.flatnonzero(which)]
+        if first.all() or not first.any():
+            within = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
+            total, found = (count_between(sets, None, percent)[0], ids) if within else (np.empty(0, np.int64), ids[:0])
+        else:
+            total, found = np.concatenate(count_between(pick(first), pick(~first), percent)), np.concatenate([ids[first], ids[~first]])
+        return pa.table({"class_id": pa.array(found, pa.int64()), "n_links": pa.array(total, pa.int64())})
+
+    own = wanted.mapInArrow(cut, "class_id long, label long, blocks long, hashes array<long>").withColumn("mine", F.pmod(F.xxhash64("class_id"), "blocks"))
+    met = own.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.select("label", F.least("mine", "_other").alias("lo"), F.greatest("mine", "_other").alias("hi"), "mine", "class_id", "hashes")
+    counted = met.groupBy("label", "lo", "hi").applyInArrow(count, "class_id long, n_links long")
+    pairs = found.where("_m = 2").select(F.col("_c").alias("class_id"), F.lit(1).cast("long").alias("n_links"))
+    return counted.groupBy("class_id").agg(F.sum("n_links").alias("n_links")).union(pairs)
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class_id, component_id, n_links.
 
     ``class_id`` is the smallest id with the same set, ``component_id`` the
     smallest id reachable over links (its own without any), ``n_links`` the
-    verified links of its class to other classes.
+    number of all other classes that its class links to (no such column
+    without ``count_links``).
     """
     sig = stored(signatures(docs, n, percent, id_col, text_col), "signatures")
     classes, links = similar_classes(sig, docs, n, percent, id_col, text_col)
     label = components(links)
-    degree = links.select("a", "b").union(links.select("b", "a")).distinct().groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("n_links"))
-    of_class = classes.select("set_hash", "class_id").join(label, "class_id", "left").join(degree, "class_id", "left")
+    of_class = classes.select("set_hash", "class_id").join(label, "class_id", "left")
+    number = []
+    if count_links:
+        of_class = of_class.join(link_counts(label, classes, docs, n, percent, id_col, text_col), "class_id", "left")
+        number = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
     return sig.select("doc_id", "n_shingles", "set_hash").join(of_class, "set_hash", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(F.col("n_shingles") > 0, F.coalesce("label", "class_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        F.when(F.col("n_shingles") > 0, F.coalesce("label", "class_id")).otherwise(F.col("doc_id")).alias("component_id"), *number)

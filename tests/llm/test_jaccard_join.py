@@ -81,3 +81,29 @@ def test_boundary_is_inclusive(spark):
     words = [f"w{i}" for i in range(19)]
     a, b = " ".join(words), " ".join(words[:18])
     assert got(cases.plain(spark, [a, b, " ".join(words[:17])]), 1, 90) == {0: (19, 0), 1: (18, 0), 2: (17, 0)}
+
+
+def all_links(texts, n, percent):
+    """Per text the number of other sets that its set links to."""
+    sets = [shingles(t, n) for t in texts]
+    unique = set(sets) - {frozenset()}
+    linked = lambda a, b: a != b and 100 * len(a & b) >= percent * len(a | b)
+    count = {a: sum(linked(a, b) for b in unique) for a in unique}
+    return {i: count.get(s, 0) for i, s in enumerate(sets)}
+
+
+@pytest.mark.parametrize(("n", "percent", "block"), [(3, 90, 1 << 19), (2, 80, 700)])
+def test_links_are_counted_over_all_pairs(spark, monkeypatch, n, percent, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_HASHES", block)
+    rng = random.Random(7)
+    texts = [None, "", "a b", "a b"]
+    for size, copies in ((200, 60), (90, 25), (40, 2), (30, 3), (10, 6)):
+        base = [f"w{rng.randrange(4000)}" for _ in range(size)]
+        texts += [edited(rng, base, rng.randrange(0, 1 + size // 25)) for _ in range(copies)] + [" ".join(base)] * 2
+    chain = [f"c{i}" for i in range(150)]
+    texts += [" ".join(chain[4 * i:4 * i + 90]) for i in range(14)]  # neighbours link, the ends do not
+    rng.shuffle(texts)
+    out = jaccard_join.jaccard_components(cases.plain(spark, texts), n, percent).collect()
+    want = all_links(texts, n, percent)
+    assert {r["doc_id"]: r["n_links"] for r in out} == want
+    assert max(want.values()) > 20
