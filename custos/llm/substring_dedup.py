@@ -14,9 +14,10 @@ sentences covered by any other are removed from their document.
 
 Null text counts as empty and comes back as empty; texts shorter than a run
 are left alone; of exact copies all but the first lose their whole runs;
-repeated rows share an id, so the later of them count as repeats at the same
-place and stay whole together with the first.  An empty table gives an empty
-result; rows with a null id are compared but come after all others.
+repeated rows share id and text, so the later of them count as repeats at the
+same place and stay whole together with the first; other texts under the same
+id, or without one, are documents of their own, in the order of a hash of the text.
+An empty table gives an empty result; rows with a null id come after all others.
 """
 
 from __future__ import annotations
@@ -79,30 +80,36 @@ def runs(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_hash, text) of every row: texts under one id, or without one, are told apart by hash."""
+    text = docs[text_col].cast("string")
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+
+
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, place, stop) of every run that is not the first of its hash."""
+    """(doc_id, text_hash, place, stop) of every run that is not the first of its hash."""
     def cut(batches):
         for b in batches:
             ids, cols = [], ([], [], [])
-            for i, t in enumerate(b.column(1).to_pylist()):
+            for i, t in enumerate(b.column(2).to_pylist()):
                 for run in runs(t or ""):
                     ids.append(i)
                     for c, v in zip(cols, run):
                         c.append(v)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids, pa.int64())), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32())], ["doc_id", "hash", "place", "stop"])
+            ids = pa.array(ids, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(ids), b.column(1).take(ids), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32())], ["doc_id", "text_hash", "hash", "place", "stop"])
 
-    spans = stored(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(
-        cut, "doc_id long, hash long, place int, stop int"), "runs")
-    where = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("d"), F.col("place").alias("p"))
+    spans = stored(keyed(docs, id_col, text_col).mapInArrow(cut, "doc_id long, text_hash long, hash long, place int, stop int"), "runs")
+    where = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("d"), F.col("text_hash").alias("t"), F.col("place").alias("p"))
     first = spans.groupBy("hash").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last").select("hash", "first")
-    return spans.join(first, "hash").where(F.col("first") < where).select("doc_id", "place", "stop")
+    return spans.join(first, "hash").where(F.col("first") < where).select("doc_id", "text_hash", "place", "stop")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, text without the covered sentences, sentences, removed (their numbers, sorted)."""
-    covered = repeated_runs(docs, id_col, text_col).groupBy("doc_id").agg(F.collect_set(F.struct("place", "stop")).alias("gone"))
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    both = rows.join(covered.withColumnRenamed("doc_id", "_d"), F.col("doc_id").eqNullSafe(F.col("_d")), "left").select("doc_id", "text", "gone")
+    covered = repeated_runs(docs, id_col, text_col).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "stop")).alias("gone"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t"))
+    both = keyed(docs, id_col, text_col).join(covered.withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"}), same, "left").select("doc_id", "text", "gone")
 
     def drop(batches):
         for b in batches:

@@ -68,3 +68,16 @@ def test_cuts_of_equal_words_and_long_first_sentence(spark):
     first = " ".join(f"w{i}" for i in range(70)) + ". And a short end of it."
     got = {r["doc_id"]: r["text"] for r in sd.dedup(cases.plain(spark, ["One two three " + first, "Other seven words which stand before it " + first])).collect()}
     assert got[0].endswith(first) and "short end" not in got[1] and "w35" not in got[1].split() and got[1].startswith("Other seven words")
+
+
+def test_texts_without_an_id_or_under_one_id_are_told_apart(spark):
+    clean = "A clean text begins here. " + " ".join(f"It has sentence {i} of its own, which no other has." for i in range(12))
+    repeat = ["The lead. " + cases.SHARED + " The end of one.", "Another lead stands here. " + cases.SHARED + " The end of two."]
+    for key in (None, 7):
+        rows = [(key, clean), *((key, t) for t in repeat), (1, "First of all. " + cases.SHARED)]
+        got = [(r["doc_id"], r["text"]) for r in sd.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        assert (key, clean) in got and rows[-1] in got
+        assert sum("villages" in t for _, t in got) == 1
+    rows = [(None, t) for t in repeat]
+    got = [r["text"] for r in sd.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sum("villages" in t for t in got) == 1
