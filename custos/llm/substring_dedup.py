@@ -7,8 +7,10 @@ pieces have at most ``WINDOW`` words, and a passage is cut alike wherever it
 stands: only places within ``WINDOW`` words of its ends depend on what is
 around.  Within longer sentences a repeated passage of ``MIN_WORDS + 4 * WINDOW
 - 3`` words is thus always met, a shorter one if its cuts allow.  From every sentence on,
-the shortest run of at least ``MIN_SENTENCES`` consecutive sentences with at
-least ``MIN_WORDS`` words is hashed (lower-cased words).  All runs of all
+and up to every sentence, the shortest run of at least ``MIN_SENTENCES``
+consecutive sentences with at least ``MIN_WORDS`` words is hashed (lower-cased
+words), so that the last sentences of a passage are covered like the first.
+All runs of all
 documents meet by hash; the first one (smallest id, then place) stays, and the
 sentences covered by any other are removed from their document.
 
@@ -64,19 +66,30 @@ def sentences(text: str) -> list[tuple[int, int, int]]:
 
 
 def runs(text: str) -> list[tuple[int, int, int]]:
-    """(hash, first sentence, one past the last) of the run that begins at each sentence."""
+    """(hash, first sentence, one past the last) of the shortest runs that begin and that end at each sentence."""
     found = sentences(text)
     words = [" ".join(text[s:e].lower().split()) for s, e, _ in found]
-    out, j, n = [], 0, 0
+    places, j, n = set(), 0, 0
     for i in range(len(found)):
         while j < len(found) and (j - i < MIN_SENTENCES or n < MIN_WORDS):
             n += found[j][2]
             j += 1
         if j - i < MIN_SENTENCES or n < MIN_WORDS:
             break
+        places.add((i, j))
+        n -= found[i][2]
+    i = n = 0
+    for j in range(1, len(found) + 1):
+        n += found[j - 1][2]
+        while j - i > MIN_SENTENCES and n - found[i][2] >= MIN_WORDS:
+            n -= found[i][2]
+            i += 1
+        if j - i >= MIN_SENTENCES and n >= MIN_WORDS:
+            places.add((i, j))
+    out = []
+    for i, j in sorted(places):
         h = xxhash.xxh3_64_intdigest(" ".join(words[i:j]))
         out.append((h - (1 << 64) if h >> 63 else h, i, j))
-        n -= found[i][2]
     return out
 
 

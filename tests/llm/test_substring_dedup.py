@@ -81,3 +81,13 @@ def test_texts_without_an_id_or_under_one_id_are_told_apart(spark):
     rows = [(None, t) for t in repeat]
     got = [r["text"] for r in sd.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sum("villages" in t for t in got) == 1
+
+
+def test_last_sentences_of_a_passage_go_too(spark):
+    say = lambda mark, n: " ".join(f"{mark}{i}" for i in range(n)) + "."
+    passage = " ".join([say("a", 19), say("b", 2), say("c", 15)])
+    docs = [f"{say(f'lead{k}x', 6)} {passage} {say(f'tail{k}x', 18)}" for k in range(3)]
+    got = {r["doc_id"]: r for r in sd.dedup(cases.plain(spark, docs)).collect()}
+    assert got[0]["text"] == docs[0]
+    for k in (1, 2):
+        assert got[k]["removed"] == [1, 2, 3] and got[k]["text"] == f"{say(f'lead{k}x', 6)} {say(f'tail{k}x', 18)}"
