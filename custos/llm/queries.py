@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from custos.llm import balltree, decontamination, jaccard_join, langid, packing, pii, quality, secrets, substring_dedup, warc
+from custos.llm import balltree, byte_bpe, decontamination, filter_audit, jaccard_join, langid, packing, pii, quality, secrets, substring_dedup, warc
 from custos.llm.common import scratch_path, table
 
 QUERIES = {}
@@ -114,3 +114,52 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.digest(pii.find_pii(docs, pii.fit(docs)))
+
+
+@query("op11_byte_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+
+    how = tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN
+    return byte_bpe.digest(byte_bpe.decode_documents(byte_bpe.encode_documents(table(spark, sf_dir, "documents"), *how), *how))
+
+
+@query("op12_filter_interactions", r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), w AS (
+    SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM d
+), m AS (
+    SELECT doc_id, part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > first_id, false) AS e
+    FROM w
+), l AS (
+    SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+), k AS (
+    SELECT part, {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+    FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL
+), f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), o AS (
+    SELECT x1.f || x2.f || x3.f || x4.f || x5.f AS filter_order FROM f x1, f x2, f x3, f x4, f x5
+    WHERE len(list_distinct([x1.f, x2.f, x3.f, x4.f, x5.f])) = 5
+), s AS (
+    SELECT part, filter_order, step, filter_order[step] AS f, n, good, toxic, struct_extract_at(fails, 1) AS a, struct_extract_at(fails, 2) AS b, struct_extract_at(fails, 3) AS c,
+        struct_extract_at(fails, 4) AS d, struct_extract_at(fails, 5) AS e,
+        list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END) AS failed
+    FROM k, o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), r AS (
+    SELECT part, filter_order, step, f, n, good, toxic, failed, list_contains(failed, f) AS fails_it,
+        coalesce(list_min(list_transform(failed, lambda x: strpos(filter_order, x))), 6) AS gone
+    FROM s
+), t AS (
+    SELECT part, filter_order, step, f, sum(n) FILTER (gone > step) AS kept, sum(n) FILTER (gone = step) AS removed, sum(n) FILTER (fails_it AND gone < step) AS redundant,
+        sum(n) FILTER (failed = [f]) AS unique_fails, sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+    FROM r GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+    coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+    coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM t
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
