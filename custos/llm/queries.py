@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from custos.llm import balltree, byte_bpe, decontamination, filter_audit, jaccard_join, langid, packing, pii, quality, secrets, substring_dedup, warc
+from custos.llm import balltree, byte_bpe, decontamination, filter_audit, jaccard_join, langid, lexical_topk, packing, pii, quality, secrets, substring_dedup, warc
 from custos.llm.common import scratch_path, table
 
 QUERIES = {}
@@ -163,3 +163,27 @@ FROM t
 """)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query("op13_pair_maxscore", r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), t AS (
+    SELECT doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d
+), c AS (
+    SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM t GROUP BY ALL
+), s AS (SELECT count(*)::BIGINT AS documents, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0
+), f AS (
+    SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM c, s GROUP BY term, documents
+), q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), r AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * documents) // total))))::BIGINT AS score
+    FROM q JOIN f USING (term) JOIN c USING (term), s GROUP BY item_id, doc_id
+), k AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM r WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_topk.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
