@@ -21,6 +21,7 @@ import base64
 import functools
 import heapq
 import itertools
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from custos.llm.common import mix64, slices
 
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 PIECES_AT_ONCE = 1_000_000
-CACHE_BYTES = 64 << 20
-ENTRY_BYTES = 150
+CACHE_BYTES = 128 << 20
+ENTRY_BYTES = 190
 
 
 class MinimalPerfectHash:
@@ -133,9 +134,13 @@ class Vocabulary:
         number = self.index.find(keys)
         whole = self.rank_of[number].astype("<i4").tobytes()
         for i, (piece, n) in enumerate(zip(new, number.tolist())):
-            ids = whole[4 * i:4 * i + 4] if n >= 0 else np.array(self.merged(keys[i]), "<i4").tobytes()
+            if n >= 0:
+                ids = whole[4 * i:4 * i + 4]
+            else:
+                found = self.merged(keys[i])
+                ids = pack(f"<{len(found)}i", *found)
             self.known[piece] = ids
-            self.held += ENTRY_BYTES + 4 * len(piece) + len(ids)
+            self.held += ENTRY_BYTES + 2 * len(keys[i]) + len(ids)
 
     def split(self, text: str):
         """Lists of the pre-tokens of a text; a very long text comes in several."""
