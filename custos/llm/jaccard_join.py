@@ -50,7 +50,7 @@ HOT = 50
 BITS, WIDE_BITS = 4, 16
 BROADCAST_IDS = 1_000_000
 BLOCK_HASHES = 1 << 19
-WORD_CACHE = 1_000_000
+WORD_CACHE = 300_000
 _known: dict[bytes, int] = {}
 
 

@@ -9,9 +9,9 @@ around.  Within longer sentences a repeated passage of ``MIN_WORDS + 4 * WINDOW
 - 3`` words is thus always met, a shorter one if its cuts allow.  From every sentence on,
 and up to every sentence, the shortest run of at least ``MIN_SENTENCES``
 consecutive sentences with at least ``MIN_WORDS`` words is hashed (lower-cased
-words), so that the last sentences of a passage are covered like the first.
-All runs of all
-documents meet by hash; the first one (smallest id, then place) stays, and the
+words, to 128 bits), so that the last sentences of a passage are covered like
+the first.  The hashes of all runs are counted; all runs of all documents with a
+repeated one meet by hash; the first (smallest id, then place) stays, and the
 sentences covered by any other are removed from their document.
 
 Null text counts as empty and comes back as empty; texts shorter than a run
@@ -19,7 +19,8 @@ are left alone; of exact copies all but the first lose their whole runs;
 repeated rows share id and text, so the later of them count as repeats at the
 same place and stay whole together with the first; other texts under the same
 id, or without one, are documents of their own, in the order of a hash of the text.
-An empty table gives an empty result; rows with a null id come after all others.
+An empty table gives an empty result; rows with a null id come after all others;
+very long texts are cut whole; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -31,13 +32,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from custos.llm.common import stored
+from custos.llm.common import mix64, slices, stored
+from custos.llm.jaccard_join import word_hashes
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 LONG = 20
 WINDOW = 8
 
+BROADCAST_HASHES = 1_000_000
+BATCH_CHARS = 2_000_000
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+_SPACES = bytes(32 if b in (9, 11, 12, 13, 28, 29, 30, 31) else b for b in range(256))
+_OTHER_SPACE = re.compile(r"[^\S\x00-\x7F]")
 _BREAK = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+")
 
@@ -99,30 +107,123 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, place, stop) of every run that is not the first of its hash."""
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of many texts at once: the hash of every lower-cased word, its text, and whether a sentence ends after it."""
+    low = [t.lower() if t.isascii() else _OTHER_SPACE.sub(" ", t.lower()) for t in texts]
+    data = [t.encode().translate(_SPACES) for t in low]
+    buffer = np.frombuffer(b" ".join([*data, b""]), np.uint8)
+    space = (buffer == 32) | (buffer == 10)
+    edge = np.flatnonzero(np.diff(space, prepend=True))  # a word begins, ends, begins ...; a space closes the buffer
+    start, end = edge[::2], edge[1::2]
+    text = np.searchsorted(np.cumsum([len(d) + 1 for d in data]), start, "right")
+    last = buffer[end - 1]
+    stop = (last == 46) | (last == 33) | (last == 63)
+    if len(start):
+        lines = np.concatenate([[0], np.cumsum(buffer == 10)])
+        stop[:-1] |= (lines[start[1:]] > lines[end[:-1]]) | (text[1:] != text[:-1])
+        stop[-1] = True
+    return word_hashes(b" ".join(data).split()), text, stop
+
+
+def with_cuts(hashes: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """``stop`` with the places at which long sentences are cut (as ``cuts`` finds them)."""
+    if len(hashes) < WINDOW:
+        return stop
+    last = np.flatnonzero(stop)
+    size = np.diff(last, prepend=-1)
+    begins = np.concatenate([[0], last[:-1] + 1])
+    number = np.repeat(np.arange(len(last)), size)
+    at = np.arange(len(hashes) - WINDOW + 1)
+    inside = (size[number[at]] > LONG) & (at + WINDOW <= begins[number[at]] + size[number[at]])
+    least = WINDOW - 1 - np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)[inside][:, ::-1].argmin(axis=1)
+    out = stop.copy()
+    out[at[inside] + least] = True
+    return out
+
+
+def run_table(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """(text, first sentence, one past the last, hash, second hash) of the runs of many texts; as ``runs`` for each.
+
+    The hash of a run is a difference of prefix sums of word hashes times
+    powers, brought to the power of its first word.
+    """
+    h, text, stop = words_of(texts)
+    if not len(h):
+        return (np.empty(0, np.int64),) * 5
+    after = np.flatnonzero(with_cuts(h, stop)) + 1  # words before the end of each sentence
+    before = np.concatenate([[0], after[:-1]])
+    of = text[before]  # its text
+    n = len(after)
+    first = np.searchsorted(of, of)  # first sentence of its text, and one past the last one
+    past = np.searchsorted(of, of, "right")
+    i = np.arange(n)
+    words = np.concatenate([[0], after])
+    j = np.maximum(i + MIN_SENTENCES, np.searchsorted(words, before + MIN_WORDS))
+    back = np.minimum(i + 1 - MIN_SENTENCES, np.searchsorted(words, after - MIN_WORDS, "right") - 1)
+    forth = j <= past
+    again = (back >= first) & (back >= 0)
+    again[again] &= j[back[again]] != i[again] + 1
+    lo, hi = np.concatenate([i[forth], back[again]]), np.concatenate([j[forth], i[again] + 1])
+    a, b = words[lo], words[hi]
+    found = []
+    for base in BASES:
+        powers, inverse = (np.full(len(h) + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
+        powers[0] = inverse[0] = 1
+        np.multiply.accumulate(powers, out=powers)
+        np.multiply.accumulate(inverse, out=inverse)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h ^ np.uint64(base)) * powers[:-1], dtype=np.uint64)])
+        found.append(mix64((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)).view(np.int64))
+    return of[lo], lo - first[lo], hi - first[lo], *found
+
+
+def run_hashes(docs: DataFrame, id_col: str, text_col: str, places: bool) -> DataFrame:
+    """The 64-bit hash of every run of every row; with ``places`` also its second hash and where it stands."""
     def cut(batches):
         for b in batches:
-            ids, cols = [], ([], [], [])
-            for i, t in enumerate(b.column(2).to_pylist()):
-                for run in runs(t or ""):
-                    ids.append(i)
-                    for c, v in zip(cols, run):
-                        c.append(v)
-            ids = pa.array(ids, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(ids), b.column(1).take(ids), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32())], ["doc_id", "text_hash", "hash", "place", "stop"])
+            texts = ["" if t is None else t for t in b.column(2).to_pylist()]
+            for lo, hi in slices([len(t) for t in texts], BATCH_CHARS):
+                text, place, stop, hash_, second = run_table(texts[lo:hi])
+                if not places:
+                    yield pa.RecordBatch.from_arrays([pa.array(hash_)], ["hash"])
+                    continue
+                rows = pa.array(text + lo)
+                yield pa.RecordBatch.from_arrays([pa.array(hash_), pa.array(second), b.column(0).take(rows), b.column(1).take(rows), pa.array(place.astype(np.int32)), pa.array(stop.astype(np.int32))],
+                                                 ["hash", "second", "doc_id", "text_hash", "place", "stop"])
 
-    spans = stored(keyed(docs, id_col, text_col).mapInArrow(cut, "doc_id long, text_hash long, hash long, place int, stop int"), "runs")
-    where = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("d"), F.col("text_hash").alias("t"), F.col("place").alias("p"))
-    first = spans.groupBy("hash").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last").select("hash", "first")
-    return spans.join(first, "hash").where(F.col("first") < where).select("doc_id", "text_hash", "place", "stop")
+    schema = "hash long, second long, doc_id long, text_hash long, place int, stop int"
+    return keyed(docs, id_col, text_col).mapInArrow(cut, schema if places else "hash long")
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, place, stop) of every run that is not the first of its 128-bit hash.
+
+    Hashes alone are counted first; places are taken, in a second scan, of
+    repeated ones only.  All copies of a run meet in aggregates, never in a
+    join: what is not a first place is found by place.
+    """
+    twice = stored(run_hashes(docs, id_col, text_col, False).groupBy("hash").count().where("count > 1").select("hash"), "repeated_hashes")
+    few = twice.count() <= BROADCAST_HASHES
+    spans = stored(run_hashes(docs, id_col, text_col, True).join(F.broadcast(twice) if few else twice, "hash", "left_semi"), "runs")
+    where = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("d"), "text_hash", "place", "stop")
+    first = spans.groupBy("hash", "second").agg(F.min(where).alias("first")).select("first.*")
+    place = [F.coalesce("doc_id", F.lit(2 ** 63 - 1)) == F.col("d"), *(spans[c] == first[c] for c in ("text_hash", "place", "stop"))]
+    return spans.join(first, place, "left_anti").select("doc_id", "text_hash", "place", "stop")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, text without the covered sentences, sentences, removed (their numbers, sorted)."""
-    covered = repeated_runs(docs, id_col, text_col).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "stop")).alias("gone"))
+    covered = stored(repeated_runs(docs, id_col, text_col).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "stop")).alias("gone"))
+                     .withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"}), "covered")
+    rows, schema = keyed(docs, id_col, text_col), "doc_id long, text string, sentences int, removed array<int>"
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t"))
-    both = keyed(docs, id_col, text_col).join(covered.withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"}), same, "left").select("doc_id", "text", "gone")
+
+    def count(batches):
+        for b in batches:
+            texts = ["" if t is None else t for t in b.column(1).to_pylist()]
+            for lo, hi in slices([len(t) for t in texts], BATCH_CHARS):
+                h, text, stop = words_of(texts[lo:hi])
+                total = np.bincount(text[with_cuts(h, stop)], minlength=hi - lo)
+                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], pa.array(texts[lo:hi], pa.string()), pa.array(total.astype(np.int32)), pa.array([[]] * (hi - lo), pa.list_(pa.int32()))], ["doc_id", "text", "sentences", "removed"])
 
     def drop(batches):
         for b in batches:
@@ -140,4 +241,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 removed.append(bad)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(total, pa.int32()), pa.array(removed, pa.list_(pa.int32()))], ["doc_id", "text", "sentences", "removed"])
 
-    return both.mapInArrow(drop, "doc_id long, text string, sentences int, removed array<int>")
+    if covered.count() > BROADCAST_HASHES:
+        return rows.join(covered, same, "left").select("doc_id", "text", "gone").mapInArrow(drop, schema)
+    ids = F.broadcast(covered.select("_d", "_t"))  # only texts that change are moved
+    whole = rows.join(ids, same, "left_anti").select("doc_id", "text").mapInArrow(count, schema)
+    changed = rows.join(ids, same, "left_semi").join(covered.hint("merge"), same).select("doc_id", "text", "gone").mapInArrow(drop, schema)
+    return whole.union(changed)

@@ -91,3 +91,44 @@ def test_last_sentences_of_a_passage_go_too(spark):
     assert got[0]["text"] == docs[0]
     for k in (1, 2):
         assert got[k]["removed"] == [1, 2, 3] and got[k]["text"] == f"{say(f'lead{k}x', 6)} {say(f'tail{k}x', 18)}"
+
+
+def test_runs_of_many_texts_at_once_are_those_of_each():
+    rng = random.Random(8)
+    texts = [t or "" for t in cases.TEXTS] + ["a\x1cb.\x85c d \n e! f", "É b. " * 30, " \n. . . ! a ?   b" + " w" * 50 + "\n", "x y\nz"]
+    texts += ["".join(rng.choice(["w1 ", "W2 ", "longer ", "end. ", "q! ", "\n", "é\xa0", "　t "]) for _ in range(rng.randrange(200))) for _ in range(60)]
+    text, place, stop, first, second = sd.run_table(texts)
+    got = {(i, p, q): (a, b) for i, p, q, a, b in zip(*(x.tolist() for x in (text, place, stop, first, second)))}
+    want = {(i, p, q): h for i, t in enumerate(texts) for h, p, q in sd.runs(t)}
+    assert got.keys() == want.keys() and len(got) == len(text)
+    assert len(set(want.values())) == len(set(got.values())) == len({(got[k], want[k]) for k in want})
+
+
+def words_removed(texts, size):
+    """Words that stand in a run of ``size`` equal words which an earlier place has too; no sentences, no hashes."""
+    seen, gone = set(), [set() for _ in texts]
+    for i, t in enumerate(texts):
+        w = t.lower().split()
+        for a in range(len(w) - size + 1):
+            run = tuple(w[a:a + size])
+            if run in seen:
+                gone[i] |= set(range(a, a + size))
+            seen.add(run)
+    return gone
+
+
+def test_removed_words_against_runs_of_words(spark):
+    """Every word taken is a repeat of at least 20 words; of a repeated passage of sentences all words go."""
+    rng = random.Random(5)
+    sentence = lambda n: " ".join(f"v{rng.randrange(3000)}" for _ in range(n)) + "."
+    passages = [" ".join(sentence(rng.randrange(6, 15)) for _ in range(8)) for _ in range(5)]
+    texts = [" ".join([sentence(9), *rng.sample(passages, 2), sentence(12), sentence(30)]) for _ in range(25)]
+    repeated, rows = words_removed(texts, 20), {r["doc_id"]: r for r in sd.dedup(cases.plain(spark, texts)).collect()}
+    seen = set()
+    for i, t in enumerate(texts):
+        left, all_words = rows[i]["text"].split(), t.split()
+        gone = len(all_words) - len(left)
+        assert gone <= len(repeated[i])
+        old = sum(len(p.split()) for p in passages if p in t and p in seen)
+        assert gone >= old
+        seen |= {p for p in passages if p in t}
