@@ -29,8 +29,10 @@ into blocks by hash, two blocks meet in one task, and only counts leave it, so t
 work grows with the square of a component but no pair is listed.
 
 Null or wordless texts have the empty set and no links; a text of fewer words
-than the n-gram is one n-gram; repeated rows share a class; an empty table
-gives an empty result.  A null id keeps its row, without a component.
+than the n-gram is one n-gram; very long texts are cut whole; repeated rows share
+a class; of an id with several texts each text has its own class, links and
+component; an empty table gives an empty result; other columns, whatever their
+names, are not read.  A null id keeps its row, without a component.
 """
 
 from __future__ import annotations
@@ -39,9 +41,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custos.llm.common import mix64, stored, text_bytes
+from custos.llm.common import mix64, slices, stored, text_bytes
 
 FIRST_LEVEL = 9
 LEVEL_RATIO = 1.5
@@ -50,6 +53,7 @@ HOT = 50
 BITS, WIDE_BITS = 4, 16
 BROADCAST_IDS = 1_000_000
 BLOCK_HASHES = 1 << 19
+BATCH_BYTES = 4_000_000
 WORD_CACHE = 300_000
 _known: dict[bytes, int] = {}
 
@@ -77,6 +81,18 @@ def shingle_set(data: bytes, n: int) -> np.ndarray:
     return np.unique(total)
 
 
+def cut_batch(batch, text_column: int):
+    """Slices of an Arrow batch of a bounded size of text."""
+    sizes = pc.binary_length(batch.column(text_column)).fill_null(0).to_pylist()
+    for lo, hi in slices(sizes, BATCH_BYTES):
+        yield batch.slice(lo, hi - lo)
+
+
+def long_lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
+
+
 def set_hash(hashes: np.ndarray) -> bytes:
     import xxhash
 
@@ -137,33 +153,53 @@ def signatures(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str
     cut = Cut(percent)
 
     def run(batches):
-        for b in batches:
-            sets = [shingle_set(t, n) for t in text_bytes(b.column(1))]
-            keys = [cut.keys(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.binary()),
-                pa.array([k for k, _ in keys], pa.list_(pa.list_(pa.int64()))), pa.array([k for _, k in keys], pa.list_(pa.int32())),
-                *(pa.array([bitmap(s, k) for s in sets], pa.list_(pa.int64())) for k in (BITS, WIDE_BITS))],
-                ["doc_id", "n_shingles", "set_hash", "keys", "spare", "bits", "wide_bits"])
+        for whole in batches:
+            for b in cut_batch(whole, 1):
+                sets = [shingle_set(t, n) for t in text_bytes(b.column(1))]
+                keys, spare = zip(*(cut.keys(s) for s in sets))
+                levels = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0), b.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.binary()),
+                    pa.ListArray.from_arrays(levels, long_lists([k for row in keys for k in row])), pa.array(spare, pa.list_(pa.int32())),
+                    *(long_lists([bitmap(s, k) for s in sets]) for k in (BITS, WIDE_BITS))],
+                    ["doc_id", "text_hash", "n_shingles", "set_hash", "keys", "spare", "bits", "wide_bits"])
+
+    text = docs[text_col].cast("string")
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, set_hash binary, keys array<array<long>>, spare array<int>, bits array<long>, wide_bits array<long>")
+
+
+def texts_of(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, *keep: str) -> DataFrame:
+    """(class_id, set_hash, text, *keep): for each class of ``members`` (class_id, least, set_hash) the texts under its least id.
+
+    An id may have several texts; those of another set are told apart by ``set_hash``.
+    """
+    few = members.count() <= BROADCAST_IDS
+    texts = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("text"))
+    return texts.join(F.broadcast(members) if few else members, F.col("_id") == F.col("least")).select("class_id", "set_hash", "text", *keep)
+
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_hash binary, keys array<array<long>>, spare array<int>, bits array<long>, wide_bits array<long>")
+def sets_of(batch, n: int):
+    """(row, set) of the rows (class_id, set_hash, text) whose text has the set of its class."""
+    for row, (wanted, t) in enumerate(zip(batch.column(1).to_pylist(), text_bytes(batch.column(2)))):
+        s = shingle_set(t, n)
+        if set_hash(s) == wanted:
+            yield row, s
 
 
-def fragments_of(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+def fragments_of(texts: DataFrame, n: int) -> DataFrame:
     """(class_id, fragment, hashes): sets cut into ``VERIFY_FRAGMENTS`` ranges of the global order."""
     def run(batches):
-        for b in batches:
-            ids, frag, part = [], [], []
-            for i, t in zip(b.column(0).to_pylist(), text_bytes(b.column(1))):
-                s = shingle_set(t, n)
-                edge = np.searchsorted(s >> np.uint64(60), np.arange(VERIFY_FRAGMENTS + 1, dtype=np.uint64))
-                for f in np.flatnonzero(np.diff(edge)).tolist():
-                    ids.append(i), frag.append(f), part.append(s[edge[f]:edge[f + 1]].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(frag, pa.int32()), pa.array(part, pa.list_(pa.int64()))], ["class_id", "fragment", "hashes"])
+        for whole in batches:
+            for b in cut_batch(whole, 2):
+                rows, frag, part = [], [], []
+                for row, s in sets_of(b, n):
+                    edge = np.searchsorted(s >> np.uint64(60), np.arange(VERIFY_FRAGMENTS + 1, dtype=np.uint64))
+                    for f in np.flatnonzero(np.diff(edge)).tolist():
+                        rows.append(row), frag.append(f), part.append(s[edge[f]:edge[f + 1]].view(np.int64))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(frag, pa.int32()), long_lists(part)], ["class_id", "fragment", "hashes"])
 
-    return docs.select(docs[id_col].cast("long").alias("class_id"), docs[text_col].cast("string").alias("text")).mapInArrow(
-        run, "class_id long, fragment int, hashes array<long>")
+    return texts.select("class_id", "set_hash", "text").mapInArrow(run, "class_id long, fragment int, hashes array<long>")
 
 
 def differing(a: str, b: str, longs: int) -> Column:
@@ -171,16 +207,15 @@ def differing(a: str, b: str, longs: int) -> Column:
     return reduce(lambda x, y: x + y, (F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(longs)))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """``pairs`` (a, b, na, nb of classes) with ``inter``, the exact size of the intersection.
 
     Only the texts of classes in ``pairs`` are cut again.  The overlap of each
     fragment is counted by itself, then summed per pair.
     """
-    members = stored(pairs.select(F.col("a").alias("_c")).union(pairs.select("b")).distinct(), "members")
-    few = members.count() <= BROADCAST_IDS
-    wanted = docs.join(F.broadcast(members) if few else members, docs[id_col] == F.col("_c"), "left_semi")
-    parts = stored(fragments_of(wanted, n, id_col, text_col).dropDuplicates(["class_id", "fragment"]), "fragments")
+    asked = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
+    members = stored(classes.select("class_id", "least", "set_hash").join(asked, "class_id", "left_semi"), "members")
+    parts = stored(fragments_of(texts_of(members, docs, id_col, text_col), n).dropDuplicates(["class_id", "fragment"]), "fragments")
     left = pairs.join(parts.select(F.col("class_id").alias("a"), "fragment", F.col("hashes").alias("ha")), "a")
     both = left.join(parts.select(F.col("class_id").alias("b"), "fragment", F.col("hashes").alias("hb")), ["b", "fragment"])
     partial = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).cast("long").alias("part"))
@@ -227,13 +262,17 @@ def without_hot(group: DataFrame) -> DataFrame:
 
 
 def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(classes, links): class of each set hash, and the verified links (a, b, inter) that join classes."""
+    """(classes, links): the classes, and the verified links (a, b, inter) that join them.
+
+    A class is a set, known by a number of its own (``class_id``); ``least`` is
+    the smallest id with that set, which other sets may have as well.
+    """
     cut = Cut(percent)
-    classes = stored(sig.where("n_shingles > 0 and doc_id is not null").groupBy("set_hash").agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("size")), "classes")
-    of_class = classes.select("class_id", F.col("set_hash").alias("_h"))
+    classes = sig.where("n_shingles > 0 and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("size"))
+    classes = stored(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
+    of_class = classes.select("class_id", F.col("least").alias("doc_id"), "set_hash")
     few = classes.count() <= BROADCAST_IDS
-    rep = sig.join(F.broadcast(of_class) if few else of_class, (sig["doc_id"] == F.col("class_id")) & (sig["set_hash"] == F.col("_h")), "left_semi").withColumnsRenamed({"doc_id": "class_id", "n_shingles": "size"})
+    rep = sig.join(F.broadcast(of_class) if few else of_class, ["doc_id", "set_hash"]).withColumnRenamed("n_shingles", "size")
     leveled = rep.select("class_id", "spare", F.posexplode("keys").alias("level", "_keys"))
     keyed = leveled.select(F.explode("_keys").alias("key"), "class_id", "level", F.get("spare", "level").alias("spare"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -249,7 +288,7 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
 
     star = group.where("class_id > centre").select(F.col("centre").alias("a"), F.col("class_id").alias("b")).distinct()
     star = check(check(star, "bits", BITS), "wide_bits", WIDE_BITS)
-    counted = stored(verified(star, docs, n, id_col, text_col), "counted")
+    counted = stored(verified(star, classes, docs, n, id_col, text_col), "counted")
     links = linked(counted)
     label = components(links)
     member = group.join(label, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
@@ -265,7 +304,7 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
             .where(F.coalesce(F.abs(F.col("distance_x") - F.col("distance_y")) <= reach, F.lit(True)))
             .select(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"), F.col("size_x").alias("na"), F.col("size_y").alias("nb")).distinct())
     more = check(stored(more.join(counted, ["a", "b"], "left_anti"), "pairs"), "wide_bits", WIDE_BITS)
-    links = stored(links.union(linked(verified(more, docs, n, id_col, text_col))), "links")
+    links = stored(links.union(linked(verified(more, classes, docs, n, id_col, text_col))), "links")
     return classes, links
 
 
@@ -305,18 +344,18 @@ def count_between(left: list[np.ndarray], right: list[np.ndarray] | None, percen
 
 def link_counts(label: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(class_id, n_links) of every class in the components ``label`` (class_id, label)."""
-    sized = label.join(classes.select("class_id", "size").dropDuplicates(["class_id"]), "class_id")
+    sized = label.join(classes.select("class_id", "size"), "class_id")
     of_component = sized.groupBy("label").agg(F.count("*").alias("_m"), F.ceil(F.sum("size") / BLOCK_HASHES).alias("blocks"))
-    found = stored(label.join(of_component, "label").select(F.col("class_id").alias("_c"), "label", "_m", "blocks"), "component_members")
+    found = stored(label.join(of_component, "label").join(classes.select("class_id", "least", "set_hash"), "class_id"), "component_members")
     members = stored(found.where("_m > 2").drop("_m"), "members")
-    few = members.count() <= BROADCAST_IDS
-    texts = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text"))
-    wanted = texts.join(F.broadcast(members) if few else members, F.col("_id") == F.col("_c")).select("_c", "label", "blocks", "_text").dropDuplicates(["_c"])
+    wanted = texts_of(members, docs, id_col, text_col, "label", "blocks")
 
     def cut(batches):
-        for b in batches:
-            sets = [shingle_set(t, n).view(np.int64) for t in text_bytes(b.column(3))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sets, pa.list_(pa.int64()))], ["class_id", "label", "blocks", "hashes"])
+        for whole in batches:
+            for b in cut_batch(whole, 2):
+                found = list(sets_of(b, n))
+                rows = pa.array([row for row, _ in found], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(rows) for i in (0, 3, 4)), long_lists([s.view(np.int64) for _, s in found])], ["class_id", "label", "blocks", "hashes"])
 
     def count(table):
         sets = np.split(*(lambda c: (c.flatten().to_numpy(), c.value_lengths().to_numpy().cumsum()[:-1]))(table.column("hashes").combine_chunks()))
@@ -330,14 +369,27 @@ def link_counts(label: DataFrame, classes: DataFrame, docs: DataFrame, n: int, p
             total, found = np.concatenate(count_between(pick(first), pick(~first), percent)), np.concatenate([ids[first], ids[~first]])
         return pa.table({"class_id": pa.array(found, pa.int64()), "n_links": pa.array(total, pa.int64())})
 
-    own = wanted.mapInArrow(cut, "class_id long, label long, blocks long, hashes array<long>").withColumn("mine", F.pmod(F.xxhash64("class_id"), "blocks"))
+    own = wanted.mapInArrow(cut, "class_id long, label long, blocks long, hashes array<long>").dropDuplicates(["class_id"]).withColumn("mine", F.pmod(F.xxhash64("class_id"), "blocks"))
     met = own.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = met.select("label", F.least("mine", "_other").alias("lo"), F.greatest("mine", "_other").alias("hi"), "mine", "class_id", "hashes")
     counted = met.groupBy("label", "lo", "hi").applyInArrow(count, "class_id long, n_links long")
-    pairs = found.where("_m = 2").select(F.col("_c").alias("class_id"), F.lit(1).cast("long").alias("n_links"))
+    pairs = found.where("_m = 2").select("class_id", F.lit(1).cast("long").alias("n_links"))
     return counted.groupBy("class_id").agg(F.sum("n_links").alias("n_links")).union(pairs)
 
 
+def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, count_links: bool) -> DataFrame:
+    """Per row: doc_id, text_hash, n_shingles, its class (number), least id and group (number) of linked classes, the group's least id; links of the class."""
+    sig = stored(signatures(docs, n, percent, id_col, text_col), "signatures")
+    classes, links = similar_classes(sig, docs, n, percent, id_col, text_col)
+    label = components(links)
+    least = label.join(classes, "class_id").groupBy("label").agg(F.min("least").alias("component"))
+    of_class = classes.select("set_hash", "least", "class_id").join(label, "class_id", "left").join(least, "label", "left")
+    of_class = of_class.select("set_hash", "class_id", "least", F.coalesce("label", "class_id").alias("group"), F.coalesce("component", "least").alias("component"))
+    if count_links:
+        of_class = of_class.join(link_counts(label, classes, docs, n, percent, id_col, text_col), "class_id", "left")
+    return sig.select("doc_id", "text_hash", "n_shingles", "set_hash").join(of_class, "set_hash", "left").drop("set_hash")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class_id, component_id, n_links.
 
@@ -346,14 +398,29 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     number of all other classes that its class links to (no such column
     without ``count_links``).
     """
-    sig = stored(signatures(docs, n, percent, id_col, text_col), "signatures")
-    classes, links = similar_classes(sig, docs, n, percent, id_col, text_col)
-    label = components(links)
-    of_class = classes.select("set_hash", "class_id").join(label, "class_id", "left")
-    number = []
-    if count_links:
-        of_class = of_class.join(link_counts(label, classes, docs, n, percent, id_col, text_col), "class_id", "left")
-        number = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
-    return sig.select("doc_id", "n_shingles", "set_hash").join(of_class, "set_hash", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(F.col("n_shingles") > 0, F.coalesce("label", "class_id")).otherwise(F.col("doc_id")).alias("component_id"), *number)
+    rows = linked_rows(docs, n, percent, id_col, text_col, count_links)
+    number = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if count_links else []
+    own = lambda c: F.when(F.col("n_shingles") > 0, F.col(c)).otherwise(F.col("doc_id"))
+    return rows.select("doc_id", "n_shingles", own("least").alias("class_id"), own("component").alias("component_id"), *number)
+
+
+def without_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` (all columns): of each group of linked documents the one of smallest id stays.
+
+    Rows are told apart by id and text, so a text goes only for its own links.
+    Rows that repeat id and text become one; rows without an id all stay.
+    """
+    rows = stored(linked_rows(docs, n, percent, id_col, text_col, False).where("doc_id is not null"), "linked")
+    row = F.struct("doc_id", "text_hash")
+    some = rows.where("n_shingles > 0").select("doc_id", "text_hash", "group")
+    keep = some.groupBy("group").agg(F.min(row).alias("keep"), F.max(row).alias("last")).where("keep < last").drop("last")
+    gone = some.join(keep, "group").where(row != F.col("keep")).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
+    gone = stored(gone, "gone")
+    again = stored(rows.groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).count().where("count > 1").drop("count"), "again")
+    same = (docs[id_col].cast("long") == F.col("_d")) & F.xxhash64(docs[text_col].cast("string")).eqNullSafe(F.col("_t"))
+    few = lambda t, number: F.broadcast(t) if number <= BROADCAST_IDS else t
+    left, repeats = docs.join(few(gone, gone.count()), same, "left_anti"), again.count()
+    if not repeats:
+        return left
+    once = left.join(few(again, repeats), same, "left_semi").withColumn("_first", F.xxhash64(docs[text_col].cast("string"))).dropDuplicates([id_col, "_first"]).drop("_first")
+    return left.join(few(again, repeats), same, "left_anti").union(once)

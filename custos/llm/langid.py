@@ -12,7 +12,10 @@ hash order of the id) and ``WINDOWS_PER_DOC`` windows from all over each.
 
 Null text, or text without a letter: ``und`` with score 0.  Without any
 labelled row every text is ``und``.  Every input row gives one output row; a
-null id stays null; a null label is not learned from.
+null id stays null; a null label is not learned from.  Equally likely labels: the
+first by name.  Repeated rows give equal rows (and count as often when learned
+from); very long texts are read whole; other columns, whatever their names, are
+not read; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -21,11 +24,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custos.llm.common import bounded_sample, slices, text_bytes
+from custos.llm.common import bounded_sample, slices, stored, text_bytes
 
 WINDOW = 64
 HIDDEN = 8
@@ -34,6 +38,7 @@ WINDOWS_PER_DOC = 6
 STEPS = 300
 BATCH = 256
 BLOCK_BYTES = 1 << 19
+FLOOR_QUANTILE = 0.001
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
 _PAD = 256
@@ -43,6 +48,7 @@ _PAD = 256
 class Model:
     labels: list[str]
     params: dict[str, np.ndarray]
+    seen: bytes = b""  # the byte values of the training windows
 
 
 def _direction(x: np.ndarray, p: dict, d: str) -> tuple[np.ndarray, list]:
@@ -198,7 +204,25 @@ def sample_windows(docs: DataFrame, usable: Callable[[Column], Column], id_col:
 def fit(docs: DataFrame, usable: Callable[[Column], Column], id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Model:
     """Train on the bounded sample; ``usable`` maps the id column to the rows that may be learned from."""
     windows, labels = sample_windows(docs, usable, id_col, text_col, label_col)
-    return train(windows, labels) if windows else Model([], {})
+    if not windows:
+        return Model([], {})
+    model = train(windows, labels)
+    model.seen = bytes(sorted(set(b"".join(windows))))
+    return model
+
+
+def score_floor(docs: DataFrame, model: Model, usable: Callable[[Column], Column], id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> float:
+    """The ``FLOOR_QUANTILE`` of the scores of correctly labelled whole texts of the training sample, a tenth off; 0 without any."""
+    if not model.labels:
+        return 0.0
+    label = docs[label_col].cast("string")
+    mine = docs.where(usable(docs[id_col]) & label.isNotNull()).select(label.alias("label"), docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    counts = {r["label"]: r["count"] for r in mine.groupBy("label").count().collect()}
+    sample = stored(bounded_sample(mine, "label", F.col("doc_id"), DOCS_PER_LABEL, counts), "language_sample")
+    named = identify(sample, model).withColumnRenamed("doc_id", "_id")
+    right = sample.join(named, (F.col("doc_id") == F.col("_id")) & (F.col("label") == F.col("lang_pred")))
+    found = right.agg(F.percentile("score", F.lit(FLOOR_QUANTILE))).first()[0]
+    return 0.0 if found is None else 0.9 * found
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,15 +244,31 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         run, "doc_id long, lang_pred string, score double, probs array<double>")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` (all columns) whose language is known with at least ``min_score``."""
-    position = docs.columns.index(text_col)
+def strange(data: bytes, unseen: bytes) -> bool:
+    """Whether more than half of the letters are spelled with bytes among ``unseen``."""
+    if len(data.translate(None, unseen)) == len(data):
+        return False
+    letters, odd = _LETTER.findall(data.decode()), frozenset(unseen)
+    return 2 * sum(not odd.isdisjoint(c.encode()) for c in letters) > len(letters)
 
-    def run(batches):
-        params = _for_scoring(model) if model.labels else {}
-        for b in batches:
-            texts = [t if _LETTER.search(t.decode()) else b"" for t in text_bytes(b.column(position))]
-            best = probabilities(texts, model, params).max(1, initial=0.0)
-            yield b.filter(pa.array([bool(t) and p >= min_score for t, p in zip(texts, best)]))
 
-    return docs.mapInArrow(run, docs.schema)
+def keep_identified(docs: DataFrame, model: Model, min_score: float, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` (all columns) whose language is known with at least ``min_score``.
+
+    Texts without a letter go, and texts most of whose letters are spelled with
+    bytes that no training text had (another script).  Only the texts pass
+    through Python, a few megabytes at a time.
+    """
+    unseen = bytes(b for b in range(256) if b not in set(model.seen))
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        params, out = _for_scoring(model) if model.labels else {}, np.zeros(len(texts), bool)
+        data = [b"" if t is None else t.encode() if _LETTER.search(t) else b"" for t in texts]
+        for lo, hi in slices([len(t) for t in data], BLOCK_BYTES):
+            best = probabilities(data[lo:hi], model, params).max(1, initial=0.0)
+            for i, t in enumerate(data[lo:hi]):
+                out[lo + i] = bool(t) and best[i] >= min_score and not strange(t, unseen)
+        return pd.Series(out)
+
+    return docs.where(known(docs[text_col].cast("string")))

@@ -36,17 +36,16 @@ BATCH_CHARS = 4_000_000
 
 @functools.cache
 def _tokenizer(path: str):
-    """The tokenizer, the bytes that each id stands for (their number), and the ids of units seen before."""
+    """The tokenizer, the bytes that each id stands for (their number), its added tokens, and the ids of units seen before."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     vocabulary = t.get_vocab()
     width = np.zeros(max(vocabulary.values()) + 1, np.int64)
     for token, i in vocabulary.items():
         width[i] = len(token)  # byte-level: a character for each byte
-    return t, width, {}
+    return t, width, [added.content for added in t.get_added_tokens_decoder().values()], {}
 
 
 _ODD_SPACE = re.compile(r" (?:\s|$)")
@@ -94,11 +93,15 @@ def _encode_units(new: list[str], tok, width: np.ndarray, known: dict[str, bytes
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit integers."""
-    tok, width, known = _tokenizer(path)
+    """Token ids of each text as little-endian unsigned 32-bit integers.
+
+    A text that spells an added token, which takes spaces around it from their
+    words, is encoded in one piece.
+    """
+    tok, width, added, known = _tokenizer(path)
     if len(known) > CACHE_UNITS:
         known.clear()
-    cut = [units(t) for t in texts]
+    cut = [[t] if any(a in t for a in added) else units(t) for t in texts]
     first = [c.pop(0) for c in cut]
     _encode_units(list(set().union(*cut).difference(known)), tok, width, known)
     heads = tok.encode_batch_fast(first, add_special_tokens=False)

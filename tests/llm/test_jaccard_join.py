@@ -107,3 +107,14 @@ def test_links_are_counted_over_all_pairs(spark, monkeypatch, n, percent, block)
     want = all_links(texts, n, percent)
     assert {r["doc_id"]: r["n_links"] for r in out} == want
     assert max(want.values()) > 20
+
+
+def test_one_id_with_several_texts(spark):
+    rng = random.Random(4)
+    a, b = ([f"{k}{rng.randrange(5000)}" for _ in range(60)] for k in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*b, "more"])), (3, " ".join([*a, "other"])), (0, "something else entirely here now"), (1, None), (3, " ".join([*a, "other"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rows_out = jaccard_join.jaccard_components(df, 3, 90).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in rows_out) == [(0, 3, 0, 0), (1, 0, 1, 0), (1, 58, 1, 1), (1, 58, 1, 1), (2, 59, 1, 1), (3, 59, 1, 1), (3, 59, 1, 1)]
+    left = jaccard_join.without_near_duplicates(spark.createDataFrame([(5, " ".join(a)), (1, " ".join([*a, "x"])), (5, " ".join(b)), (7, "lone words stand here"), (7, "lone words stand here"), (None, " ".join(a))], "doc_id long, text string"), 3, 90)
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([(1, " ".join([*a, "x"])), (5, " ".join(b)), (7, "lone words stand here"), (None, " ".join(a))], key=str)

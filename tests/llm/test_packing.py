@@ -15,7 +15,6 @@ from tests.llm import cases
 
 def check(rows, texts, size):
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     want = []
     for i, t in texts:
         ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
@@ -42,7 +41,7 @@ def test_whole_table(spark):
 
 def test_edges(spark):
     df = cases.docs(spark)
-    odd = [(100, "a  b \n c  d\t e  "), (101, " lead"), (102, "<|endoftext|> x"), (103, "it's  we'll 　 z \x1c q")]
+    odd = [(100, "a  b \n c  d\t e  "), (101, " lead"), (102, "<|endoftext|> x"), (104, "a  <|endoftext|>  b <|endoftext|>c <|endoftext|"), (103, "it's  we'll 　 z \x1c q")]
     df = df.select("doc_id", "text", "piece").union(spark.createDataFrame([(*r, 1) for r in odd], "doc_id long, text string, piece int"))
     check(packing.pack_documents(df, tokenizer_path(), sequence=64).collect(), [(r["doc_id"], r["text"]) for r in df.collect()], 64)
     assert packing.pack_documents(cases.docs(spark, []), tokenizer_path()).count() == 0
@@ -63,3 +62,8 @@ def test_tightest_open_bin(seed):
             room.append(64)
         assert o == 64 - room[b]
         room[b] -= n
+
+
+def test_literal_special_token_is_one_id(spark):
+    row = packing.pieces(spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string"), tokenizer_path()).collect()
+    assert [(r["length"], r["ids_crc32"]) for r in row] == [(5, zlib.crc32(np.array([64, 220, 50256, 275, 0], "<u4").tobytes()))]

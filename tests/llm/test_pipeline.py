@@ -36,3 +36,12 @@ def test_stages_keep_columns_and_take_edges(spark):
             assert out.columns == docs.columns, name
             out.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "secret_scan", "best_fit_packing"]
+
+
+def test_language_stage_without_labels_and_with_another_script(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    alien = spark.createDataFrame([(-1, "Съешь же ещё этих мягких французских булок, да выпей чаю. " * 5, None, "s", 1), (-2, "色は匂へど散りぬるを我が世誰ぞ常ならむ" * 8, None, "s", 1)], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs.union(alien), SF_SMALL).select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+    unlabelled = docs.withColumn("lang", docs["lang"].substr(100, 1).cast("int").cast("string"))
+    assert corpus_pipeline.language(spark, unlabelled, SF_SMALL).count() == docs.count()
