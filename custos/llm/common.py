@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 
@@ -65,6 +67,15 @@ def slices(sizes, limit: int):
         yield start, len(sizes)
 
 
+def release_memory() -> None:
+    """Give what a task has freed back to the machine: idle workers stay for the next stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class CodePoints:
     """Byte offsets of one UTF-8 text as code point offsets."""
 

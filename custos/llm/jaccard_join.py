@@ -44,7 +44,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custos.llm.common import mix64, slices, stored, text_bytes
+from custos.llm.common import mix64, release_memory, slices, stored, text_bytes
 
 FIRST_LEVEL = 9
 LEVEL_RATIO = 1.5
@@ -163,6 +163,8 @@ def signatures(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str
                     pa.ListArray.from_arrays(levels, long_lists([k for row in keys for k in row])), pa.array(spare, pa.list_(pa.int32())),
                     *(long_lists([bitmap(s, k) for s in sets]) for k in (BITS, WIDE_BITS))],
                     ["doc_id", "text_hash", "n_shingles", "set_hash", "keys", "spare", "bits", "wide_bits"])
+        _known.clear()
+        release_memory()
 
     text = docs[text_col].cast("string")
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(
@@ -246,7 +248,7 @@ def _may_link(cut: Cut, size_a: str, size_b: str, bits_a: str, bits_b: str, long
     return fits & (differing(bits_a, bits_b, longs) * (100 + p) <= (F.col(size_a) + F.col(size_b)) * (100 - p))
 
 
-def without_hot(group: DataFrame) -> DataFrame:
+def without_hot(group: DataFrame, spares: DataFrame) -> DataFrame:
     """(key, class_id, centre = least class) of ``group``, less the hot keys of sets that agree on others with all they link to.
 
     At most as many shared keys of a pair are hot as either set has hot ones;
@@ -254,7 +256,8 @@ def without_hot(group: DataFrame) -> DataFrame:
     needs its hot keys only if neither set can spare them.
     """
     hot = group.where(F.col("n") > HOT)
-    needed = hot.groupBy("class_id", "level").agg(F.count("*").alias("_hot"), F.first("spare").alias("_spare")).where("_hot >= _spare")
+    counted = hot.groupBy("class_id", "level").agg(F.count("*").alias("_hot")).join(spares, "class_id")
+    needed = counted.where(F.col("_hot") >= F.get("spare", "level")).select("class_id", "level")
     kept = hot.join(needed, ["class_id", "level"], "left_semi").select("key", "class_id")
     kept = stored(kept.union(group.where(F.col("n") <= HOT).select("key", "class_id")).distinct(), "kept_keys")
     centre = kept.groupBy("key").agg(F.min("class_id").alias("centre"), F.max("class_id").alias("_last")).where("centre < _last")
@@ -273,10 +276,11 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
     of_class = classes.select("class_id", F.col("least").alias("doc_id"), "set_hash")
     few = classes.count() <= BROADCAST_IDS
     rep = sig.join(F.broadcast(of_class) if few else of_class, ["doc_id", "set_hash"]).withColumnRenamed("n_shingles", "size")
-    leveled = rep.select("class_id", "spare", F.posexplode("keys").alias("level", "_keys"))
-    keyed = leveled.select(F.explode("_keys").alias("key"), "class_id", "level", F.get("spare", "level").alias("spare"))
+    leveled = rep.select("class_id", F.posexplode("keys").alias("level", "_keys"))
+    keyed = leveled.select((2 * F.col("class_id") + F.col("level")).alias("member"), F.explode("_keys").alias("key"))  # two levels at most
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    group = stored(without_hot(stored(keyed.join(shared, "key"), "shared_keys")), "groups")
+    met = stored(keyed.join(shared, "key"), "shared_keys").select("key", "n", F.shiftright("member", 1).alias("class_id"), F.col("member").bitwiseAND(1).cast("int").alias("level"))
+    group = stored(without_hot(met, rep.select("class_id", "spare").dropDuplicates(["class_id"])), "groups")
     info = stored(rep.select("class_id", "size", "bits", "wide_bits").dropDuplicates(["class_id"]), "sets")
     side = lambda s, bits: info.select(F.col("class_id").alias(s), F.col("size").alias(f"n{s}"), F.col(bits).alias(f"bits_{s}"))
 

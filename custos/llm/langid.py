@@ -24,12 +24,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custos.llm.common import bounded_sample, slices, stored, text_bytes
+from custos.llm.common import bounded_sample, release_memory, slices, stored, text_bytes
 
 WINDOW = 64
 HIDDEN = 8
@@ -261,14 +260,15 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float, text_col: s
     """
     unseen = bytes(b for b in range(256) if b not in set(model.seen))
 
-    @F.pandas_udf("boolean")
-    def known(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
         params, out = _for_scoring(model) if model.labels else {}, np.zeros(len(texts), bool)
-        data = [b"" if t is None else t.encode() if _LETTER.search(t) else b"" for t in texts]
+        data = [t if _LETTER.search(t.decode()) else b"" for t in text_bytes(texts)]
         for lo, hi in slices([len(t) for t in data], BLOCK_BYTES):
             best = probabilities(data[lo:hi], model, params).max(1, initial=0.0)
             for i, t in enumerate(data[lo:hi]):
                 out[lo + i] = bool(t) and best[i] >= min_score and not strange(t, unseen)
-        return pd.Series(out)
+        release_memory()
+        return pa.array(out)
 
     return docs.where(known(docs[text_col].cast("string")))

@@ -40,10 +40,11 @@ MIN_WORDS = 20
 LONG = 20
 WINDOW = 8
 
-BROADCAST_HASHES = 1_000_000
+BROADCAST_TEXTS = 1_000_000
 BATCH_CHARS = 2_000_000
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
+_BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64))
 _SPACES = bytes(32 if b in (9, 11, 12, 13, 28, 29, 30, 31) else b for b in range(256))
 _OTHER_SPACE = re.compile(r"[^\S\x00-\x7F]")
 _BREAK = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
@@ -107,50 +108,103 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of many texts at once: the hash of every lower-cased word, its text, and whether a sentence ends after it."""
-    low = [t.lower() if t.isascii() else _OTHER_SPACE.sub(" ", t.lower()) for t in texts]
-    data = [t.encode().translate(_SPACES) for t in low]
-    buffer = np.frombuffer(b" ".join([*data, b""]), np.uint8)
-    space = (buffer == 32) | (buffer == 10)
-    edge = np.flatnonzero(np.diff(space, prepend=True))  # a word begins, ends, begins ...; a space closes the buffer
-    start, end = edge[::2], edge[1::2]
-    text = np.searchsorted(np.cumsum([len(d) + 1 for d in data]), start, "right")
-    last = buffer[end - 1]
-    stop = (last == 46) | (last == 33) | (last == 63)
-    if len(start):
-        lines = np.concatenate([[0], np.cumsum(buffer == 10)])
-        stop[:-1] |= (lines[start[1:]] > lines[end[:-1]]) | (text[1:] != text[:-1])
-        stop[-1] = True
-    return word_hashes(b" ".join(data).split()), text, stop
-
-
-def with_cuts(hashes: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """``stop`` with the places at which long sentences are cut (as ``cuts`` finds them)."""
-    if len(hashes) < WINDOW:
-        return stop
-    last = np.flatnonzero(stop)
-    size = np.diff(last, prepend=-1)
-    begins = np.concatenate([[0], last[:-1] + 1])
-    number = np.repeat(np.arange(len(last)), size)
-    at = np.arange(len(hashes) - WINDOW + 1)
-    inside = (size[number[at]] > LONG) & (at + WINDOW <= begins[number[at]] + size[number[at]])
-    least = WINDOW - 1 - np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)[inside][:, ::-1].argmin(axis=1)
-    out = stop.copy()
-    out[at[inside] + least] = True
+class Words:
+    """The words of many texts at once: lower-cased, with the text of each and whether a sentence ends after it."""
+
+    def __init__(self, texts: list[str]):
+        low = [t.lower() if t.isascii() else _OTHER_SPACE.sub(" ", t.lower()) for t in texts]
+        data = [t.encode().translate(_SPACES) for t in low]
+        self.joined = b" ".join([*data, b""])
+        self.buffer = np.frombuffer(self.joined, np.uint8)
+        space = (self.buffer == 32) | (self.buffer == 10)
+        edge = np.flatnonzero(np.diff(space, prepend=True))  # a word begins, ends, begins ...; a space closes the buffer
+        self.start, self.end = edge[::2], edge[1::2]
+        self.text = np.searchsorted(np.cumsum([len(d) + 1 for d in data]), self.start, "right")
+        last = self.buffer[self.end - 1]
+        stop = (last == 46) | (last == 33) | (last == 63)
+        if len(stop):
+            lines = np.concatenate([[0], np.cumsum(self.buffer == 10)])
+            stop[:-1] |= (lines[self.start[1:]] > lines[self.end[:-1]]) | (self.text[1:] != self.text[:-1])
+            stop[-1] = True
+        self.stop = self._with_cuts(stop)
+
+    def _with_cuts(self, stop: np.ndarray) -> np.ndarray:
+        """``stop`` with the places at which long sentences are cut (as ``cuts`` finds them)."""
+        last = np.flatnonzero(stop)
+        size = np.diff(last, prepend=-1)
+        self.of_long = of_long = np.repeat(size > LONG, size)
+        if not of_long.any():
+            return stop
+        hashes = np.zeros(len(stop), np.uint64)
+        words = self.joined.split()
+        hashes[of_long] = word_hashes([words[i] for i in np.flatnonzero(of_long).tolist()])
+        past = np.repeat(last + 1, size)[:len(stop) - WINDOW + 1]
+        at = np.flatnonzero(of_long[:len(past)])
+        at = at[at + WINDOW <= past[at]]
+        least = WINDOW - 1 - np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)[at][:, ::-1].argmin(axis=1)
+        out = stop.copy()
+        out[at + least] = True
+        return out
+
+    def values(self) -> np.ndarray:
+        """A 64-bit hash of every word: its bytes times powers, by differences of prefix sums."""
+        powers, inverse = power_pair(BASES[0], len(self.buffer))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_VALUES[self.buffer] * powers[:len(self.buffer)], dtype=np.uint64)])
+        return mix64((sums[self.end] - sums[self.start]) * inverse[self.start] + (self.end - self.start).astype(np.uint64))
+
+
+def sentence_bytes(texts: list[str]) -> list[tuple[bytes, list[int], list[int]]]:
+    """For each text its bytes, and where its sentences begin and end in them (as ``sentences``, by byte)."""
+    found = Words(texts)
+    data = [t.encode() for t in texts]
+    blank = [d if t.isascii() else _OTHER_SPACE.sub(lambda m: " " * len(m[0].encode()), t).encode() for t, d in zip(texts, data)]
+    buffer = np.frombuffer(b" ".join([*(d.translate(_SPACES) for d in blank), b""]), np.uint8)
+    edge = np.flatnonzero(np.diff((buffer == 32) | (buffer == 10), prepend=True))
+    origin = np.cumsum([0, *(len(d) + 1 for d in data)])
+    after = np.flatnonzero(found.stop) + 1
+    before = np.concatenate([[0], after])[:-1]
+    of = found.text[before]
+    start, end = edge[::2][before] - origin[of], edge[1::2][after - 1] - origin[of]
+    bounds = np.searchsorted(of, np.arange(len(texts) + 1))
+    out = []
+    for i, d in enumerate(data):
+        lo, hi = bounds[i], bounds[i + 1]
+        s, e = start[lo:hi].tolist(), end[lo:hi].tolist()
+        if s and not found.of_long[before[lo]] and b"\n" not in d[:s[0]]:
+            s[0] = 0  # white space before the first sentence and after the last belongs to them
+        if s and not found.of_long[after[hi - 1] - 1] and b"\n" not in d[e[-1]:] and d[e[-1] - 1] not in b".!?":
+            e[-1] = len(d)
+        out.append((d, s, e))
     return out
 
 
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def power_pair(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n + 1 powers of ``base`` and of its inverse, modulo 2^64."""
+    if base not in _powers or len(_powers[base][0]) <= n:
+        both = [np.full(n + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64))]
+        for p in both:
+            p[0] = 1
+            np.multiply.accumulate(p, out=p)
+        if n > 2 * BATCH_CHARS:  # of a very long text: not kept
+            return both[0], both[1]
+        _powers[base] = both[0], both[1]
+    return _powers[base]
+
+
 def run_table(texts: list[str]) -> tuple[np.ndarray, ...]:
     """(text, first sentence, one past the last, hash, second hash) of the runs of many texts; as ``runs`` for each.
 
     The hash of a run is a difference of prefix sums of word hashes times
     powers, brought to the power of its first word.
     """
-    h, text, stop = words_of(texts)
-    if not len(h):
+    found = Words(texts)
+    if not len(found.stop):
         return (np.empty(0, np.int64),) * 5
-    after = np.flatnonzero(with_cuts(h, stop)) + 1  # words before the end of each sentence
+    h, text = found.values(), found.text
+    after = np.flatnonzero(found.stop) + 1  # words before the end of each sentence
     before = np.concatenate([[0], after[:-1]])
     of = text[before]  # its text
     n = len(after)
@@ -165,15 +219,12 @@ def run_table(texts: list[str]) -> tuple[np.ndarray, ...]:
     again[again] &= j[back[again]] != i[again] + 1
     lo, hi = np.concatenate([i[forth], back[again]]), np.concatenate([j[forth], i[again] + 1])
     a, b = words[lo], words[hi]
-    found = []
+    hashes = []
     for base in BASES:
-        powers, inverse = (np.full(len(h) + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
-        powers[0] = inverse[0] = 1
-        np.multiply.accumulate(powers, out=powers)
-        np.multiply.accumulate(inverse, out=inverse)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h ^ np.uint64(base)) * powers[:-1], dtype=np.uint64)])
-        found.append(mix64((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)).view(np.int64))
-    return of[lo], lo - first[lo], hi - first[lo], *found
+        powers, inverse = power_pair(base, len(h))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h ^ np.uint64(base)) * powers[:len(h)], dtype=np.uint64)])
+        hashes.append(mix64((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)).view(np.int64))
+    return of[lo], lo - first[lo], hi - first[lo], *hashes
 
 
 def run_hashes(docs: DataFrame, id_col: str, text_col: str, places: bool) -> DataFrame:
@@ -202,8 +253,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     join: what is not a first place is found by place.
     """
     twice = stored(run_hashes(docs, id_col, text_col, False).groupBy("hash").count().where("count > 1").select("hash"), "repeated_hashes")
-    few = twice.count() <= BROADCAST_HASHES
-    spans = stored(run_hashes(docs, id_col, text_col, True).join(F.broadcast(twice) if few else twice, "hash", "left_semi"), "runs")
+    spans = stored(run_hashes(docs, id_col, text_col, True).join(twice.hint("merge"), "hash", "left_semi"), "runs")
     where = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("d"), "text_hash", "place", "stop")
     first = spans.groupBy("hash", "second").agg(F.min(where).alias("first")).select("first.*")
     place = [F.coalesce("doc_id", F.lit(2 ** 63 - 1)) == F.col("d"), *(spans[c] == first[c] for c in ("text_hash", "place", "stop"))]
@@ -221,27 +271,27 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for b in batches:
             texts = ["" if t is None else t for t in b.column(1).to_pylist()]
             for lo, hi in slices([len(t) for t in texts], BATCH_CHARS):
-                h, text, stop = words_of(texts[lo:hi])
-                total = np.bincount(text[with_cuts(h, stop)], minlength=hi - lo)
+                found = Words(texts[lo:hi])
+                total = np.bincount(found.text[found.stop], minlength=hi - lo)
                 yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], pa.array(texts[lo:hi], pa.string()), pa.array(total.astype(np.int32)), pa.array([[]] * (hi - lo), pa.list_(pa.int32()))], ["doc_id", "text", "sentences", "removed"])
 
     def drop(batches):
         for b in batches:
-            out, total, removed = [], [], []
-            for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                text = text or ""
-                found = sentences(text)
-                bad = sorted({k for g in gone or () for k in range(g["place"], min(g["stop"], len(found)))})
-                kept, at = [], 0
-                for k in bad:  # a removed sentence takes the break after it along
-                    kept.append(text[at:found[k][0]])
-                    at = found[k + 1][0] if k + 1 < len(found) else found[k][1]
-                out.append("".join([*kept, text[at:]]) if bad else text)
-                total.append(len(found))
-                removed.append(bad)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(total, pa.int32()), pa.array(removed, pa.list_(pa.int32()))], ["doc_id", "text", "sentences", "removed"])
-
-    if covered.count() > BROADCAST_HASHES:
+            texts = ["" if t is None else t for t in b.column(1).to_pylist()]
+            for lo, hi in slices([len(t) for t in texts], BATCH_CHARS):
+                out, total, removed = [], [], []
+                for (data, start, end), gone in zip(sentence_bytes(texts[lo:hi]), b.column(2)[lo:hi].to_pylist()):
+                    bad = sorted({k for g in gone or () for k in range(g["place"], min(g["stop"], len(start)))})
+                    kept, at = [], 0
+                    for k in bad:  # a removed sentence takes the break after it along
+                        kept.append(data[at:start[k]])
+                        at = start[k + 1] if k + 1 < len(start) else end[k]
+                    out.append(b"".join([*kept, data[at:]]) if bad else data)
+                    total.append(len(start))
+                    removed.append(bad)
+                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], pa.array(out, pa.binary()).cast(pa.string()), pa.array(total, pa.int32()), pa.array(removed, pa.list_(pa.int32()))], ["doc_id", "text", "sentences", "removed"])
+
+    if covered.count() > BROADCAST_TEXTS:
         return rows.join(covered, same, "left").select("doc_id", "text", "gone").mapInArrow(drop, schema)
     ids = F.broadcast(covered.select("_d", "_t"))  # only texts that change are moved
     whole = rows.join(ids, same, "left_anti").select("doc_id", "text").mapInArrow(count, schema)
