@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from custos.operators import forecast, ml, timeseries as ts
 from custos.plans import commerce, series
 from custos.plans.documents import _CHUNKS
-from custos.plans.registry import register
+from custos.plans import entity  # noqa: F401  (its oracle is used below)
+from custos.plans.registry import ORACLE, register
 from custos.session import ensure_checkpoint_dir
 from custos.sources import files
 from custos.sources.fixtures import fixture, with_views
@@ -317,7 +318,7 @@ def daily_lookback_regression(spark, sf):
 
 
 # ----------------------------------------------------------------- stream
-@register("people_stream_incremental")
+@register("people_stream_incremental", ORACLE["incremental_merge"])
 def people_stream_incremental(spark, sf):
     """Q1: new customer records arrive as files; each batch is matched against known records."""
     from custos.operators import linkage as lk
@@ -332,13 +333,13 @@ def people_stream_incremental(spark, sf):
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in new.schema.fields)
     incremental_match_stream(spark, os.path.join(base, "new"), schema, old, os.path.join(base, "out"),
                              os.path.join(base, "ckpt"), RUN_TS)
-    return spark.read.parquet(os.path.join(base, "out"))
+    return spark.read.parquet(os.path.join(base, "out")).drop("_batch")
 
 
 @register("event_online_dlm")
 def event_online_dlm(spark, sf):
     """Q3: online model update - two arrival waves of daily event values streamed through per-series state."""
-    from custos.streaming.streams import online_dlm_stream
+    from custos.streaming.streams import online_dlm_stream, online_results
     base = _scratch(spark, "q3")
     e = fixture(spark, sf, "event_daily").select("series_id", "dt", F.col("value").cast("double").alias("value"))
     mid = e.agg(F.percentile_approx(F.unix_date("dt"), 0.5)).first()[0]
@@ -348,7 +349,7 @@ def event_online_dlm(spark, sf):
         e.where(cond).write.mode("append").parquet(os.path.join(src, f"wave={wave}"))
         # each wave is a new availableNow run; the checkpoint carries the per-series state
         online_dlm_stream(spark, src, schema, os.path.join(base, "out"), os.path.join(base, "ckpt"))
-    return spark.read.parquet(os.path.join(base, "out"))
+    return online_results(spark, os.path.join(base, "out"))
 
 
 @register("survey_best_normalize")

@@ -372,7 +372,7 @@ def daily_payload_roundtrip(spark, sf):
     return rows.select("dt", "river")
 
 
-@register("daily_stream_upsert")
+@register("daily_stream_upsert", _dsql("SELECT dt, river, off_river FROM d"))
 def daily_stream_upsert(spark, sf):
     """Q2: the daily table written as monthly files, streamed (availableNow) and upserted per date."""
     import os
@@ -385,7 +385,7 @@ def daily_stream_upsert(spark, sf):
     d.write.mode("overwrite").partitionBy("month").parquet(src)
     upsert_daily_stream(spark, src, "dt date, river decimal(18,2), off_river decimal(18,2), month string",
                         os.path.join(base, "target"), os.path.join(base, "ckpt"))
-    return spark.read.parquet(os.path.join(base, "target")).drop("_ingested", "month")
+    return spark.read.parquet(os.path.join(base, "target")).drop("_version", "_part", "month")
 
 
 @register("event_future_weeks", _esql("""
