@@ -21,14 +21,18 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, release: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage at a result that is used more than once, so that a lost
-    executor costs a re-read and not a re-computation.
+    executor costs a re-read and not a re-computation.  ``release`` lets the
+    driver collect its garbage, upon which Spark's cleaner deletes the shuffle
+    files of finished queries (otherwise it may wait for half an hour).
     """
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
+    if release:
+        df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

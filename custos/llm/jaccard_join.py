@@ -279,7 +279,7 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
     leveled = rep.select("class_id", F.posexplode("keys").alias("level", "_keys"))
     keyed = leveled.select((2 * F.col("class_id") + F.col("level")).alias("member"), F.explode("_keys").alias("key"))  # two levels at most
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(keyed.join(shared, "key"), "shared_keys").select("key", "n", F.shiftright("member", 1).alias("class_id"), F.col("member").bitwiseAND(1).cast("int").alias("level"))
+    met = stored(keyed.join(shared, "key"), "shared_keys", release=True).select("key", "n", F.shiftright("member", 1).alias("class_id"), F.col("member").bitwiseAND(1).cast("int").alias("level"))
     group = stored(without_hot(met, rep.select("class_id", "spare").dropDuplicates(["class_id"])), "groups")
     info = stored(rep.select("class_id", "size", "bits", "wide_bits").dropDuplicates(["class_id"]), "sets")
     side = lambda s, bits: info.select(F.col("class_id").alias(s), F.col("size").alias(f"n{s}"), F.col(bits).alias(f"bits_{s}"))
@@ -292,7 +292,7 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
 
     star = group.where("class_id > centre").select(F.col("centre").alias("a"), F.col("class_id").alias("b")).distinct()
     star = check(check(star, "bits", BITS), "wide_bits", WIDE_BITS)
-    counted = stored(verified(star, classes, docs, n, id_col, text_col), "counted")
+    counted = stored(verified(star, classes, docs, n, id_col, text_col), "counted", release=True)
     links = linked(counted)
     label = components(links)
     member = group.join(label, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))

@@ -252,8 +252,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     repeated ones only.  All copies of a run meet in aggregates, never in a
     join: what is not a first place is found by place.
     """
-    twice = stored(run_hashes(docs, id_col, text_col, False).groupBy("hash").count().where("count > 1").select("hash"), "repeated_hashes")
-    spans = stored(run_hashes(docs, id_col, text_col, True).join(twice.hint("merge"), "hash", "left_semi"), "runs")
+    twice = stored(run_hashes(docs, id_col, text_col, False).groupBy("hash").count().where("count > 1").select("hash"), "repeated_hashes", release=True)
+    spans = stored(run_hashes(docs, id_col, text_col, True).join(twice.hint("merge"), "hash", "left_semi"), "runs", release=True)
     where = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("d"), "text_hash", "place", "stop")
     first = spans.groupBy("hash", "second").agg(F.min(where).alias("first")).select("first.*")
     place = [F.coalesce("doc_id", F.lit(2 ** 63 - 1)) == F.col("d"), *(spans[c] == first[c] for c in ("text_hash", "place", "stop"))]
@@ -263,7 +263,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, text without the covered sentences, sentences, removed (their numbers, sorted)."""
     covered = stored(repeated_runs(docs, id_col, text_col).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "stop")).alias("gone"))
-                     .withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"}), "covered")
+                     .withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"}), "covered", release=True)
     rows, schema = keyed(docs, id_col, text_col), "doc_id long, text string, sentences int, removed array<int>"
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t"))
 
