@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from custos.operators import forecast, ml, timeseries as ts
+from custos.operators import forecast, ml, populations, timeseries as ts
 from custos.plans import commerce, series
 from custos.plans.documents import _CHUNKS
 from custos.plans import entity  # noqa: F401  (its oracle is used below)
@@ -422,3 +422,23 @@ def event_binary_dlm(spark, sf):
     e = fixture(spark, sf, "event_daily")
     up = ts.lags(e, ["series_id"], "dt", ["value"], (1,), diff=False, direction=True)
     return forecast.count_dlm(up, ["series_id"], "dt", "value_up", "bernoulli")
+
+
+@register("customers_complete", """
+SELECT c_custkey, c_name, c_acctbal, o_orderkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+WHERE c_custkey IS NOT NULL AND c_name IS NOT NULL AND c_acctbal IS NOT NULL AND o_orderkey IS NOT NULL""")
+def customers_complete(spark, sf):
+    """Customers with their orders, only rows without a null."""
+    rows = scan(spark, sf, "customer").join(scan(spark, sf, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return populations.complete_rows(rows.select("c_custkey", "c_name", "c_acctbal", "o_orderkey"))
+
+
+@register("customer_population", """
+SELECT c_custkey, c_mktsegment, c_nationkey FROM customer
+WHERE (c_mktsegment IS NULL OR c_mktsegment NOT IN ('MACHINERY', 'HOUSEHOLD')) AND (c_nationkey IS NULL OR c_nationkey <> 0)
+  AND c_custkey IN (SELECT o_custkey FROM orders)""")
+def customer_population(spark, sf):
+    """P25: customers outside two segments and one nation that have an order."""
+    known = scan(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    rows = scan(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    return populations.exclude_population(rows, {"c_mktsegment": ["MACHINERY", "HOUSEHOLD"], "c_nationkey": [0]}, known, "c_custkey")
