@@ -133,6 +133,36 @@ def test_pii_base_spans_and_additions(spark):
     assert [[(s["kind"], s["base"]) for s in r["spans"]] for r in got] == [[("email", False)], []]
 
 
+def test_pii_numbers_within_a_run():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(300):
+        run = "".join(str(rng.randrange(10)) + rng.choice(["", "", " ", "-", ". "]) for _ in range(rng.randrange(13, 45))) + "7"
+        groups = list(re.finditer("[0-9]+", run))
+        want = set()
+        for i, a in enumerate(groups):
+            for j, b in enumerate(groups[i:]):
+                d = re.sub("[^0-9]", "", run[a.start():b.end()])
+                want |= {("card", a.start(), b.end())} if 13 <= len(d) <= 19 and luhn(d) else set()
+                want |= {("phone", a.start(), b.end())} if 10 <= len(d) <= 15 and 1 <= j <= 3 and len(re.findall("[0-9]", run)) > 15 else set()
+        assert set(pii.within_run(run.encode())) == want
+
+
+def test_pii_adjacent_cards(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    model = pii.fit(df)
+    texts = ["paid with 4465758382889437 4465758382889437 today", "ids 7536784127813050 4845168114407329.", "4111 1111 1111 1111 5500 0000 0000 0004", "ref 4465758382889438 4465758382889439 end"]
+    rows = sorted(pii.find_pii(cases.plain(spark, texts), model).collect(), key=lambda r: r["doc_id"])
+    got = [[(s["kind"], t[s["start"]:s["end"]], s["base"]) for s in r["spans"]] for t, r in zip(texts, rows)]
+    assert got[:2] == [[("card", "4465758382889437", False)] * 2, [("card", "7536784127813050", False), ("card", "4845168114407329", False)]]
+    assert got[2] == [("card", "4111 1111 1111 1111", False), ("card", "5500 0000 0000 0004", False)] and got[3] == []
+    text_of = {r["doc_id"]: r["text"] for r in df.collect()}
+    found = [text_of[r["doc_id"]][s["start"]:s["end"]] for r in pii.find_pii(df, model).collect() for s in r["spans"] if not s["base"]]
+    missed = [m for t in text_of.values() for m in re.findall(r"(?<![0-9] )(?<![0-9])([0-9]{16}) ([0-9]{16})(?![ -]?[0-9])", t or "") if all(map(luhn, m))]
+    assert missed and all(n in found for m in missed for n in m)
+
+
 def test_pii_edges(spark):
     none = pii.fit(cases.docs(spark, []))
     assert not none.trees and pii.find_pii(cases.docs(spark, []), none).count() == 0
