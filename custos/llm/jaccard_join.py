@@ -278,7 +278,8 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
     rep = sig.join(F.broadcast(of_class) if few else of_class, ["doc_id", "set_hash"]).withColumnRenamed("n_shingles", "size")
     leveled = rep.select("class_id", F.posexplode("keys").alias("level", "_keys"))
     keyed = leveled.select((2 * F.col("class_id") + F.col("level")).alias("member"), F.explode("_keys").alias("key"))  # two levels at most
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    keyed = keyed.repartition("key")  # the counts read the same shuffle files as the join, as they need both columns
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("member").alias("_lo"), F.max("member").alias("_hi")).where("_lo < _hi").drop("_lo", "_hi")
     met = stored(keyed.join(shared, "key"), "shared_keys", release=True).select("key", "n", F.shiftright("member", 1).alias("class_id"), F.col("member").bitwiseAND(1).cast("int").alias("level"))
     group = stored(without_hot(met, rep.select("class_id", "spare").dropDuplicates(["class_id"])), "groups")
     info = stored(rep.select("class_id", "size", "bits", "wide_bits").dropDuplicates(["class_id"]), "sets")
