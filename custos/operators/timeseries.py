@@ -95,15 +95,23 @@ def ewm_window(alpha: float, eps: float = 1e-16) -> int:
 
 
 def _ewm_expr(vals: Column, first_is_origin: Column, alpha: float, adjust: bool) -> Column:
+    """Fold of ``vals`` (NaN: no value); a row without a value decays the weights and keeps the mean."""
     w = 1.0 - alpha
     if adjust:
         acc = F.aggregate(vals, F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den")),
-                          lambda a, x: F.struct((a["num"] * w + x).alias("num"), (a["den"] * w + 1.0).alias("den")))
-        return acc["num"] / acc["den"]
-    start = F.when(first_is_origin, vals[0]).otherwise(vals[0] * alpha)
-    rest = F.slice(vals, 2, F.greatest(F.size(vals) - 1, F.lit(1)))
-    rest = F.when(F.size(vals) > 1, rest).otherwise(F.array().cast("array<double>"))
-    return F.aggregate(rest, start, lambda a, x: a * w + x * alpha)
+                          lambda a, x: F.struct(F.when(F.isnan(x), a["num"] * w).otherwise(a["num"] * w + x).alias("num"),
+                                                F.when(F.isnan(x), a["den"] * w).otherwise(a["den"] * w + 1.0).alias("den")))
+        return F.when(acc["den"] > 0, acc["num"] / acc["den"])
+
+    def step(a, x):
+        y, g = a["y"], a["g"] * w  # g: weight that the mean has kept since the last value
+        near = y * w + x * alpha
+        far = (g * y + x * alpha) / (g + alpha)
+        value = F.when(y.isNull(), x).when(a["g"] == 1.0, near).otherwise(far)
+        return F.struct(F.when(F.isnan(x), y).otherwise(value).alias("y"),
+                        F.when(~F.isnan(x), F.lit(1.0)).otherwise(g).alias("g"))
+    start = F.struct(F.when(~first_is_origin, F.lit(0.0)).alias("y"), F.lit(1.0).alias("g"))
+    return F.when(F.exists(vals, lambda x: ~F.isnan(x)), F.aggregate(vals, start, step)["y"])
 
 
 def ewm_many(df: DataFrame, keys: list[str], ts: str, specs, pre=None) -> DataFrame:
@@ -119,12 +127,11 @@ def ewm_many(df: DataFrame, keys: list[str], ts: str, specs, pre=None) -> DataFr
     out = base
     for col, alpha, adjust, name in specs:
         kk = ewm_window(alpha)
-        vals = F.collect_list(F.col(col).cast("double")).over(sf.rows(-(kk - 1), 0))
+        vals = F.collect_list(F.coalesce(F.col(col).cast("double"), F.lit(float("nan")))).over(sf.rows(-(kk - 1), 0))
         out = out.withColumn(f"_v_{name}", vals)
     for col, alpha, adjust, name in specs:
         kk = ewm_window(alpha)
-        out = out.withColumn(name, F.when(F.col(col).isNotNull(),
-                                          _ewm_expr(F.col(f"_v_{name}"), F.col("idx") < kk, alpha, adjust)))
+        out = out.withColumn(name, _ewm_expr(F.col(f"_v_{name}"), F.col("idx") < kk, alpha, adjust))
     out = out.drop(*[f"_v_{name}" for *_, name in specs])
     del origin
     return sf.finish(out)
@@ -134,8 +141,12 @@ def ewm(df: DataFrame, keys: list[str], ts: str, col: str, alpha: float, adjust:
         out: str | None = None) -> DataFrame:
     """Exponentially weighted mean (pandas ``adjust`` semantics).
 
-    alpha = 1/(1+com) = 2/(span+1).  Null inputs are skipped (weights decay by
-    position as in pandas with ``ignore_na=False``).
+    alpha = 1/(1+com) = 2/(span+1).  Weights decay by position, as in
+    pandas with ``ignore_na=False``: a null (or NaN) row keeps the mean and lowers the weight
+    of what came before it; rows before the first value are null.  Rows further
+    back than the frame of K rows are left out: their share is below
+    1e-16 / (1-alpha)^g after a gap of g nulls, and after K nulls on end the
+    mean is null.
     """
     return ewm_many(df, keys, ts, [(col, alpha, adjust, out or f"ewm_{col}")])
 
@@ -152,8 +163,7 @@ def rsi(df: DataFrame, keys: list[str], ts: str, col: str, n: int = 14, kind: st
 
     ``kind="standard"`` uses |down|; ``kind="reference"`` keeps down moves
     negative as the reference does (X13), which leaves [0, 100].  The first
-    row has no move; ``collect_list`` skips its null, so the filter starts at
-    the second row.  Moves and both filters share one window layout.
+    row has no move, so the filter starts at the second row.  Moves and both filters share one window layout.
     """
     def moves(sf):
         d = sf.df.withColumn("_delta", F.col(col) - F.lag(col, 1).over(sf.w))

@@ -60,6 +60,19 @@ def test_ewm_matches_recurrence(spark):
     assert np.allclose(got_adj, ref, atol=1e-12)
 
 
+def test_ewm_with_nulls_matches_pandas(spark):
+    x = np.random.default_rng(4).normal(size=120)
+    x[[0, 1, 5, 6, 7, 30, 90, 91]] = np.nan
+    for values in (x, np.array([1, 2, np.nan, 4])):
+        rows = [(i, None if np.isnan(v) else float(v)) for i, v in enumerate(values)]
+        df = spark.createDataFrame(rows, "t int, x double")
+        for adjust in (True, False):
+            got = ts.ewm(df, [], "t", "x", 2 / 3, adjust=adjust).orderBy("t").toPandas()["ewm_x"].to_numpy(float)
+            want = pd.Series(values).ewm(alpha=2 / 3, adjust=adjust).mean().to_numpy()
+            assert np.allclose(got, want, rtol=1e-11, atol=1e-11, equal_nan=True)
+            assert not adjust or len(values) > 4 or np.allclose(got, [1, 1.75, 1.75, 3.7096774], atol=1e-7)
+
+
 def test_expected_purchases_properties():
     m = clv.BGParams(0.25, 4.0, 0.8, 2.5)
     x, tx, T = np.array([0, 2, 5.0]), np.array([0, 10, 20.0]), np.array([30, 30, 30.0])
