@@ -103,41 +103,78 @@ class Vocabulary:
         self.tokens = dict(zip(self.ranks.values(), self.ranks))
         self.index = MinimalPerfectHash(list(self.ranks))
         self.rank_of = np.array([self.ranks[k] for k in self.index.slot_key], np.int32)
+        self.byte_rank = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
+        self.pair_rank = np.array([self.ranks.get(bytes([i >> 8, i & 255]), -1) for i in range(1 << 16)], np.int32)
         self.known: dict[str, bytes] = {}
         self.held = 0
 
     def merged(self, piece: bytes) -> list[int]:
         """Ranks of one pre-token, the pair of least rank joined first, the leftmost of equal ones."""
-        ranks, n = self.ranks, len(piece)
-        end = list(range(1, n + 1))  # of the part that begins here; 0 once joined to its left
-        left = list(range(-1, n))
-        heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, a, b, c = heapq.heappop(heap)
-            if end[a] != b or end[b] != c:
-                continue
-            end[a], end[b], left[c] = c, 0, a
-            if c < n and (r := ranks.get(piece[a:end[c]])) is not None:
-                heapq.heappush(heap, (r, a, c, end[c]))
-            if a and (r := ranks.get(piece[left[a]:c])) is not None:
-                heapq.heappush(heap, (r, left[a], a, c))
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i:end[i]]])
-            i = end[i]
-        return out
+        return next(self.merge_all([piece]))
+
+    def merge_all(self, pieces: list[bytes]):
+        """``merged`` of each pre-token in turn; ranks of bytes and of their pairs are looked up for all of them together.
+
+        A part of a pre-token is named by its first place; ``after`` links it to the next part and ``before`` to the one to
+        its left.  A heap entry holds a pair's rank and then its place; it is stale once the pair there has another rank.
+        """
+        get, pop, push = self.ranks.get, heapq.heappop, heapq.heappush
+        longest = max(map(len, pieces), default=0)
+        bits = longest.bit_length()
+        mask = (1 << bits) - 1
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(sizes)
+        data = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int32)
+        place = np.arange(len(data)) - np.repeat(ends - sizes, sizes)
+        pair_at = np.append(self.pair_rank[data[:-1] << 8 | data[1:]], -1)[:len(data)]
+        pair_at[ends[sizes > 0] - 1] = -1
+        ranks_at, pairs_at = self.byte_rank[data].tolist(), pair_at.tolist()
+        known = np.flatnonzero(pair_at >= 0)
+        entries = (pair_at[known].astype(np.int64) << bits | place[known]).tolist()
+        heap_ends = np.searchsorted(known, ends).tolist()
+        ups, downs = list(range(1, longest + 1)), list(range(-1, longest))
+        at = h = 0
+        for piece, end, heap_end in zip(pieces, ends.tolist(), heap_ends):
+            n = end - at
+            rank, pair, heap = ranks_at[at:end], pairs_at[at:end], entries[h:heap_end]
+            after, before = ups[:n], downs[:n + 1]
+            at, h = end, heap_end
+            heapq.heapify(heap)
+            while heap:
+                top = pop(heap)
+                i = top & mask
+                if pair[i] != top >> bits:
+                    continue
+                b = after[i]
+                c = after[i] = after[b]
+                before[c] = i
+                rank[i] = pair[i]
+                rank[b] = pair[b] = -1
+                if c < n:
+                    pair[i] = r = get(piece[i:after[c]], -1)
+                    if r >= 0:
+                        push(heap, r << bits | i)
+                else:
+                    pair[i] = -1
+                if i:
+                    a = before[i]
+                    pair[a] = r = get(piece[a:c], -1)
+                    if r >= 0:
+                        push(heap, r << bits | a)
+            yield [r for r in rank if r >= 0]
 
     def learn(self, new: list[str]) -> None:
         """Put the ids of ``new`` pre-tokens in ``known``: whole tokens by the hash, the rest by merging."""
         keys = [p.encode() for p in new]
         number = self.index.find(keys)
         whole = self.rank_of[number].astype("<i4").tobytes()
-        for i, (piece, n) in enumerate(zip(new, number.tolist())):
+        number = number.tolist()
+        merged = self.merge_all([k for k, n in zip(keys, number) if n < 0])
+        for i, (piece, n) in enumerate(zip(new, number)):
             if n >= 0:
                 ids = whole[4 * i:4 * i + 4]
             else:
-                found = self.merged(keys[i])
+                found = next(merged)
                 ids = pack(f"<{len(found)}i", *found)
             self.known[piece] = ids
             self.held += ENTRY_BYTES + 2 * len(keys[i]) + len(ids)
