@@ -76,6 +76,29 @@ def prefix_sums(df: DataFrame, order_cols: list[str], sum_cols: list[str], bucke
     return out.drop("_bkt", *[f"_loc_{c}" for c in sum_cols], *[f"_off_{c}" for c in sum_cols])
 
 
+def rank_ranges(counts: DataFrame, value: str, weight: str, parts: list[str], bucket: Column) -> DataFrame:
+    """Ranks that every value of a (parts, value, weight) table holds in its part.
+
+    Adds ``_lo`` and ``_hi`` (0-based ranks ``_lo <= r < _hi`` are rows of this value) and ``_n`` (rows of the part).
+    ``bucket`` must rise with ``value``; one task sorts one bucket of one part, and buckets are shifted by the totals
+    of those before them.  Null keys are a part of their own; a null value sorts first, by Spark's order.
+    """
+    b = counts.withColumn("_bkt", bucket)
+    frame = Window.partitionBy(*parts, "_bkt").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    local = b.withColumn("_hi", F.sum(weight).over(frame))
+    keys = [*parts, "_bkt"]
+    part = Window.partitionBy(*[f"_k{i}" for i in range(len(parts))])
+    earlier = part.orderBy(f"_k{len(parts)}").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (b.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.sum(weight).alias("_t"))
+                .withColumn("_off", F.coalesce(F.sum("_t").over(earlier), F.lit(0)))
+                .withColumn("_n", F.sum("_t").over(part)))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    out = local.join(offsets, same).withColumn("_hi", F.col("_hi") + F.col("_off"))
+    return out.withColumn("_lo", F.col("_hi") - F.col(weight)).drop("_bkt", "_t", "_off", *[f"_k{i}" for i in range(len(keys))])
+
+
 def dense_index(df: DataFrame, order_cols: list[str], partition_cols: list[str] | None = None,
                 buckets: int = 64) -> DataFrame:
     """0-based row index in ``order_cols`` order per partition, computed in parallel."""

@@ -2,60 +2,103 @@
 
 Everything here is an aggregate or a partitioned window; the only global
 orders (ROC curve, ranks) go through ``layout.prefix_sums`` so they never sit
-on one task.  Exact quantiles (``exact_quantiles``) use Spark's single-pass
-``percentile`` only while the column's distinct count bounds its value ->
-count buffer, and otherwise per-value counts + parallel prefix sums, so no
-task ever holds all values of a group.
+on one task.  Exact quantiles (``exact_quantiles``, ``describe``) pick order
+statistics by rank from per-value counts, so no task ever holds all values of
+a group and there is one path for every size.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from custos.operators.layout import prefix_sums
+from custos.operators.layout import prefix_sums, rank_ranges
 
 
 # ------------------------------------------------------------ exact quantiles
+def _at_positions(probs, names) -> list[Column]:
+    """Aggregates over rank ranges: the two order statistics around position p(n-1) and the fraction between them."""
+    aggs = []
+    for p, name in zip(probs, names):
+        pos = (F.col("_n") - 1) * float(p)
+        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs.append(F.max(F.when((F.col("_lo") <= rank) & (rank < F.col("_hi")), F.col("_x"))).alias(f"_{name}_{side}"))
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"_{name}_f"))
+    return aggs
+
+
+def _interpolated(name: str) -> Column:
+    lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+    return (lo + (hi - lo) * F.col(f"_{name}_f")).alias(name)
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs, names=None,
-                    max_buffer: int = 1_000_000) -> DataFrame:
+                    max_buffer: int | None = None) -> DataFrame:
     """Exact interpolated quantiles (position p(n-1), linear between neighbours) per group.
 
-    Spark's ``percentile`` keeps a value -> count map per group.  When the
-    column has at most ``max_buffer`` distinct values (one cheap estimate,
-    with a safety margin) that map is bounded and the single-pass aggregate is
-    used.  Otherwise no single buffer holds the values: rows are reduced to
-    (group, value, count), cumulative counts come from the parallel prefix
-    sums, and the two order statistics around each position are picked by a
-    range filter.  One output row per group with a column per probability.
+    Rows are reduced to (group, value, count), every value's rank range comes
+    from sums over value buckets (``layout.rank_ranges``), and the two order
+    statistics around each position are picked by their rank, so no task or
+    buffer holds all values of a group, whatever its size.  One output row per
+    group with a column per probability; null for a group without values.
+    ``max_buffer`` is kept for callers and has no effect.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
-    x = F.col(col).cast("double")
-    distinct = df.agg(F.approx_count_distinct(x, 0.05)).first()[0] or 0
-    if distinct * 1.2 <= max_buffer:
-        q = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
-        g = df.groupBy(*keys).agg(q.alias("_q"))
-        return g.select(*keys, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
-    counts = (df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull())
-                .groupBy(*keys, "_x").agg(F.count("*").alias("_c")))
-    cum = prefix_sums(counts, ["_x"], ["_c"], partition_cols=keys)
-    n = cum.groupBy(*keys).agg(F.max("cum__c").alias("_n"))
-    cum = cum.join(n, keys) if keys else cum.withColumn("_n", n.select("_n").scalar())
+    counts = df.select(*keys, F.col(col).cast("double").alias("_x")).groupBy(*keys, "_x").agg(F.count("_x").alias("_c"))
+    bounds = value_bounds(df, [col])[col]
+    ranks = rank_ranges(counts, "_x", "_c", keys, _bucket(F.lit(bounds) if bounds else None, F.col("_x")))
+    return ranks.groupBy(*keys).agg(*_at_positions(probs, names)).select(*keys, *[_interpolated(nm) for nm in names])
+
+
+def _buckets(df: DataFrame) -> int:
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _bound_probs(df: DataFrame) -> list[float]:
+    return [i / _buckets(df) for i in range(1, _buckets(df))]
+
+
+def _bounds_of(values) -> list[float]:
+    return sorted({float(v) for v in values or () if v is not None and v == v})
+
+
+def value_bounds(df: DataFrame, cols: list[str]) -> dict[str, list[float]]:
+    """Cut points that deal the values of each column into as many ranges as there are shuffle partitions (one job)."""
+    probs = F.array(*[F.lit(p) for p in _bound_probs(df)])
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 8 * _buckets(df)).alias(f"b{i}") for i, c in enumerate(cols)]).first()
+    return {c: _bounds_of(row[f"b{i}"]) for i, c in enumerate(cols)}
+
+
+def _bucket(bounds: Column | None, x: Column) -> Column:
+    """Count of cut points at or below ``x`` (a value never straddles two buckets)."""
+    return F.lit(0) if bounds is None else F.size(F.filter(bounds, lambda b: b <= x))
+
+
+def _per_column(values: dict[str, Column]) -> Column:
+    """The entry of ``values`` for the column that ``column_name`` names."""
+    return F.element_at(F.create_map(*(v for c, e in values.items() for v in (F.lit(c), e))), F.col("column_name"))
+
+
+def _doubles(values: list[float]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<double>")
+
+
+def _value_counts_of(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, _x, _c): the non-null values of all columns with their counts, from one scan."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_x")) for c in cols])
+    return (df.select(F.explode(cells).alias("_cell")).select("_cell.*").where(F.col("_x").isNotNull())
+              .groupBy("column_name", "_x").agg(F.count("*").alias("_c")))
+
+
+def _column_summary(df: DataFrame, cols: list[str]):
+    """One row with count, mean, sd, least, greatest and cut points (``n0, m0, s0, l0, g0, b0, n1, ...``) of every column."""
+    probs = F.array(*[F.lit(p) for p in _bound_probs(df)])
     aggs = []
-    for p, name in zip(probs, names):
-        pos = (F.col("_n") - 1) * float(p)
-        lo_r, hi_r = F.floor(pos), F.ceil(pos)
-        start = F.col("cum__c") - F.col("_c")          # ranks [start, cum) hold this value
-        at_lo = (start <= lo_r) & (lo_r < F.col("cum__c"))
-        at_hi = (start <= hi_r) & (hi_r < F.col("cum__c"))
-        aggs += [F.max(F.when(at_lo, F.col("_x"))).alias(f"_{name}_lo"),
-                 F.max(F.when(at_hi, F.col("_x"))).alias(f"_{name}_hi"),
-                 F.max(pos - lo_r).alias(f"_{name}_f")]
-    g = cum.groupBy(*keys).agg(*aggs)
-    return g.select(*keys, *[(F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo")) * F.col(f"_{nm}_f"))
-                             .alias(nm) for nm in names])
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"l{i}"),
+                 F.max(x).alias(f"g{i}"), F.percentile_approx(x, probs, 8 * _buckets(df)).alias(f"b{i}")]
+    return df.agg(*aggs).first()
 
 
 # ---------------------------------------------------------------- relational
@@ -125,28 +168,26 @@ def crosstab_wide(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(a).pivot(b).count()
 
 
-def _stack(df_one_row: DataFrame, cols: list[str], stats: list[str]) -> DataFrame:
-    pairs = ", ".join(f"'{c}', '{s}', `{c}__{s}`" for c in cols for s in stats)
-    return df_one_row.selectExpr(f"stack({len(cols) * len(stats)}, {pairs}) AS (column_name, stat, value)")
-
-
 def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Count, mean, std, min, 25/50/75% (exact, interpolated), max; long form."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    one = df.agg(*aggs)
-    sel = []
-    for c in cols:
-        q = exact_quantiles(df, [], c, [0.25, 0.5, 0.75], ["a", "b", "c"]).first()  # three numbers
-        sel += [F.col(f"{c}__count"), F.round(f"{c}__mean", digits).alias(f"{c}__mean"),
-                F.round(f"{c}__std", digits).alias(f"{c}__std"), F.col(f"{c}__min"),
-                F.round(F.lit(q["a"]).cast("double"), digits).alias(f"{c}__25%"),
-                F.round(F.lit(q["b"]).cast("double"), digits).alias(f"{c}__50%"),
-                F.round(F.lit(q["c"]).cast("double"), digits).alias(f"{c}__75%"), F.col(f"{c}__max")]
-    return _stack(one.select(*sel), cols, ["count", "mean", "std", "min", "25%", "50%", "75%", "max"])
+    """Count, mean, std, min, 25/50/75% (exact, interpolated), max; long form.
+
+    Two passes whatever the number of columns: one aggregate for the moments and
+    cut points, one unpivoted rank pass for all quantiles of all columns.  Only
+    these few numbers a column reach the driver.
+    """
+    names, probs = ["25%", "50%", "75%"], [0.25, 0.5, 0.75]
+    s = _column_summary(df, cols)
+    bounds = _per_column({c: _doubles(_bounds_of(s[f"b{i}"])) for i, c in enumerate(cols)})
+    ranks = rank_ranges(_value_counts_of(df, cols), "_x", "_c", ["column_name"], _bucket(bounds, F.col("_x")))
+    q = {r["column_name"]: r for r in ranks.groupBy("column_name").agg(*_at_positions(probs, names))
+         .select("column_name", *[_interpolated(n).alias(n) for n in names]).collect()}
+    rows = [(c, float(s[f"n{i}"]), s[f"m{i}"], s[f"s{i}"], s[f"l{i}"], *((q[c][n] if c in q else None) for n in names), s[f"g{i}"])
+            for i, c in enumerate(cols)]
+    stats = ["count", "mean", "std", "min", *names, "max"]
+    one = df.sparkSession.createDataFrame(rows, "column_name string, " + ", ".join(f"`{n}` double" for n in stats))
+    exact = ("count", "min", "max")
+    pairs = ", ".join(f"'{n}', " + (f"`{n}`" if n in exact else f"round(`{n}`, {digits})") for n in stats)
+    return one.selectExpr("column_name", f"stack({len(stats)}, {pairs}) AS (stat, value)")
 
 
 def describe_extended(df: DataFrame, cols: list[str], digits: int = 6, trim: float = 0.1) -> DataFrame:
@@ -154,40 +195,48 @@ def describe_extended(df: DataFrame, cols: list[str], digits: int = 6, trim: flo
 
     skew and kurtosis are the type-3 sample forms (b1, b2 - 3); mad is
     1.4826 x median absolute deviation; the trimmed mean drops floor(trim*n)
-    values from each end, handling ties at the cut exactly.
+    values from each end, handling ties at the cut exactly.  Three passes
+    whatever the number of columns: moments and cut points, ranks of all values
+    (median, trimmed sum, central moments), ranks of all deviations (mad).
     """
-    spark = df.sparkSession
+    s = _column_summary(df, cols)
+    cuts = {c: _bounds_of(s[f"b{i}"]) for i, c in enumerate(cols)}
+    counts, x, c = _value_counts_of(df, cols), F.col("_x"), F.col("_c")
+    ranks = rank_ranges(counts, "_x", "_c", ["column_name"], _bucket(_per_column({k: _doubles(v) for k, v in cuts.items()}), x))
+    off = x - _per_column({k: F.lit(s[f"m{i}"]).cast("double") for i, k in enumerate(cols)})
+    cut = F.floor(F.col("_n") * F.lit(float(trim)))
+    keep = F.greatest(F.lit(0), F.least(F.col("_hi"), F.col("_n") - cut) - F.greatest(F.col("_lo"), cut))
+    q = {r["column_name"]: r for r in ranks.groupBy("column_name").agg(
+        *_at_positions([0.5], ["median"]), F.sum(x * keep).alias("tsum"), F.sum(keep).alias("tn"),
+        *[(F.sum(c * F.pow(off, k)) / F.sum(c)).alias(f"m{k}") for k in (2, 3, 4)])
+        .select("column_name", _interpolated("median"), "tsum", "tn", "m2", "m3", "m4").collect()}
+    # a range of deviations lies in at most two ranges of values, so the same cut points serve, folded at the median
+    folded = {k: _doubles(sorted({abs(v - q[k]["median"]) for v in vs})) for k, vs in cuts.items() if k in q}
+    mad = {}
+    if folded:
+        median = _per_column({k: F.lit(q[k]["median"]) for k in folded})
+        away = counts.select("column_name", F.abs(x - median).alias("_x"), "_c").groupBy("column_name", "_x").agg(F.sum("_c").alias("_c"))
+        ranks = rank_ranges(away, "_x", "_c", ["column_name"], _bucket(_per_column(folded), x))
+        mad = {r["column_name"]: r["mad0"] for r in ranks.groupBy("column_name").agg(*_at_positions([0.5], ["mad0"]))
+               .select("column_name", _interpolated("mad0")).collect()}
     rows = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        base = df.select(x.alias("x")).where(F.col("x").isNotNull())
-        # each step is one aggregate whose one-row result is fetched (a few
-        # numbers); Spark 4.1 cannot code-generate nested scalar subqueries
-        m = base.agg(F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"),
-                     F.min("x").alias("min"), F.max("x").alias("max")).first()
-        n, mean, sd = m["n"], m["mean"], m["sd"]
-        med = exact_quantiles(base, [], "x", [0.5], ["median"]).first()["median"]
-        mad0 = exact_quantiles(base.select(F.abs(F.col("x") - med).alias("ad")), [], "ad", [0.5], ["m"]).first()["m"]
-        mom = base.agg(F.avg(F.pow(F.col("x") - mean, 2)).alias("m2"), F.avg(F.pow(F.col("x") - mean, 3)).alias("m3"),
-                       F.avg(F.pow(F.col("x") - mean, 4)).alias("m4")).first()
-        k = int(n * trim)
-        # trimmed mean: ranks over distinct values, exact with ties at the cut
-        ranked = prefix_sums(base.groupBy("x").agg(F.count("*").alias("c")), ["x"], ["c"])
-        keep = F.greatest(F.lit(0), F.least(F.col("cum_c"), F.lit(n - k)) - F.greatest(F.col("cum_c") - F.col("c"), F.lit(k)))
-        t = ranked.agg(F.sum(F.col("x") * keep).alias("tsum"), F.sum(keep).alias("tn")).first()
-        rows.append((c, n, mean, sd, med, t["tsum"], t["tn"], mad0, m["min"], m["max"], mom["m2"], mom["m3"], mom["m4"]))
-    one = spark.createDataFrame(rows, "column_name string, n long, mean double, sd double, median double, "
-                                      "tsum double, tn long, mad0 double, min double, max double, m2 double, m3 double, m4 double")
+    for i, k in enumerate(cols):
+        r = q.get(k)
+        rows.append((k, s[f"n{i}"], s[f"m{i}"], s[f"s{i}"], *((r[f] if r else None) for f in ("median", "tsum", "tn")), mad.get(k),
+                     s[f"l{i}"], s[f"g{i}"], *((r[f] if r else None) for f in ("m2", "m3", "m4"))))
+    one = df.sparkSession.createDataFrame(
+        rows, "column_name string, n long, mean double, sd double, median double, tsum double, tn long, mad0 double, "
+              "min double, max double, m2 double, m3 double, m4 double")
     return one.select(
         "column_name", F.col("n").cast("double").alias("n"),
         F.round("mean", digits).alias("mean"), F.round("sd", digits).alias("sd"),
         F.round("median", digits).alias("median"),
-        F.round(F.col("tsum") / F.col("tn"), digits).alias("trimmed"),
+        F.round(F.try_divide(F.col("tsum"), F.col("tn")), digits).alias("trimmed"),
         F.round(F.col("mad0") * 1.4826, digits).alias("mad"),
         F.col("min"), F.col("max"), (F.col("max") - F.col("min")).alias("range"),
-        F.round(F.col("m3") / F.pow("m2", 1.5) * F.pow((F.col("n") - 1) / F.col("n"), 1.5), digits).alias("skew"),
-        F.round(F.col("m4") / F.pow("m2", 2) * F.pow((F.col("n") - 1) / F.col("n"), 2) - 3, digits).alias("kurtosis"),
-        F.round(F.col("sd") / F.sqrt("n"), digits).alias("se"))
+        F.round(F.try_divide(F.col("m3"), F.pow("m2", 1.5)) * F.pow(F.try_divide(F.col("n") - 1, F.col("n")), 1.5), digits).alias("skew"),
+        F.round(F.try_divide(F.col("m4"), F.pow("m2", 2)) * F.pow(F.try_divide(F.col("n") - 1, F.col("n")), 2) - 3, digits).alias("kurtosis"),
+        F.round(F.try_divide(F.col("sd"), F.sqrt("n")), digits).alias("se"))
 
 
 def scalar_stats(df: DataFrame, col: str) -> DataFrame:
