@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from custos.operators import forecast, ml, populations, timeseries as ts
+from custos.operators import forecast, ml, populations, timeseries as ts, ward
 from custos.plans import commerce, series
 from custos.plans.documents import _CHUNKS
 from custos.plans import entity  # noqa: F401  (its oracle is used below)
@@ -161,6 +161,24 @@ def survey_bisecting(spark, sf):
     return lab.groupBy("cluster").agg(F.count("*").alias("size")).withColumn("silhouette", F.lit(sil).cast("double"))
 
 
+@register("survey_ward")
+def survey_ward(spark, sf):
+    """M8: Ward tree (Minkowski distance of order 5) of the z-scaled measures cut at four clusters, with their profiles."""
+    cols = ["q4", "q6", "q7", "q8"]
+    z = ml.zscale(_survey_num(spark, sf), cols)
+    tree = ward.ward_tree(z, [f"{c}_z" for c in cols])
+    return (tree.label(z, [f"{c}_z" for c in cols], 4).groupBy("cluster")
+                .agg(F.count("*").alias("size"), *[F.avg(c).alias(f"mean_{c}") for c in cols]))
+
+
+@register("survey_ward_heights")
+def survey_ward_heights(spark, sf):
+    """M8: the merge heights of that tree, by the number of clusters left (the elbow for choosing k)."""
+    cols = ["q4", "q6", "q7", "q8"]
+    tree = ward.ward_tree(ml.zscale(_survey_num(spark, sf), cols), [f"{c}_z" for c in cols])
+    return spark.createDataFrame(tree.heights(), "clusters int, height double, size long")
+
+
 @register("survey_kprototypes")
 def survey_kprototypes(spark, sf):
     """K-prototypes on two measures and the department."""
