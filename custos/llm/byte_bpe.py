@@ -246,7 +246,9 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             vocab = vocabulary(path, pattern)
             for lo, hi in slices(b.column(1).value_lengths().fill_null(0).to_pylist(), BATCH_CHARS):
                 ids = b.column(1)[lo:hi]
-                out = [None if i is None else vocab.decode(i) for i in ids.to_pylist()]
+                ends, values = ids.offsets.to_numpy(), ids.values.fill_null(-1).to_numpy()
+                out = [vocab.decode(values[i:j].tolist()) if known else None
+                       for known, i, j in zip(ids.is_valid().to_pylist(), ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], ids, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")

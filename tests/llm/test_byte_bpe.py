@@ -91,3 +91,11 @@ def test_heap_merges_like_a_scan_for_the_least_pair():
     for _ in range(300):
         piece = bytes(rng.choice(list(b"aaabenst \xc3\xa9"), rng.integers(1, 60)).astype(np.uint8))
         assert vocab.merged(piece) == plain_merge(vocab.ranks, piece)
+
+
+def test_decoding_of_null_empty_and_unknown_ids(spark):
+    rows = [(1, [64, 65]), (2, None), (3, []), (4, [64, None]), (5, [10 ** 9]), (6, [65])]
+    ids = spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1)
+    tokens = byte_bpe.vocabulary(*HOW).tokens
+    got = {r["doc_id"]: r["decoded"] for r in byte_bpe.decode_documents(ids, *HOW).collect()}
+    assert got == {1: tokens[64] + tokens[65], 2: None, 3: b"", 4: None, 5: None, 6: tokens[65]}
