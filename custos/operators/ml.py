@@ -522,10 +522,14 @@ def best_normalize(df: DataFrame, col: str, lambdas=(-1.0, -0.5, 0.0, 0.5, 1.0,
     Candidates: identity, log, sqrt (positive data), arcsinh, Box-Cox and
     Yeo-Johnson over a lambda grid, and the rank-normal (ordered quantile)
     transform whose ranks come from the parallel prefix sums.  Each candidate
-    is standardised and binned into equiprobable normal bins; one aggregate
-    gives all counts.
+    is standardised and binned into equiprobable normal bins, whose number grows
+    with the rows: every task counts its rows by binary search in the bounds, so
+    the plan does not grow with them.
     """
     import math
+
+    import numpy as np
+    import pandas as pd
     from custos.operators.layout import prefix_sums
     x = F.col(col).cast("double")
     base = df.select(x.alias("x")).where(F.col("x").isNotNull())
@@ -550,17 +554,20 @@ def best_normalize(df: DataFrame, col: str, lambdas=(-1.0, -0.5, 0.0, 0.5, 1.0,
     bounds = [_norm_ppf(i / bins) for i in range(1, bins)]
     t = base.select(*[c.alias(k) for k, c in cands.items()])
     stats = t.agg(*[F.avg(k).alias(f"m_{k}") for k in cands], *[F.stddev_samp(k).alias(f"s_{k}") for k in cands]).first()
-    long = None
-    for k in cands:
-        m, s = stats[f"m_{k}"], stats[f"s_{k}"]
-        if m is None or not s:
-            continue
-        z = (F.col(k) - m) / s
-        b = sum(((z > v).cast("int") for v in bounds), F.lit(0))
-        part = t.select(F.lit(k).alias("transform"), b.alias("bin"))
-        long = part if long is None else long.unionByName(part)
+    fits = {k: (stats[f"m_{k}"], stats[f"s_{k}"]) for k in cands if stats[f"m_{k}"] is not None and stats[f"s_{k}"]}
+    if not fits:
+        return df.sparkSession.createDataFrame([], "transform string, chi2_df double")
+
+    def binned(parts):
+        counts = np.zeros((len(fits), bins), np.int64)
+        for part in parts:
+            for i, (k, (m, s)) in enumerate(fits.items()):
+                at = np.searchsorted(bounds, (part[k].to_numpy("float64") - m) / s)  # bounds below z
+                counts[i] += np.bincount(at, minlength=bins)
+        row, at = np.nonzero(counts)
+        yield pd.DataFrame({"transform": np.array(list(fits), object)[row], "bin": at, "o": counts[row, at]})
     e = n / bins
-    obs = long.groupBy("transform", "bin").agg(F.count("*").alias("o"))
+    obs = t.select(*fits).mapInPandas(binned, "transform string, bin long, o long").groupBy("transform", "bin").agg(F.sum("o").alias("o"))
     # sum (O-E)^2/E over all bins = sum O^2/E - n (empty bins need no row)
     return (obs.groupBy("transform").agg(((F.sum(F.col("o") * F.col("o")) / e - n) / (bins - 1)).alias("chi2_df"))
                .orderBy("chi2_df"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from custos.functions.special import hyp2f1_np, lgamma_np
 from custos.functions.text import jaro_winkler_py
-from custos.operators import clv, layout, stats, timeseries as ts
+from custos.operators import clv, layout, ml, stats, timeseries as ts
 
 
 def test_jaro_winkler_known_values():
@@ -163,3 +163,16 @@ def test_exact_quantiles_both_paths_agree(spark):
     ref = pdf.groupby("g")["x"].quantile(probs).unstack().to_numpy()
     assert np.allclose(a[[f"q{i}" for i in range(4)]].to_numpy(), ref)
     assert np.allclose(b[[f"q{i}" for i in range(4)]].to_numpy(), ref)
+
+
+def test_best_normalize_many_rows_and_bins(spark):
+    """At 600,000 rows there are over 400 bins: a comparison a bin and candidate overflowed the stack of the planner."""
+    n = 600_000
+    got = {r["transform"]: r["chi2_df"] for r in ml.best_normalize(spark.range(1, n + 1).select(F.sqrt("id").alias("v")), "v", (0.5, 2.0)).collect()}
+    bins = int(np.ceil(2 * n ** 0.4))
+    bounds = [ml._norm_ppf(i / bins) for i in range(1, bins)]
+    x = np.sqrt(np.arange(1, n + 1))
+    for name, v in {"identity": x, "log": np.log(x), "boxcox_2p0": (x ** 2 - 1) / 2}.items():
+        o = np.bincount(np.searchsorted(bounds, (v - v.mean()) / v.std(ddof=1)), minlength=bins)
+        assert np.isclose(got[name], (np.sum(o * o) / (n / bins) - n) / (bins - 1), rtol=1e-3)
+    assert min(got, key=got.get) == "rank_normal" and ml.best_normalize(spark.range(0).select(F.col("id").alias("v")), "v").count() == 0
