@@ -78,6 +78,12 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="skip").transform(df)
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Deal the rows over more tasks where cached parts would hold more than ``rows`` on average over the cores."""
+    need = -(-df.count() // rows)
+    return df.repartition(need) if need > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 # --------------------------------------------------------------- clustering
 def kmeans(df: DataFrame, cols: list[str], k: int, restarts: int = 1, max_iter: int = 150, seed: int = 1):
     """M5: k-means with restarts (best training cost); returns (labelled rows, model)."""
@@ -298,12 +304,17 @@ def multinomial_table(df: DataFrame, features: list[str], label: str, reference:
                .withColumn("odds_ratio", F.exp("coef")))
 
 
+FOREST_ROWS = 100_000  # rows of a cached part of 50 trees
+
+
 def forest(df: DataFrame, features: list[str], label: str, trees: int = 100, balanced: bool = False,
            seed: int = 42):
     """Random-forest classifier (sqrt feature subset); returns (model, importances)."""
     data = assemble(df, features)
     if balanced:
         data = balanced_weights(data, label)
+    # each tree counts every cached row: about 1 KB a row for 50 trees, so the parts are kept small
+    data = spread(data.select("features", label, *(["weight"] if balanced else [])), FOREST_ROWS * 50 // max(trees, 1))
     m = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, seed=seed,
                                featureSubsetStrategy="sqrt", weightCol="weight" if balanced else None).fit(data)
     return m, importances(df.sparkSession, features, m.featureImportances)
@@ -339,13 +350,16 @@ def binary_auc(pred: DataFrame, label: str, score_col: str = "probability") -> f
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score_col).evaluate(pred)
 
 
+SEGMENT_ROWS = 500_000  # rows of a cached part
+
+
 def segment(df: DataFrame, num_cols: list[str], k: int, algo: str = "kmeans", comps: int = 2, seed: int = 1):
     """Reduce (PCA) -> cluster -> silhouette and per-cluster profile."""
     red = pca(df, num_cols, comps).withColumn("_pcs", F.col("pc"))
     feats = [f"pc{i}" for i in range(comps)]
     for i in range(comps):
         red = red.withColumn(f"pc{i}", F.col("_pcs")[i])
-    red = red.drop("features", "pcs", "pc", "_pcs")
+    red = spread(red.select(*df.columns, *feats), SEGMENT_ROWS)
     if algo == "kmeans":
         lab, _ = kmeans(red, feats, k, seed=seed)
     elif algo == "gmm":

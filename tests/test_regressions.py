@@ -178,3 +178,10 @@ def test_vector_search_takes_blocks_of_queries_and_breaks_ties_by_id(spark):
 def test_gap_has_a_row_for_one_cluster(spark):
     df = spark.createDataFrame([(float(i % 7), float(i % 5)) for i in range(70)], "a double, b double")
     assert [r["k"] for r in ml.gap_statistic(df, ["a", "b"], k_max=2, b=2).orderBy("k").collect()] == [1, 2]
+
+
+def test_cached_rows_are_dealt_over_tasks_by_their_number(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert ml.spread(spark.range(1000).coalesce(1), 1000).rdd.getNumPartitions() == 1
+    dealt = ml.spread(spark.range(1000).coalesce(1), 1000 // (3 * cores))
+    assert dealt.count() == 1000 and dealt.rdd.getNumPartitions() >= 3 * cores
