@@ -7,9 +7,8 @@ threshold is the quantile of the training strengths at the share of bad
 documents; a document's score is the logistic function of its strength above
 the threshold, so that 0.5 is the threshold.
 
-The fit uses at most ``LABELLED_ROWS`` labelled documents per label (by hash
-order) and ``PAIRS`` pairs; features and scores cover every whole text.  Null
-text is the empty text, whose features are all 0.  Without labels of both kinds
+The fit uses every labelled document, each in several pairs; features and
+scores cover every whole text.  Null text is the empty text, whose features are all 0.  Without labels of both kinds
 every score is 0.5.  Every input row gives one output row.
 """
 
@@ -23,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custos.llm.common import bounded_sample, text_bytes
+from custos.llm.common import at_ranks, stored, text_bytes
 
-LABELLED_ROWS = 2000
-PAIRS = 20_000
+ONE_MATCH = 200_000  # pairs
+SEATS, OPPONENTS = 64, 16  # documents of a match, by label
 RIDGE = 1e-3
 FEATURES = ("bytes_log", "words_log", "lines_log", "upper", "digit", "space", "period", "comma", "bang_question", "quote", "bracket", "bar", "hash_dollar", "percent_and", "other_mark", "non_ascii",
             "word_length", "long_words", "end_marked", "bare_marks", "distinct_words", "top_word", "distinct_lines", "repeated_bytes", "line_words", "stop_end", "bigram_distinct")
@@ -82,56 +81,99 @@ class Model:
         return 1 / (1 + np.exp(-(self.strength(x) - self.threshold).clip(-500, 500)))
 
 
-def bradley_terry(x: np.ndarray, good: np.ndarray, bad_share: float, pairs: int = PAIRS, seed: int = 3) -> Model:
-    """Weights from preference pairs (good over bad); ``bad_share``: the quantile of the threshold."""
-    mean, scale = x.mean(0), x.std(0)
+def _sums(rows: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+    """Sum of ``fn``'s vectors of ``size`` numbers, by task and then over the tasks."""
+    def run(batches):
+        total = sum(map(fn, batches), np.zeros(size))
+        yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int64()), pa.array(total)], ["i", "s"])
+
+    return np.array([r["s"] for r in sorted(rows.mapInArrow(run, "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).collect())])
+
+
+def _matrix(col: pa.Array) -> np.ndarray:
+    return col.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+
+
+def matches(rows: DataFrame, n: dict[int, int]) -> DataFrame:
+    """Documents dealt to matches by hash: (``good``, ``bad``) lists of features; every good one of a match meets every bad one.
+
+    Few documents meet in one match.  Else about ``SEATS`` of the commoner label meet about ``OPPONENTS`` of the rarer
+    one, whose documents play in several matches, so that every document takes part whatever the shares.
+    """
+    rare = min(n, key=lambda k: (n[k], k))
+    common = 1 - rare
+    many, few = (1, 1) if n[0] * n[1] <= ONE_MATCH else (max(1, n[common] // SEATS), max(1, n[rare] // OPPONENTS))
+    few = min(few, many)
+    dealt = lambda parts: F.pmod(F.xxhash64("doc_id", "features"), F.lit(parts))
+    a = rows.where(F.col("label") == common).withColumn("match", dealt(many))
+    b = rows.where(F.col("label") == rare).withColumn("match", F.explode(F.sequence(dealt(few), F.lit(many - 1).cast("long"), F.lit(few).cast("long"))))
+    # in the order of their ids: sums of doubles do not depend on the shuffle
+    seat = F.array_sort(F.collect_list(F.struct("label", "doc_id", "features")))
+    of = lambda k: F.flatten(F.transform(F.filter("seats", lambda s: s["label"] == k), lambda s: s["features"]))
+    return a.unionByName(b).groupBy("match").agg(seat.alias("seats")).select(of(1).alias("good"), of(0).alias("bad"))
+
+
+def bradley_terry(rows: DataFrame, n: dict[int, int]) -> Model:
+    """Weights from preference pairs (good over bad) in which every document of ``rows`` takes part.
+
+    ``rows``: (doc_id, label, features), ``n`` documents per label.  Moments, gradients and curvatures are summed in
+    the tasks; the threshold is the exact quantile of all strengths at the share of bad documents.
+    """
+    k, total = len(FEATURES), n[0] + n[1]
+    mean = _sums(rows, lambda b: _matrix(b.column("features")).sum(0), k) / total
+    scale = np.sqrt(_sums(rows, lambda b: ((_matrix(b.column("features")) - mean) ** 2).sum(0), k) / total)
     scale[scale < 1e-9] = 1
-    model = Model(mean, scale, np.zeros(x.shape[1]), 0.0)
-    if good.all() or not good.any():
-        return model
-    rng = np.random.default_rng(seed)
-    z = ((x - mean) / scale).clip(-8, 8)
-    d = z[rng.choice(np.flatnonzero(good), pairs)] - z[rng.choice(np.flatnonzero(~good), pairs)]
+    model = Model(mean, scale, np.zeros(k), 0.0)
+    games = stored(matches(rows, n), "quality_matches")
     w = model.weights
     for _ in range(30):
-        p = 1 / (1 + np.exp(-(d @ w).clip(-500, 500)))
-        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / pairs + RIDGE * np.eye(len(w)), d.T @ (1 - p) / pairs - RIDGE * w)
+        def slopes(b, w=w):
+            out = np.zeros(1 + k + k * k)
+            for good, bad in zip(b.column("good"), b.column("bad")):
+                g, h = (((x.values.to_numpy(zero_copy_only=False).reshape(-1, k) - mean) / scale).clip(-8, 8) for x in (good, bad))
+                d = (g[:, None] - h[None]).reshape(-1, k)
+                p = 1 / (1 + np.exp(-(d @ w).clip(-500, 500)))
+                out += np.concatenate([[len(d)], d.T @ (1 - p), ((d * (p * (1 - p))[:, None]).T @ d).ravel()])
+            return out
+        got = _sums(games, slopes, 1 + k + k * k)
+        if not got[0]:
+            return model
+        step = np.linalg.solve(got[1 + k:].reshape(k, k) / got[0] + RIDGE * np.eye(k), got[1:1 + k] / got[0] - RIDGE * w)
         w = w + step * min(1.0, 2 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-6:
             break
     model.weights = w
-    s = z @ w
-    weight = np.where(good, (1 - bad_share) / good.mean(), bad_share / (~good).mean())
-    order = np.argsort(s, kind="stable")
-    at = min(int(np.searchsorted(np.cumsum(weight[order]), bad_share * weight.sum())), len(s) - 2)
-    model.threshold = float((s[order][at] + s[order][at + 1]) / 2)
+
+    def strengths(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(model.strength(_matrix(b.column("features"))))], ["s"])
+
+    at = min(n[0] - 1, total - 2)
+    model.threshold = float(np.mean(at_ranks(stored(rows.select("features").mapInArrow(strengths, "s double"), "quality_strengths"), "s", [at, at + 1], total)))
     return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Callable[[Column], Column], label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on a bounded sample per label; the share of bad documents is counted over all usable labels.
+    """Fit on every labelled document; without documents of both labels there are no weights and every score is 0.5.
 
     ``usable`` maps the id column to the rows whose labels may be learned from.
     """
     marks = labels.where(labels[label_col].isin(0, 1) & usable(labels[id_col])).select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_label"))
-    n = {r["_label"]: r["count"] for r in marks.groupBy("_label").count().collect()}
+    # features meet their labels, by shuffle at every size: no text is moved
+    found = with_features(docs.where(usable(docs[id_col])), id_col, text_col)
+    rows = stored(found.join(marks.hint("merge"), found["doc_id"] == marks["_id"].cast("long")).select("doc_id", F.col("_label").alias("label"), "features"), "quality_features")
+    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(n) < 2:
         return Model(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(len(FEATURES)), 0.0)
-    chosen = bounded_sample(marks, "_label", F.col("_id"), LABELLED_ROWS, n)
-    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text")).join(F.broadcast(chosen), "_id")  # at most LABELLED_ROWS per label
-    got = with_features(rows, "_id", "_text", "_label").collect()
-    got.sort(key=lambda r: (r["label"], r["doc_id"], list(r["features"])))
-    if not got:
-        return Model(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(len(FEATURES)), 0.0)
-    return bradley_terry(np.array([r["features"] for r in got]), np.array([r["label"] == 1 for r in got]), n[0] / (n[0] + n[1]))
+    return bradley_terry(rows, n)
 
 
-def with_features(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+def with_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([features(t) for t in text_bytes(b.column(1))], pa.list_(pa.float64()))], ["doc_id", "label", "features"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([features(t) for t in text_bytes(b.column(1))], pa.list_(pa.float64()))], ["doc_id", "features"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col, F.col(label_col).cast("int")).mapInArrow(run, "doc_id long, label int, features array<double>")
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, "doc_id long, features array<double>")
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -169,3 +169,30 @@ def test_pii_edges(spark):
     check(cases.docs(spark), none)
     plain = pii.fit(cases.plain(spark, ["no numbers", None, ""]))
     assert not plain.trees
+
+
+def test_every_labelled_document_counts(spark):
+    """Quality: all documents play, the threshold is an exact order statistic of all of them (2,000 per label were used)."""
+    rng = np.random.default_rng(4)
+    n = {0: 9000, 1: 500}
+    rows = spark.createDataFrame([(i, int(i >= n[0]), [float(i >= n[0]) + float(v), *map(float, rng.standard_normal(len(quality.FEATURES) - 1))]) for i, v in enumerate(rng.standard_normal(sum(n.values())))],
+                                 "doc_id long, label int, features array<double>")
+    k = len(quality.FEATURES)
+    games = quality.matches(rows, n).collect()
+    sizes = [(len(g["good"]) // k, len(g["bad"]) // k) for g in games]
+    assert sum(b for _, b in sizes) == n[0] and all(g and b for g, b in sizes) and len({tuple(x) for g in games for x in np.reshape(g["good"], (-1, k)).tolist()}) == n[1]
+    model = quality.bradley_terry(rows, n)
+    x = np.array([r["features"] for r in sorted(rows.collect())])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0))
+    s = np.sort(model.strength(x))
+    assert np.isclose(model.threshold, (s[n[0] - 1] + s[n[0]]) / 2) and np.argmax(np.abs(model.weights)) == 0
+
+
+def test_language_floor_reads_every_labelled_text(spark):
+    """The lowest scores count although their ids are beyond the training sample; it was a quantile of 400 texts per label."""
+    model = langid.train([b"abc def " * 8, "éàç ".encode() * 12], ["a", "b"], steps=30)
+    texts = [("abc def " * 3, "a")] * 1500 + [("abc éàç def ", "a"), ("éàç", "b"), ("abc", "b"), (None, "a")] * 10
+    docs = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id long, text string, lang string")
+    rows = langid.identify(docs, model).collect()
+    right = [r["score"] for r in rows if r["lang_pred"] == texts[r["doc_id"]][1]]
+    assert len(right) > 1500 and np.isclose(langid.score_floor(docs, model, lambda i: i >= 0), 0.9 * np.quantile(right, langid.FLOOR_QUANTILE))
