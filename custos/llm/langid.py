@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custos.llm.common import bounded_sample, release_memory, slices, stored, text_bytes
+from custos.llm.common import at_ranks, bounded_sample, release_memory, slices, stored, text_bytes
 
 WINDOW = 64
 HIDDEN = 8
@@ -211,17 +211,29 @@ def fit(docs: DataFrame, usable: Callable[[Column], Column], id_col: str = "doc_
 
 
 def score_floor(docs: DataFrame, model: Model, usable: Callable[[Column], Column], id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> float:
-    """The ``FLOOR_QUANTILE`` of the scores of correctly labelled whole texts of the training sample, a tenth off; 0 without any."""
+    """The ``FLOOR_QUANTILE`` of the scores of all correctly labelled whole texts, a tenth off; 0 without any."""
     if not model.labels:
         return 0.0
     label = docs[label_col].cast("string")
-    mine = docs.where(usable(docs[id_col]) & label.isNotNull()).select(label.alias("label"), docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    counts = {r["label"]: r["count"] for r in mine.groupBy("label").count().collect()}
-    sample = stored(bounded_sample(mine, "label", F.col("doc_id"), DOCS_PER_LABEL, counts), "language_sample")
-    named = identify(sample, model).withColumnRenamed("doc_id", "_id")
-    right = sample.join(named, (F.col("doc_id") == F.col("_id")) & (F.col("label") == F.col("lang_pred")))
-    found = right.agg(F.percentile("score", F.lit(FLOOR_QUANTILE))).first()[0]
-    return 0.0 if found is None else 0.9 * found
+    mine = docs.where(usable(docs[id_col]) & label.isNotNull()).select(docs[text_col].cast("string").alias("text"), label.alias("label"))
+
+    def run(batches):
+        params = _for_scoring(model)
+        for b in batches:
+            texts = [t if _LETTER.search(t.decode()) else b"" for t in text_bytes(b.column(0))]
+            for lo, hi in slices([len(t) for t in texts], BLOCK_BYTES):
+                probs = probabilities(texts[lo:hi], model, params)
+                right = [bool(t) and model.labels[j] == y for t, j, y in zip(texts[lo:hi], probs.argmax(1), b.column(1)[lo:hi].to_pylist())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(1.0, probs.max(1)[right]))], ["score"])
+        release_memory()
+
+    scores = stored(mine.mapInArrow(run, "score double"), "language_scores")
+    n = scores.count()
+    if not n:
+        return 0.0
+    place = FLOOR_QUANTILE * (n - 1)
+    low, high = at_ranks(scores, "score", [int(place), min(int(place) + 1, n - 1)], n)
+    return 0.9 * (low + (place - int(place)) * (high - low))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
