@@ -20,7 +20,7 @@ fragment is counted on its own, and the counts are summed per pair.
 Groups that agree on a fragment can be large.  They are joined as stars around
 one member, not as all pairs; connected components of the verified links are
 taken, and only groups that still hold several components are compared further:
-every pair of their members from different components whose size, bitmap and
+up to ``TURNS`` times as stars around other members, drawn by hash, then every pair of their members from different components whose size, bitmap and
 distance to the star's centre (Jaccard distance is a metric) allow a link.
 So every link between different texts is verified or lies inside a component.
 The links of a class are then counted exactly: every pair of a component of three
@@ -50,6 +50,7 @@ FIRST_LEVEL = 9
 LEVEL_RATIO = 1.5
 VERIFY_FRAGMENTS = 16
 HOT = 50
+TURNS = 3
 BITS, WIDE_BITS = 4, 16
 BROADCAST_IDS = 1_000_000
 BLOCK_HASHES = 1 << 19
@@ -190,18 +191,18 @@ def sets_of(batch, n: int):
 
 
 def fragments_of(texts: DataFrame, n: int) -> DataFrame:
-    """(class_id, fragment, hashes): sets cut into ``VERIFY_FRAGMENTS`` ranges of the global order."""
+    """(class_id, hashes): each class once, its set cut into ``VERIFY_FRAGMENTS`` ranges of the global order."""
     def run(batches):
         for whole in batches:
             for b in cut_batch(whole, 2):
-                rows, frag, part = [], [], []
+                rows, part = [], []
                 for row, s in sets_of(b, n):
-                    edge = np.searchsorted(s >> np.uint64(60), np.arange(VERIFY_FRAGMENTS + 1, dtype=np.uint64))
-                    for f in np.flatnonzero(np.diff(edge)).tolist():
-                        rows.append(row), frag.append(f), part.append(s[edge[f]:edge[f + 1]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(frag, pa.int32()), long_lists(part)], ["class_id", "fragment", "hashes"])
+                    rows.append(row)
+                    part += np.split(s.view(np.int64), np.searchsorted(s >> np.uint64(60), np.arange(1, VERIFY_FRAGMENTS, dtype=np.uint64)))
+                ends = pa.array(np.arange(len(rows) + 1) * VERIFY_FRAGMENTS, pa.int32())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.ListArray.from_arrays(ends, long_lists(part))], ["class_id", "hashes"])
 
-    return texts.select("class_id", "set_hash", "text").mapInArrow(run, "class_id long, fragment int, hashes array<long>")
+    return texts.select("class_id", "set_hash", "text").mapInArrow(run, "class_id long, hashes array<array<long>>").dropDuplicates(["class_id"])
 
 
 def differing(a: str, b: str, longs: int) -> Column:
@@ -212,16 +213,19 @@ def differing(a: str, b: str, longs: int) -> Column:
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """``pairs`` (a, b, na, nb of classes) with ``inter``, the exact size of the intersection.
 
-    Only the texts of classes in ``pairs`` are cut again.  The overlap of each
-    fragment is counted by itself, then summed per pair.
+    Only the texts of classes in ``pairs`` are cut again.  Sets are dealt by
+    class once, for both sides of a pair, and travel in one row: either join
+    gives one row per pair.  The overlap of each fragment is counted by itself,
+    then summed per pair.
     """
     asked = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
     members = stored(classes.select("class_id", "least", "set_hash").join(asked, "class_id", "left_semi"), "members")
-    parts = stored(fragments_of(texts_of(members, docs, id_col, text_col), n).dropDuplicates(["class_id", "fragment"]), "fragments")
-    left = pairs.join(parts.select(F.col("class_id").alias("a"), "fragment", F.col("hashes").alias("ha")), "a")
-    both = left.join(parts.select(F.col("class_id").alias("b"), "fragment", F.col("hashes").alias("hb")), ["b", "fragment"])
-    partial = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).cast("long").alias("part"))
-    return partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("inter"))
+    sets = fragments_of(texts_of(members, docs, id_col, text_col), n)
+    of = lambda s: sets.select(F.col("class_id").alias(f"_{s}"), F.col("hashes").alias(f"h{s}"))
+    left = pairs.select("a", "b", "na", "nb").join(of("a").hint("merge"), F.col("a") == F.col("_a"))
+    both = left.join(of("b").hint("merge"), F.col("b") == F.col("_b"))
+    part = F.zip_with("ha", "hb", lambda x, y: F.size(F.array_intersect(x, y)).cast("long"))
+    return both.select("a", "b", "na", "nb", F.aggregate(part, F.lit(0).cast("long"), lambda x, y: x + y).alias("inter"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -264,6 +268,17 @@ def without_hot(group: DataFrame, spares: DataFrame) -> DataFrame:
     return kept.join(centre.drop("_last"), "key")
 
 
+def star_around_others(group: DataFrame, label: DataFrame, info: DataFrame, cut: Cut, turn: int) -> DataFrame:
+    """Pairs (a, b) of another member of each key that holds several components, drawn by hash, with those of other components."""
+    member = group.select("key", "class_id").join(label, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
+    ends = member.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.min_by("class_id", F.xxhash64("key", "class_id", F.lit(turn))).alias("_c"))
+    centre = ends.where("_lo < _hi").select("key", "_c")
+    met = member.join(centre, "key").join(info.select(F.col("class_id").alias("_i"), "size", "bits"), F.col("class_id") == F.col("_i")).drop("_i")
+    of_centre = info.join(label, "class_id", "left").select(F.col("class_id").alias("_i"), F.coalesce("label", "class_id").alias("_label"), F.col("size").alias("_size"), F.col("bits").alias("_bits"))
+    pairs = met.join(of_centre, F.col("_c") == F.col("_i")).where(F.col("label") != F.col("_label")).where(_may_link(cut, "size", "_size", "bits", "_bits"))
+    return pairs.select(F.least("class_id", "_c").alias("a"), F.greatest("class_id", "_c").alias("b")).distinct()
+
+
 def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(classes, links): the classes, and the verified links (a, b, inter) that join them.
 
@@ -294,8 +309,17 @@ def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_co
     star = group.where("class_id > centre").select(F.col("centre").alias("a"), F.col("class_id").alias("b")).distinct()
     star = check(check(star, "bits", BITS), "wide_bits", WIDE_BITS)
     counted = stored(verified(star, classes, docs, n, id_col, text_col), "counted", release=True)
+    label = components(linked(counted))
+    for turn in range(TURNS):
+        new = check(star_around_others(group, label, info, cut, turn).join(counted, ["a", "b"], "left_anti"), "wide_bits", WIDE_BITS)
+        if new.isEmpty():
+            break
+        new = stored(verified(new, classes, docs, n, id_col, text_col), "counted", release=True)
+        counted = counted.union(new)
+        if linked(new).isEmpty():
+            break
+        label = components(linked(counted))
     links = linked(counted)
-    label = components(links)
     member = group.join(label, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
     open_keys = member.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("key")
     member = member.where("class_id > centre").join(open_keys, "key").join(info.select(F.col("class_id").alias("_i"), "size", "bits"), F.col("class_id") == F.col("_i")).drop("_i")

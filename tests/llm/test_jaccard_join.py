@@ -118,3 +118,14 @@ def test_one_id_with_several_texts(spark):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in rows_out) == [(0, 3, 0, 0), (1, 0, 1, 0), (1, 58, 1, 1), (1, 58, 1, 1), (2, 59, 1, 1), (3, 59, 1, 1), (3, 59, 1, 1)]
     left = jaccard_join.without_near_duplicates(spark.createDataFrame([(5, " ".join(a)), (1, " ".join([*a, "x"])), (5, " ".join(b)), (7, "lone words stand here"), (7, "lone words stand here"), (None, " ".join(a))], "doc_id long, text string"), 3, 90)
     assert sorted(map(tuple, left.collect()), key=str) == sorted([(1, " ".join([*a, "x"])), (5, " ".join(b)), (7, "lone words stand here"), (None, " ".join(a))], key=str)
+
+
+def test_a_dense_group_without_a_good_star_verifies_few_pairs(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    texts = {i: edited(rng, base, rng.choice([1, 2])) for i in range(600)}
+    asked, plain = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, *a: (asked.append(pairs.count()), plain(pairs, *a))[1])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert got(df, 3, 90) == brute(texts, 3, 90)
+    assert sum(asked) < 4 * len(texts), asked
