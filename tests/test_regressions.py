@@ -2,9 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from custos.functions.special import t_quantile_975
-from custos.operators import clv, docs, forecast, linkage, ml, timeseries as ts
+from custos.operators import clv, docs, forecast, linkage, marts, ml, timeseries as ts
 from custos.session import ensure_checkpoint_dir
 from custos.sources import files
 from custos.streaming import streams
@@ -185,3 +186,28 @@ def test_cached_rows_are_dealt_over_tasks_by_their_number(spark):
     assert ml.spread(spark.range(1000).coalesce(1), 1000).rdd.getNumPartitions() == 1
     dealt = ml.spread(spark.range(1000).coalesce(1), 1000 // (3 * cores))
     assert dealt.count() == 1000 and dealt.rdd.getNumPartitions() >= 3 * cores
+
+
+def _sales_lines(spark, orders):
+    return (spark.range(2 * orders).selectExpr("id div 2 as order_id", "date_add(date'2024-01-01', cast(id div 2 % 30 as int)) as order_date",
+                                               "cast(id % 2 as int) as sku", "cast(id as decimal(18,2)) as gross_margin", "cast(id + 1 as decimal(18,2)) as product_price",
+                                               "cast(1 as decimal(18,2)) as product_discount_amount", "cast(1 as int) as num_units", "1 as valid_order_flag"))
+
+
+def test_weekly_sales_group_orders_once_and_in_bounded_tasks(spark, monkeypatch):
+    lines = _sales_lines(spark, 300)
+    lines = lines.unionByName(lines.limit(1).withColumn("order_id", F.lit(None).cast("long")))
+    plain = sorted(map(tuple, marts.weekly_sales(lines).collect()), key=str)
+    assert sum(r[-1] for r in plain) == 300  # a null order is no order
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(marts, "ORDER_ROWS", -(-601 // (4 * cores)))
+    weekly = marts.weekly_sales(lines)
+    plan = weekly._jdf.queryExecution().toString()
+    assert "distinct" not in plan.lower() and "hashpartitioning(order_date" in plan and "REPARTITION_BY_NUM" in plan
+    assert sorted(map(tuple, weekly.collect()), key=str) == plain
+
+
+def test_kprototypes_reads_its_input_from_the_cache(spark):
+    df = spark.range(200).selectExpr("cast(id % 17 as double) as x", "cast(id % 5 as double) as y", "cast(id % 3 as string) as c")
+    out, _ = ml.kprototypes(df, ["x", "y"], ["c"], 3, iters=6)
+    assert out.count() == 200 and "InMemoryRelation" in out._jdf.queryExecution().withCachedData().toString()
