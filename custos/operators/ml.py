@@ -15,12 +15,11 @@ from pyspark.ml.feature import OneHotEncoder, PCA, StringIndexer, VectorAssemble
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custos.functions.special import norm_cdf_col
+from custos.operators.neighbours import nearest
 
 
 # ------------------------------------------------------------- preparation
@@ -387,40 +386,14 @@ _ = (Pipeline, OneHotEncoder)
 # --------------------------------------------------- nearest-neighbour helpers
 def nearest_distance(queries: DataFrame, corpus: DataFrame, cols: list[str], qid: str, cid: str | None = None,
                      max_queries: int = 20000) -> DataFrame:
-    """Exact Euclidean distance from each query point to its nearest corpus row.
+    """Exact Euclidean distance from each query point to its nearest corpus row, by cells (``neighbours.nearest``).
 
-    A query block of at most ``max_queries`` rows is broadcast; each task computes
-    distances for its corpus rows in blocks and keeps the per-query minimum,
-    so only (queries x tasks) minima are shuffled.  With ``cid`` a query never
-    matches the corpus row with the same id (self-distance excluded).
+    At most about ``max_queries`` queries of a cell meet its points in one task.
+    With ``cid`` a query never matches the corpus row with the same id
+    (self-distance excluded).  Corpus rows with a null take no part; the distance
+    of a query with a null is not a number.
     """
-    import numpy as np
-    import pandas as pd
-    blocks = -(-queries.count() // max_queries)
-    if blocks > 1:  # blocks of queries by hash of their id, one after the other
-        block = F.pmod(F.xxhash64(qid), F.lit(2 * blocks))
-        parts = [nearest_distance(queries.where(block == i), corpus, cols, qid, cid, max_queries) for i in range(2 * blocks)]
-        return reduce(DataFrame.unionByName, parts)
-    qp = queries.select(qid, *cols).toPandas()
-    ids = qp[qid].to_numpy()
-    Q = qp[cols].to_numpy(dtype="float64")
-    bq = corpus.sparkSession.sparkContext.broadcast((ids, Q))
-
-    def local_min(batches):
-        qids, qm = bq.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = pdf[cols].to_numpy(dtype="float64")
-            d2 = (qm ** 2).sum(1)[:, None] + (X ** 2).sum(1)[None, :] - 2 * qm @ X.T
-            if cid is not None:
-                own = pdf[cid].to_numpy()
-                d2 = np.where(qids[:, None] == own[None, :], np.inf, d2)
-            yield pd.DataFrame({qid: qids, "d": np.sqrt(np.maximum(d2.min(axis=1), 0.0))})
-
-    sel = corpus.select(*( [cid] if cid else []), *cols)
-    schema = f"{qid} {queries.schema[qid].dataType.simpleString()}, d double"
-    return sel.mapInPandas(local_min, schema).groupBy(qid).agg(F.min("d").alias("nn_distance"))
+    return nearest(queries, corpus, cols, qid, cid, max_queries)
 
 
 def hopkins(df: DataFrame, cols: list[str], id_col: str, fraction: float = 0.1, seed: int = 42) -> float:
