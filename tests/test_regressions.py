@@ -211,3 +211,13 @@ def test_kprototypes_reads_its_input_from_the_cache(spark):
     df = spark.range(200).selectExpr("cast(id % 17 as double) as x", "cast(id % 5 as double) as y", "cast(id % 3 as string) as c")
     out, _ = ml.kprototypes(df, ["x", "y"], ["c"], 3, iters=6)
     assert out.count() == 200 and "InMemoryRelation" in out._jdf.queryExecution().withCachedData().toString()
+
+
+def test_text_files_are_dealt_over_tasks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(docs, "FILES", 3)
+    texts = {i: f"text {i}\nof two lines" for i in range(40)}
+    docs.write_text_dir(spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1), f"{tmp_path}/d")
+    files = {f.parent.name: f.name for f in (tmp_path / "d").rglob("*.txt")}
+    assert set(files) == {f"doc_id={i}" for i in texts} and len({f.split("-")[1] for f in files.values()}) > 5
+    got = {int(r["doc_id"].split("doc_id=")[1].split("/")[0]): r["text"] for r in docs.read_text_dir(spark, f"{tmp_path}/d").collect()}
+    assert {i: t.rstrip("\n") for i, t in got.items()} == texts
