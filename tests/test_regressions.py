@@ -221,3 +221,23 @@ def test_text_files_are_dealt_over_tasks(spark, monkeypatch, tmp_path):
     assert set(files) == {f"doc_id={i}" for i in texts} and len({f.split("-")[1] for f in files.values()}) > 5
     got = {int(r["doc_id"].split("doc_id=")[1].split("/")[0]): r["text"] for r in docs.read_text_dir(spark, f"{tmp_path}/d").collect()}
     assert {i: t.rstrip("\n") for i, t in got.items()} == texts
+
+
+def test_lexical_hits_are_counted_in_tasks(spark):
+    rng = np.random.default_rng(4)
+    text = lambda n: " ".join(rng.choice(list("abcdefghijkl"), n))
+    q = [(i % 9, text(3)) for i in range(12)] + [(None, "a b"), (77, None)]  # ids repeat or are null
+    c = [(i % 40, i % 2, text(6), 6) for i in range(70)] + [(90, 0, None, 0)]
+    got = docs.top_k_lexical(spark.createDataFrame(q, "query_id long, text string"), spark.createDataFrame(c, "doc_id long, chunk_id int, text string, n_tokens int"), 3)
+    score = {}
+    for i, t in q:
+        for d, k, u, _ in c:
+            shared = len(set((t or "").split()) & set((u or "").split()))
+            if shared:
+                score[i, d, k] = score.get((i, d, k), 0) + shared
+    want = []
+    for i in {x[0] for x in score}:
+        best = sorted((-s, d, k) for (j, d, k), s in score.items() if j == i)[:3]
+        want += [(i, r, d, k, -s, 6) for r, (s, d, k) in enumerate(best, 1) for x in c if x[:2] == (d, k)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow", 1)[1]
