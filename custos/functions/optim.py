@@ -1,8 +1,10 @@
 """Newton minimiser over batches of points.
 
 The objective scores a *batch* of parameter vectors at once, so that a
-distributed objective (one aggregate with a sum per point) costs two jobs an
-iteration: one for the central differences, one for the step lengths.
+distributed objective (one pass with a sum per point) costs about one job an
+iteration: the step lengths, together with the central differences around the
+points of the longest ones; only where a shorter one is taken, a second job
+scores the differences around its point.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ def newton_minimize(objective: Callable[[np.ndarray], np.ndarray], x0: Sequence[
     pairs = list(combinations(range(k), 2))
     lengths = 2.0 ** np.arange(2, -14, -1)
     around = np.array([np.zeros(k), *unit, *-unit, *(unit[i] + unit[j] for i, j in pairs), *(-unit[i] - unit[j] for i, j in pairs)])
+    ahead = int((lengths >= 1.0).sum())
+    v = np.asarray(objective(x + around), dtype="float64")
     for iteration in range(max_iter):
-        v = np.asarray(objective(x + around), dtype="float64")
         at, up, down = v[0], v[1:k + 1], v[k + 1:2 * k + 1]
         gradient = (up - down) / (2 * width)
         hessian = np.diag((up + down - 2 * at) / width ** 2)
@@ -38,10 +41,12 @@ def newton_minimize(objective: Callable[[np.ndarray], np.ndarray], x0: Sequence[
         step = -axes @ (axes.T @ gradient / np.maximum(np.abs(curve), 1e-6))
         step *= min(1.0, 1.0 / max(float(np.linalg.norm(step)), 1e-300))
         trial = x + lengths[:, None] * step
-        values = np.asarray(objective(trial), dtype="float64")
+        scored = np.asarray(objective(np.concatenate([trial, *(t + around for t in trial[:ahead])])), dtype="float64")
+        values, near = scored[:len(lengths)], scored[len(lengths):].reshape(ahead, -1)
         values = np.where(np.isfinite(values), values, np.inf)
         best = int(np.argmin(values))
         if not values[best] < at - tol * max(1.0, abs(at)):
             return x, float(at), iteration
         x = trial[best]
+        v = near[best] if best < ahead else np.asarray(objective(x + around), dtype="float64")
     raise ArithmeticError(f"no minimum after {max_iter} iterations")

@@ -151,12 +151,10 @@ def bg_log_likelihood_np(points: np.ndarray, x, tx, T_, w) -> np.ndarray:
 
 
 def _summed(rows: DataFrame, cols, fn, points: np.ndarray) -> np.ndarray:
-    """Sum of ``fn(points, *columns)`` (a value per point) over all rows, by task and then over the tasks."""
+    """Sum of ``fn(points, *columns)`` (a value per point) over all rows, by task; one row of sums a task is added up here."""
     def run(parts):
-        sums = sum((fn(points, *(p[c].to_numpy() for c in cols)) for p in parts), np.zeros(len(points)))
-        yield pd.DataFrame({"i": np.arange(len(points)), "s": sums})
-    out = rows.mapInPandas(run, "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).orderBy("i").collect()
-    return np.array([r["s"] for r in out])
+        yield pd.DataFrame({"s": [sum((fn(points, *(p[c].to_numpy() for c in cols)) for p in parts), np.zeros(len(points)))]})
+    return np.sum([r["s"] for r in rows.mapInPandas(run, "s array<double>").collect()], axis=0)
 
 
 def gg_row_terms_np(points: np.ndarray, x, m) -> np.ndarray:
@@ -172,21 +170,20 @@ def fit_bgnbd(rfm: DataFrame, penalizer: float = 0.0, tol: float = 1e-9) -> BGPa
     max(T) = 10 during the fit (alpha is unscaled afterwards), parameters are
     searched in log space.
     """
-    tmax = float(rfm.agg(F.max("T")).first()[0] or 1.0)
-    scale = 10.0 / tmax
-    grouped = (rfm.groupBy("frequency", "recency", "T").agg(F.count("*").cast("double").alias("w"))
-                  .select(F.col("frequency").cast("double").alias("x"), (F.col("recency") * scale).alias("tx"),
-                          (F.col("T") * scale).alias("T"), "w").persist())
-    total = grouped.agg(F.sum("w")).first()[0]
+    counted = rfm.groupBy("frequency", "recency", "T").agg(F.count("*").cast("double").alias("w")).persist()
+    tmax, total = counted.agg(F.max("T"), F.sum("w")).first()
     if not total:
-        grouped.unpersist()
+        counted.unpersist()
         raise ValueError("no customers to fit")
+    scale = 10.0 / float(tmax or 1.0)
+    grouped = counted.select(F.col("frequency").cast("double").alias("x"), (F.col("recency") * scale).alias("tx"),
+                             (F.col("T") * scale).alias("T"), "w")
 
     def objective(points):
         sums = _summed(grouped, ("x", "tx", "T", "w"), bg_log_likelihood_np, points)
         return penalizer * (np.exp(points) ** 2).sum(axis=1) - sums / total
     best, _, _ = newton_minimize(objective, np.zeros(4), tol=tol)
-    grouped.unpersist()
+    counted.unpersist()
     r, alpha, a, b = np.exp(best)
     return BGParams(float(r), float(alpha / scale), float(a), float(b))
 

@@ -19,8 +19,8 @@ WHOLESALE = 5_000_000.0  # wholesaler CLV threshold in test-table currency (refe
 
 
 def _fitted(spark, sf):
-    """RFM table below the monetary cap and fitted parameters."""
-    r = commerce.rfm(spark, sf, cap=CAP)
+    """RFM table below the monetary cap (kept: both fits, the predictions and the segments read it) and fitted parameters."""
+    r = commerce.rfm(spark, sf, cap=CAP).persist()
     return r, clv.fit_bgnbd(r, PENALIZER), clv.fit_gamma_gamma(r, PENALIZER)
 
 
@@ -33,7 +33,10 @@ def clv_model_params(spark, sf):
 
 
 def predictions(spark, sf):
-    r, bg, gg = _fitted(spark, sf)
+    return _predicted(*_fitted(spark, sf))
+
+
+def _predicted(r, bg, gg):
     pred = (r.withColumn("predicted_num_trxn", clv.expected_purchases(F.col("frequency"), F.col("recency"), F.col("T"), 12, bg))
              .withColumn("probability_alive", clv.p_alive(F.col("frequency"), F.col("recency"), F.col("T"), bg)))
     return clv.clv(pred, bg, gg, months=12, discount=0.01, freq="M")
@@ -66,8 +69,9 @@ def rfm_segment_profile(spark, sf):
 @register("customer_scores")
 def customer_scores(spark, sf):
     """Scoring table with flags, rounded transactions and anonymised email."""
-    lab, _ = ml.rfm_segments(commerce.rfm(spark, sf), CAP, 3)
-    return clv.score_customers(predictions(spark, sf), commerce.monthly(spark, sf), lab.select("customer_id", "cluster"),
+    r, bg, gg = _fitted(spark, sf)
+    lab, _ = ml.rfm_segments(r, CAP, 3)
+    return clv.score_customers(_predicted(r, bg, gg), commerce.monthly(spark, sf), lab.select("customer_id", "cluster"),
                                wholesale_at=WHOLESALE)
 
 
