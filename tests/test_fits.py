@@ -1,9 +1,10 @@
 """Fits over many rows: how often they pass over the rows, and what they find."""
 
 import numpy as np
+from pyspark.ml.clustering import GaussianMixture, KMeans
 
 from custos.functions.optim import newton_minimize
-from custos.operators import clv
+from custos.operators import clv, ml, ward
 
 
 def test_newton_passes_over_the_rows_about_once_an_iteration():
@@ -31,3 +32,46 @@ def test_sums_over_rows_take_one_job_of_one_stage(spark):
     assert len(jobs) == 1 and len(sc.statusTracker().getJobInfo(jobs[0]).stageIds) == 1
     assert np.allclose(clv._summed(rows.where("x < 0"), ("x", "m"), lambda p, x, m: np.exp(p[:, 0]) * (x @ m), points), 0.0)
     rows.unpersist()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def blobs(spark, n=600):
+    rng = np.random.default_rng(4)
+    x = np.repeat([[0.0, 0.0], [6.0, 1.0], [1.0, 7.0]], n // 3, 0) + rng.normal(size=(n, 2))
+    rows = [(int(i), float(a), float(b)) for i, (a, b) in enumerate(x)] + [(n, None, 1.0), (n + 1, 2.0, float("nan"))]
+    return spark.createDataFrame(rows, "i int, a double, b double")
+
+
+def test_mixture_equals_that_of_spark(spark):
+    df = blobs(spark)
+    lab, m = ml.gmm(df, ["a", "b"], 3)
+    data = ml.assemble(df, ["a", "b"])
+    want = GaussianMixture(k=3, seed=1, featuresCol="features").fit(data)
+    assert np.allclose(m.weights, want.weights)
+    assert np.allclose(m.means, [g["mean"].toArray() for g in want.gaussiansDF.collect()])
+    assert np.allclose(m.covs, [g["cov"].toArray() for g in want.gaussiansDF.collect()])
+    got = {r["i"]: (r["cluster"], r["probability"].toArray()) for r in lab.collect()}
+    for r in want.transform(data).collect():
+        assert got[r["i"]][0] == r["prediction"] and np.allclose(got[r["i"]][1], r["probability"].toArray())
+    assert len(got) == 600
+    assert "ArrowEvalPython" in plan(lab.select("cluster"))  # rows are labelled in batches
+
+
+def test_micro_clusters_are_those_of_spark(spark):
+    df = blobs(spark).where("i < 600").select("a", "b")
+    want = KMeans(k=20, seed=1, featuresCol="features").fit(ml.assemble(df, ["a", "b"]))
+    tree = ward.ward_tree(df, ["a", "b"], micro=20)
+    sizes = want.transform(ml.assemble(df, ["a", "b"])).groupBy("prediction").count().collect()
+    assert sorted(tree.sizes) == sorted(r["count"] for r in sizes)
+    near = ((tree.centres[:, None] - np.array(want.clusterCenters())[None]) ** 2).sum(2).min(1)
+    assert near.max() < 0.05  # a tree's centre is the mean of its rows, Spark's that of an iteration before
+
+
+def test_ward_labels_take_columns_not_a_list_a_row(spark):
+    df = blobs(spark)
+    out = ward.ward_tree(df, ["a", "b"], micro=20).label(df, ["a", "b"], 3)
+    assert "array(" not in plan(out)
+    assert [r["i"] for r in out.where("cluster is null").orderBy("i").collect()] == [600, 601]
