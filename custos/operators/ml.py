@@ -7,12 +7,16 @@ Everything that scores rows is a ``transform`` or a column expression.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, PCA, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
@@ -112,11 +116,78 @@ def elbow(df: DataFrame, cols: list[str], k_max: int = 10, seed: int = 1) -> Dat
     return df.sparkSession.createDataFrame(rows, "k int, wss double")
 
 
+GMM_ITERATIONS, GMM_TOL, GMM_EPS = 100, 0.01, 2.0 ** -52  # Spark's defaults and its least density
+
+
+@dataclass
+class Mixture:
+    """Weights, means and covariances of a Gaussian mixture."""
+    weights: np.ndarray
+    means: np.ndarray
+    covs: np.ndarray
+
+    def densities(self, x: np.ndarray) -> np.ndarray:
+        """Weighted density of each component (rows) at each column of ``x``; directions without variance do not count."""
+        out = np.empty((len(self.weights), x.shape[1]))
+        for j, (w, mean, cov) in enumerate(zip(self.weights, self.means, self.covs)):
+            values, axes = np.linalg.eigh(cov)
+            real = values > GMM_EPS * values.max() * len(values)
+            if not real.any():
+                raise ValueError("a component has no variance")
+            scale = np.where(real, 1.0 / np.sqrt(np.where(real, values, 1.0)), 0.0)
+            y = (axes * scale).T @ (x - mean[:, None])
+            at_mean = -0.5 * (len(mean) * np.log(2.0 * np.pi) + np.log(values[real]).sum())
+            out[j] = GMM_EPS + w * np.exp(at_mean - 0.5 * (y * y).sum(0))
+        return out
+
+    def moments(self, x: np.ndarray) -> np.ndarray:
+        """Of the columns of ``x``: log-likelihood, then per component the sums of its shares, of x and of x x'."""
+        p = self.densities(x)
+        total = p.sum(0)
+        p /= total
+        squares = [(x * share) @ x.T for share in p]
+        return np.concatenate([[np.log(total).sum()], p.sum(1), (p @ x.T).ravel(), np.ravel(squares)])
+
+
 def gmm(df: DataFrame, cols: list[str], k: int, seed: int = 1):
-    """M7: Gaussian mixture, label = max posterior."""
+    """M7: Gaussian mixture, label = max posterior; (labelled rows, mixture).
+
+    The start is Spark's; every iteration is one pass over the kept columns,
+    in which tasks sum the moments of their rows batch by batch.
+    """
     data = assemble(df, cols)
-    m = GaussianMixture(k=k, seed=seed, featuresCol="features").fit(data)
-    return m.transform(data).withColumnRenamed("prediction", "cluster"), m
+    rows = data.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(cols)]).persist()
+    start = GaussianMixture(k=k, seed=seed, maxIter=0, featuresCol="features").fit(assemble(rows, rows.columns).select("features"))
+    at = start.gaussiansDF.collect()
+    m = Mixture(np.array(start.weights), np.array([g["mean"].toArray() for g in at]), np.array([g["cov"].toArray() for g in at]))
+    d, before, now = len(cols), 0.0, -np.finfo(float).max
+    for _ in range(GMM_ITERATIONS):
+        if abs(now - before) <= GMM_TOL:
+            break
+        before, (now, s) = now, _moments(rows, m)
+        n, x, xx = s[:k], s[k:k + k * d].reshape(k, d), s[k + k * d:].reshape(k, d, d)
+        means = x / n[:, None]
+        m = Mixture(n / n.sum(), means, xx / n[:, None, None] - means[:, :, None] * means[:, None, :])
+    rows.unpersist()
+
+    @F.pandas_udf("array<double>")
+    def posterior(*columns: pd.Series) -> pd.Series:
+        p = m.densities(np.stack([c.to_numpy(float) for c in columns]))
+        return pd.Series(list((p / p.sum(0)).T))
+
+    @F.pandas_udf("int")
+    def label(*columns: pd.Series) -> pd.Series:
+        return pd.Series(m.densities(np.stack([c.to_numpy(float) for c in columns])).argmax(0).astype("int32"))
+    num = [F.col(c).cast("double") for c in cols]
+    return data.withColumn("cluster", label(*num)).withColumn("probability", array_to_vector(posterior(*num))), m
+
+
+def _moments(rows: DataFrame, m: Mixture) -> tuple[float, np.ndarray]:
+    """Log-likelihood and moment sums of all rows: one row of sums a task is added up here."""
+    def run(parts):
+        yield pd.DataFrame({"s": [sum((m.moments(np.ascontiguousarray(p.to_numpy(float).T)) for p in parts), 0.0) + np.zeros(m.covs.size + m.means.size + m.weights.size + 1)]})
+    total = np.sum([r["s"] for r in rows.mapInPandas(run, "s array<double>").collect()], axis=0)
+    return float(total[0]), total[1:]
 
 
 def hierarchical(df: DataFrame, cols: list[str], k: int, seed: int = 1):
