@@ -44,13 +44,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custos.llm.common import mix64, release_memory, slices, stored, text_bytes
+from custos.llm.common import discard, mix64, release_memory, slices, stored, text_bytes
 
 FIRST_LEVEL = 9
 LEVEL_RATIO = 1.5
 VERIFY_FRAGMENTS = 16
 HOT = 50
 TURNS = 3
+KEY_ROUNDS = 2
 BITS, WIDE_BITS = 4, 16
 BROADCAST_IDS = 1_000_000
 BLOCK_HASHES = 1 << 19
@@ -279,25 +280,33 @@ def star_around_others(group: DataFrame, label: DataFrame, info: DataFrame, cut:
     return pairs.select(F.least("class_id", "_c").alias("a"), F.greatest("class_id", "_c").alias("b")).distinct()
 
 
-def similar_classes(sig: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def similar_classes(full: DataFrame, sig: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(classes, links): the classes, and the verified links (a, b, inter) that join them.
 
-    A class is a set, known by a number of its own (``class_id``); ``least`` is
-    the smallest id with that set, which other sets may have as well.
+    A class is a set, known by the number (``class_id``) of one of the rows with
+    the smallest id of that set, ``least``, which other sets may have as well.
+    ``full`` (signatures with their fragment keys) is deleted as soon as the
+    shared keys are known; ``sig`` has its other columns.
     """
     cut = Cut(percent)
-    classes = sig.where("n_shingles > 0 and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("size"))
-    classes = stored(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
-    of_class = classes.select("class_id", F.col("least").alias("doc_id"), "set_hash")
-    few = classes.count() <= BROADCAST_IDS
-    rep = sig.join(F.broadcast(of_class) if few else of_class, ["doc_id", "set_hash"]).withColumnRenamed("n_shingles", "size")
-    leveled = rep.select("class_id", F.posexplode("keys").alias("level", "_keys"))
+    classes = sig.where("n_shingles > 0 and doc_id is not null").groupBy("set_hash").agg(F.min(F.struct("doc_id", "row")).alias("_first"), F.first("n_shingles").alias("size"))
+    classes = stored(classes.select(F.col("_first.row").alias("class_id"), "set_hash", F.col("_first.doc_id").alias("least"), "size"), "classes")
+    others = stored(sig.select("row").join(classes.select(F.col("class_id").alias("row")), "row", "left_anti"), "other_rows")
+    few = others.count() <= BROADCAST_IDS
+    of_class = lambda t: t.join(F.broadcast(others) if few else others, "row", "left_anti").withColumnRenamed("row", "class_id")
+    leveled = of_class(full.select("row", "keys")).select("class_id", F.posexplode("keys").alias("level", "_keys"))
     keyed = leveled.select((2 * F.col("class_id") + F.col("level")).alias("member"), F.explode("_keys").alias("key"))  # two levels at most
-    keyed = keyed.repartition("key")  # the counts read the same shuffle files as the join, as they need both columns
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("member").alias("_lo"), F.max("member").alias("_hi")).where("_lo < _hi").drop("_lo", "_hi")
-    met = stored(keyed.join(shared, "key"), "shared_keys", release=True).select("key", "n", F.shiftright("member", 1).alias("class_id"), F.col("member").bitwiseAND(1).cast("int").alias("level"))
-    group = stored(without_hot(met, rep.select("class_id", "spare").dropDuplicates(["class_id"])), "groups")
-    info = stored(rep.select("class_id", "size", "bits", "wide_bits").dropDuplicates(["class_id"]), "sets")
+    pooled = []
+    for turn in range(KEY_ROUNDS):  # a share of the keys at a time, so that the shuffle files of one share are on disk
+        some = keyed.where(F.pmod("key", F.lit(KEY_ROUNDS)) == turn).repartition("key")  # the counts read the same shuffle files as the join, as they need both columns
+        shared = some.groupBy("key").agg(F.count("*").alias("n"), F.min("member").alias("_lo"), F.max("member").alias("_hi")).where("_lo < _hi").drop("_lo", "_hi")
+        pooled.append(stored(some.join(shared, "key"), "shared_keys", release=True))
+    discard(full)
+    met = reduce(DataFrame.union, pooled).select("key", "n", F.shiftright("member", 1).alias("class_id"), F.col("member").bitwiseAND(1).cast("int").alias("level"))
+    rep = of_class(sig).withColumnRenamed("n_shingles", "size")
+    group = stored(without_hot(met, rep.select("class_id", "spare")), "groups")
+    discard(*pooled)
+    info = stored(rep.select("class_id", "size", "bits", "wide_bits"), "sets")
     side = lambda s, bits: info.select(F.col("class_id").alias(s), F.col("size").alias(f"n{s}"), F.col(bits).alias(f"bits_{s}"))
 
     def check(pairs, bits, longs):
@@ -408,8 +417,9 @@ def link_counts(label: DataFrame, classes: DataFrame, docs: DataFrame, n: int, p
 
 def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, count_links: bool) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, its class (number), least id and group (number) of linked classes, the group's least id; links of the class."""
-    sig = stored(signatures(docs, n, percent, id_col, text_col), "signatures")
-    classes, links = similar_classes(sig, docs, n, percent, id_col, text_col)
+    full = stored(signatures(docs, n, percent, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    sig = stored(full.drop("keys"), "rows")
+    classes, links = similar_classes(full, sig, docs, n, percent, id_col, text_col)
     label = components(links)
     least = label.join(classes, "class_id").groupBy("label").agg(F.min("least").alias("component"))
     of_class = classes.select("set_hash", "least", "class_id").join(label, "class_id", "left").join(least, "label", "left")

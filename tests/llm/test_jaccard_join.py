@@ -1,11 +1,15 @@
 """The n-gram Jaccard join against all pairs."""
 
+import os
 import random
 import re
+import time
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from custos.llm import jaccard_join
+from custos.llm import common, jaccard_join
 from tests.conftest import SF_SMALL
 from tests.llm import cases
 
@@ -129,3 +133,41 @@ def test_a_dense_group_without_a_good_star_verifies_few_pairs(spark, monkeypatch
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert got(df, 3, 90) == brute(texts, 3, 90)
     assert sum(asked) < 4 * len(texts), asked
+
+
+def test_disk_is_given_back_while_the_join_goes_on(spark, monkeypatch):
+    """Fragment keys, the largest table, are deleted once they have met; a finished write leaves no shuffle files."""
+    left, plain = {}, jaccard_join.stored
+
+    def seen(df, tag, *a, **k):
+        out = plain(df, tag, *a, **k)
+        path = out.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        left.setdefault(tag, []).append(path)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", seen)
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(80)]
+    texts = {i: edited(rng, base, rng.choice([1, 2])) for i in range(60)}
+    assert got(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 90) == brute(texts, 3, 90)
+    assert not any(os.path.exists(p) for tag in ("signatures", "shared_keys") for p in left[tag])
+    assert all(os.path.exists(p) for p in left["links"])
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {str(f) for d in dirs for f in Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+def test_stored_deletes_its_shuffle_files(spark):
+    before = shuffle_files(spark)
+    df = spark.range(20000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    out = common.stored(df, "kept")
+    for _ in range(100):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert {r["k"]: r["count"] for r in out.collect()} == {k: len(range(k, 20000, 7)) for k in range(7)}
+    common.discard(out)
+    assert not os.path.exists(out._stored_at.removeprefix("file://"))
