@@ -56,6 +56,7 @@ BITS, WIDE_BITS = 4, 16
 BROADCAST_IDS = 1_000_000
 BLOCK_HASHES = 1 << 19
 BATCH_BYTES = 4_000_000
+BATCH_ROWS = 1000
 WORD_CACHE = 300_000
 _known: dict[bytes, int] = {}
 
@@ -317,13 +318,13 @@ def similar_classes(full: DataFrame, sig: DataFrame, docs: DataFrame, n: int, pe
 
     star = group.where("class_id > centre").select(F.col("centre").alias("a"), F.col("class_id").alias("b")).distinct()
     star = check(check(star, "bits", BITS), "wide_bits", WIDE_BITS)
-    counted = stored(verified(star, classes, docs, n, id_col, text_col), "counted", release=True)
+    counted = stored(verified(star, classes, docs, n, id_col, text_col), "counted", release=True, batch_rows=BATCH_ROWS)
     label = components(linked(counted))
     for turn in range(TURNS):
         new = check(star_around_others(group, label, info, cut, turn).join(counted, ["a", "b"], "left_anti"), "wide_bits", WIDE_BITS)
         if new.isEmpty():
             break
-        new = stored(verified(new, classes, docs, n, id_col, text_col), "counted", release=True)
+        new = stored(verified(new, classes, docs, n, id_col, text_col), "counted", release=True, batch_rows=BATCH_ROWS)
         counted = counted.union(new)
         if linked(new).isEmpty():
             break
@@ -342,7 +343,7 @@ def similar_classes(full: DataFrame, sig: DataFrame, docs: DataFrame, n: int, pe
             .where(F.coalesce(F.abs(F.col("distance_x") - F.col("distance_y")) <= reach, F.lit(True)))
             .select(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"), F.col("size_x").alias("na"), F.col("size_y").alias("nb")).distinct())
     more = check(stored(more.join(counted, ["a", "b"], "left_anti"), "pairs"), "wide_bits", WIDE_BITS)
-    links = stored(links.union(linked(verified(more, classes, docs, n, id_col, text_col))), "links")
+    links = stored(links.union(linked(verified(more, classes, docs, n, id_col, text_col))), "links", batch_rows=BATCH_ROWS)
     return classes, links
 
 
@@ -417,7 +418,7 @@ def link_counts(label: DataFrame, classes: DataFrame, docs: DataFrame, n: int, p
 
 def linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, count_links: bool) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, its class (number), least id and group (number) of linked classes, the group's least id; links of the class."""
-    full = stored(signatures(docs, n, percent, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    full = stored(signatures(docs, n, percent, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "signatures", batch_rows=BATCH_ROWS)
     sig = stored(full.drop("keys"), "rows")
     classes, links = similar_classes(full, sig, docs, n, percent, id_col, text_col)
     label = components(links)

@@ -52,3 +52,33 @@ def test_no_records_and_an_unknown_rule(spark):
 def test_matching_makes_no_row_per_candidate_pair(spark, query):
     plan = E.queries()[query](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "_jw_udf" not in plan
+
+
+@pytest.mark.parametrize("query", ["candidate_pairs_full", "pair_features", "match_strength"])
+def test_pairs_are_listed_and_counted_in_tiles(spark, query):
+    plan = E.queries()[query](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "_jw_udf" not in plan
+
+
+@pytest.mark.parametrize("tile", [29, 512])
+def test_listed_and_counted_pairs_equal_those_of_the_join(spark, tile):
+    rng = random.Random(tile)
+    old, new = records(spark, rng, 300, 0, 270), records(spark, rng, 110, 200, 200)  # ids repeat, nulls in every column
+    old = old.unionByName(old.limit(3).withColumn("customer_id", lk.F.lit(None).cast("long")))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    for left, right, rules in ((old, None, lk.FULL_RULES), (new, old, lk.INCREMENTAL_RULES)):
+        want = rows(lk.block_pairs(left, rules, right).select("customer_id_1", "customer_id_2"))
+        assert rows(lk.candidate_pairs(left, rules, right, tile=tile)) == want and want
+    want = lk.compare_pairs(lk.block_pairs(old, lk.FULL_RULES).select("customer_id_1", "customer_id_2"), old).persist()
+    assert rows(lk.compare_blocks(old, lk.FULL_RULES, tile=tile)) == rows(want)
+    assert rows(lk.match_strength(lk.compare_blocks(old, lk.FULL_RULES, counted=True, tile=tile))) == rows(lk.match_strength(want))
+    none = old.where("false")
+    assert lk.candidate_pairs(none).count() == lk.compare_blocks(none, lk.FULL_RULES).count() == lk.match_strength(lk.compare_blocks(none, lk.FULL_RULES, counted=True)).count() == 0
+
+
+def test_a_record_of_a_large_block_is_copied_a_few_times(spark):
+    """Copies go with block / tile: a block of 6,000 records makes two sub-blocks, three copies a record, not twelve and thirteen."""
+    hot = spark.range(6000).select(lk.F.col("id").alias("customer_id"), *(lk.F.lit(v).cast("string").alias(c) for c, v in (
+        ("first_name_clean", "ann"), ("last_name_clean", "lee"), ("zip_clean", None), ("state_clean", None))))
+    tiles = lk._tile_rows(hot, lk.FULL_RULES, None, ["first_name_clean", "last_name_clean", "state_clean", "zip_clean"], None)
+    assert tiles.count() <= 2 * 6000
