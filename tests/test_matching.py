@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
 from custos.functions.text import JaroWinkler, jaro_winkler_py
-from custos.operators import linkage as lk
+from custos.operators import linkage as lk, matching
 from tests.conftest import SF_SMALL
 
 
@@ -82,3 +83,24 @@ def test_a_record_of_a_large_block_is_copied_a_few_times(spark):
         ("first_name_clean", "ann"), ("last_name_clean", "lee"), ("zip_clean", None), ("state_clean", None))))
     tiles = lk._tile_rows(hot, lk.FULL_RULES, None, ["first_name_clean", "last_name_clean", "state_clean", "zip_clean"], None)
     assert tiles.count() <= 2 * 6000
+
+
+def test_a_large_tile_is_compared_some_pairs_at_a_time(monkeypatch):
+    """Rectangles are cut, so that a tile where every pair may match holds a bounded number of pairs at once."""
+    rows = [{"rule": 0, "key": "k", "i": 0, "j": 0, "side": 0, "id": k, "email": f"ann{k}@x.te", "first_name_clean": "ann", "last_name_clean": "lee",
+             "state_clean": "tx", "zip_clean": str(k % 9), "address_clean": f"{k % 7} st", "city_clean": "elgin", "phone_clean": f"555{k}"} for k in range(300)]
+    schema = pa.schema([*((c, pa.int64()) for c in ("rule", "i", "j", "side", "id")), ("key", pa.string()), *((c, pa.string()) for c in lk.RECORD_COLS),
+                        ("_more", pa.list_(pa.struct([(c, pa.string()) for c in lk.RECORD_COLS])))])
+    batch = pa.RecordBatch.from_pylist(rows, schema=schema)
+    kinds = [matching.TileMatcher(lk.FULL_RULES, lk.COMPARE_SPEC, lk.SCORE_COLS, "effective", False), *(matching.TileLister(lk.FULL_RULES, lk.COMPARE_SPEC, False, out) for out in ("pairs", "features", "counts"))]
+    listed = lambda m: [b.to_pylist() for b in m(iter([batch]))]
+    every = lambda parts: sorted(tuple(r.values()) for part in parts for r in part)
+    want = [every(listed(m)) for m in kinds]
+    asked, plain = [], matching._Records._rectangle
+    monkeypatch.setattr(matching._Records, "_rectangle", lambda self, a, b: (asked.append(len(a) * len(b)), plain(self, a, b))[1])
+    for name, value in (("CELLS", 500), ("POOL", 400)):
+        monkeypatch.setattr(matching, name, value)
+    for m, rows_of in zip(kinds, want):
+        parts = listed(m)
+        assert every(parts) == rows_of and rows_of and max(map(len, parts)) <= 400 + matching.LEAF ** 2
+    assert asked and max(asked) <= 500
